@@ -21,27 +21,29 @@ def forward_fill(
 ) -> DataFrame:
     """Replace NULL by the last earlier value of the series; (key, ts) must be unique.
 
-    Two levels instead of one window per series: rows are filled inside (key, segment), and
-    what is still NULL takes the value carried from earlier segments. The carry table has
-    one row per (key, segment), built with map-side aggregation. The default segment is the
-    UTC day of an epoch-second column: at most 86,400 rows, because stamps are unique.
+    Two levels instead of one window per series. The last known values of each
+    (key, segment), one row each and combined on the map side, are rolled forward over the
+    segments; every segment then starts with a carry row holding what came before it, and
+    one window per (key, segment) fills the rest. There is no join, so rows with a NULL key
+    form a series of their own, as in a plain window. The default segment is the UTC day of
+    an epoch-second column: at most 86,400 rows, because stamps are unique.
     """
     require_columns(df, [key, ts, *columns], "forward_fill")
     segment = F.floor(F.col(ts) / F.lit(SECONDS_PER_DAY)).cast("bigint") if segment is None else segment
-    parts = df.withColumn("_segment", segment)
-    inside = Window.partitionBy(key, "_segment").orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
-    filled = parts.withColumns({c: F.last(c, ignorenulls=True).over(inside) for c in columns})
+    rows = df.withColumn("_segment", segment)
 
-    before = Window.partitionBy(key).orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
-    last_known = parts.groupBy(key, "_segment").agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(ts))).alias(f"_carry_{c}") for c in columns]
+    last_known = rows.groupBy(key, "_segment").agg(
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(ts))).alias(c) for c in columns]
     )
-    carried = last_known.select(
-        key, "_segment", *[F.last(f"_carry_{c}", ignorenulls=True).over(before).alias(f"_carry_{c}") for c in columns]
+    before = Window.partitionBy(key).orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
+    carry = last_known.withColumns({c: F.last(c, ignorenulls=True).over(before) for c in columns})
+
+    both = rows.withColumn("_is_row", F.lit(True)).unionByName(
+        carry.withColumn("_is_row", F.lit(False)), allowMissingColumns=True
     )
-    joined = filled.join(carried, [key, "_segment"], "left")
-    patched = {c: F.coalesce(F.col(c), F.col(f"_carry_{c}")) for c in columns}
-    return joined.select(*[patched[c].alias(c) if c in patched else F.col(c) for c in df.columns])
+    inside = Window.partitionBy(key, "_segment").orderBy("_is_row", ts).rowsBetween(Window.unboundedPreceding, 0)
+    filled = both.withColumns({c: F.last(c, ignorenulls=True).over(inside) for c in columns})
+    return filled.filter("_is_row").select(*df.columns)
 
 
 def fill_bars(bars: DataFrame, key: str = "symbol", ts: str = "timestamp") -> DataFrame:
