@@ -11,13 +11,14 @@ DATA = "/root/testdata"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tidemark-tests",
         "local[4]",
         spark__sql__shuffle__partitions="4",
         spark__driver__memory="4g",
         spark__ui__enabled="false",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
