@@ -30,6 +30,7 @@ from tidemark.forecast import (
 )
 from tidemark.operators import reports
 from tidemark.operators.normalize import model_input
+from tidemark.sinks import materialize
 
 
 def _frame(t: Tables) -> DataFrame:
@@ -224,7 +225,8 @@ def cv_metrics(t: Tables) -> DataFrame:
     fitted = forecast(with_configs(frame))
     tested = fitted.filter(~F.col("is_train") & F.col("y").isNotNull())
     scored = forecast_metrics(forecast_errors(tested, _frame(t)), by=("symbol", "config_id", "mode", "prior"))
-    best = best_config(scored)
+    # Used by two branches: kept as files, so the candidate fits run once.
+    best = materialize(best_config(scored), "best-config")
     chosen = with_folds(frame).join(best.select("symbol", "config_id", "mode", "prior"), "symbol")
     folds = forecast(chosen, by=("symbol", "fold"))
     return best.join(cv_scores(folds), "symbol", "left")

@@ -12,16 +12,21 @@ days in the covered span, not by the raw data.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tidemark.forecast.frame import REGRESSORS
 from tidemark.schemas import require_columns
 
+# The fit travels to the workers inside the task, so they need numpy and pandas only.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 N_CHANGEPOINTS = 25
 CHANGEPOINT_RANGE = 0.8
 WEEK = (7.0, 3, 14)  # period in days, Fourier order, least span in days

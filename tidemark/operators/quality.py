@@ -46,18 +46,22 @@ def day_bounds(df: DataFrame, key: str = "symbol", ts: str = "timestamp", day: C
     return df.groupBy(key, day.alias("date")).agg(F.min(ts).alias("min_ts"), F.max(ts).alias("max_ts"))
 
 
-def time_gaps(df: DataFrame, key: str = "symbol", ts: str = "timestamp", segment_seconds: int = SECONDS_PER_DAY) -> DataFrame:
+def time_gaps(
+    df: DataFrame, key: str = "symbol", ts: str = "timestamp", segment_seconds: int = SECONDS_PER_DAY, unique: bool = False
+) -> DataFrame:
     """Every pair of neighbouring distinct time stamps per key: (key, ts, prev_ts, gap).
 
     Neighbours inside a time segment come from a window over (key, segment); the first
     stamp of a segment is paired with the last stamp of the previous non-empty one, from a
     table with a single row per (key, segment). A segment holds at most ``segment_seconds``
     distinct stamps of the epoch-second column, however many rows the key has.
+    ``unique`` says that (key, ts) has no repeats and saves the shuffle that removes them.
     """
     require_columns(df, [key, ts], "time_gaps")
     segment = F.floor(F.col(ts) / F.lit(segment_seconds)).cast("bigint").alias("_segment")
-    # Repeated stamps collapse on the map side, before the shuffle.
-    stamps = df.filter(F.col(ts).isNotNull()).select(key, segment, ts).distinct()
+    stamps = df.filter(F.col(ts).isNotNull()).select(key, segment, ts)
+    if not unique:
+        stamps = stamps.distinct()  # repeated stamps collapse on the map side
     inside = stamps.withColumn("prev_ts", F.lag(ts).over(Window.partitionBy(key, "_segment").orderBy(ts)))
     bounds = (
         df.filter(F.col(ts).isNotNull())
@@ -77,13 +81,14 @@ def large_gaps(
     top: int = 100,
     order_by: Sequence[str] = (),
     segment_seconds: int = SECONDS_PER_DAY,
+    unique: bool = False,
 ) -> DataFrame:
     """The ``top`` longest gaps above ``threshold``, with the bar that ends each gap.
 
     Only (key, ts) is shuffled to find the gaps; the other bar columns are fetched
     afterwards for the few winning stamps.
     """
-    gaps = time_gaps(bars, key, ts, segment_seconds).filter(F.col("gap") > threshold)
+    gaps = time_gaps(bars, key, ts, segment_seconds, unique).filter(F.col("gap") > threshold)
     winners = gaps.orderBy(F.desc("gap"), key, ts).limit(top)
     if top <= MAX_BROADCAST_ROWS:
         winners = F.broadcast(winners)

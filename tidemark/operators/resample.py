@@ -76,20 +76,29 @@ def daily_ticks(
     return messages.groupBy("date", key).agg(*tick_aggregates(order_by, volume_mode, scale))
 
 
-def daily_bars_by_join(bars: DataFrame, day: Column, ts: str = "timestamp", key: str = "symbol", scale: int | None = None) -> DataFrame:
+def daily_bars_by_join(
+    bars: DataFrame, day: Column, ts: str = "timestamp", key: str = "symbol", scale: int | None = None
+) -> DataFrame:
     """The join formulation of :func:`daily_bars`, for bars that are unique per (key, ts).
 
-    It re-reads the bars for each side; kept as the cross-check of the aggregate form.
+    The daily totals carry the first and last stamp; joining the bars back on equality with
+    either finds the opening and closing bar, and a left join attaches them. The totals are
+    small, so AQE broadcasts them when they measure so, and splits hot days otherwise.
     """
     dated = bars.withColumn("date", day)
-    bounds = dated.groupBy(key, "date").agg(F.min(ts).alias("_min"), F.max(ts).alias("_max"))
     on = [key, "date"]
-    opens = dated.join(bounds, on).filter(F.col(ts) == F.col("_min")).select(*on, F.col("open").alias("daily_open"))
-    closes = dated.join(bounds, on).filter(F.col(ts) == F.col("_max")).select(*on, F.col("close").alias("daily_close"))
     totals = dated.groupBy(*on).agg(
+        F.min(ts).alias("_min"),
+        F.max(ts).alias("_max"),
         F.max("high").alias("daily_high"),
         F.min("low").alias("daily_low"),
         exact_sum("volume", scale).alias("daily_volume"),
         F.count(F.lit(1)).alias("cnt"),
     )
-    return totals.join(opens, on, "left").join(closes, on, "left")
+    at_min, at_max = F.col(ts) == F.col("_min"), F.col(ts) == F.col("_max")
+    edges = dated.select(*on, ts, "open", "close").join(totals.select(*on, "_min", "_max"), on).filter(at_min | at_max)
+    ends = edges.groupBy(*on).agg(
+        F.max(F.when(at_min, F.col("open"))).alias("daily_open"),
+        F.max(F.when(at_max, F.col("close"))).alias("daily_close"),
+    )
+    return totals.drop("_min", "_max").join(ends, on, "left")

@@ -19,7 +19,7 @@ from tidemark.operators.normalize import model_input, normalize_bars, union_sour
 from tidemark.operators.resample import daily_bars
 from tidemark.plans.layout import Layout
 from tidemark.schemas import OHLCV
-from tidemark.sinks import read_version, write_csv, write_partitioned, write_version
+from tidemark.sinks import DAILY_LAYOUT, read_version, write_csv, write_partitioned, write_version
 from tidemark.sources import klines_to_bars, read_bars, read_first_available, read_kline_pages
 
 
@@ -41,11 +41,11 @@ def daily(spark: SparkSession, layout: Layout, tz: str | None = None) -> None:
     """Daily bars with the per-day counts and the largest gaps of the minute bars."""
     bars = spark.read.parquet(layout.bars_clean)
     write_csv(quality.per_day_counts(bars, tz=tz), layout.report("per_day_counts"))
-    write_csv(quality.large_gaps(bars), layout.report("large_gaps"))
+    write_csv(quality.large_gaps(bars, unique=True), layout.report("large_gaps"))
     # Stamps are unique after cleaning, so the plain time order needs no tie-break.
     table = with_calendar_parts(daily_bars(bars, day_of("datetime", tz), ["timestamp"]), "date")
-    write_partitioned(table, layout.daily_raw)
-    write_csv(spark.read.parquet(layout.daily_raw), layout.report("daily_raw"))
+    write_partitioned(table, layout.daily_raw, DAILY_LAYOUT)
+    write_csv(spark.read.parquet(layout.daily_raw), layout.report("daily_raw"), max_files=None)
 
 
 def _publish(spark: SparkSession, layout: Layout, filled: DataFrame) -> None:

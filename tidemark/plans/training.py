@@ -25,7 +25,7 @@ from tidemark.forecast import (
     with_folds,
 )
 from tidemark.plans.layout import Layout
-from tidemark.sinks import read_version, write_csv, write_version
+from tidemark.sinks import materialize, read_version, write_csv, write_version
 
 HORIZON = 30
 CONFIG = ("config_id", "mode", "prior")
@@ -57,7 +57,7 @@ def train(
 
     tested = fits.filter(~F.col("is_train") & F.col("y").isNotNull())
     errors = forecast_errors(tested, frame)
-    best = best_config(forecast_metrics(errors, ("symbol", *CONFIG)))
+    best = materialize(best_config(forecast_metrics(errors, ("symbol", *CONFIG))), "best-config")
     chosen = best.select("symbol", *CONFIG)
     folds = forecast(with_folds(ready).join(chosen, "symbol"), by=("symbol", "fold"))
     metrics = best.join(cv_scores(folds), "symbol", "left")

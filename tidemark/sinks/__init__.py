@@ -1,7 +1,10 @@
 """Batch writers. Streaming sinks are in ``tidemark.streaming``."""
 
 from tidemark.sinks.tables import (
+    BAR_LAYOUT,
+    DAILY_LAYOUT,
     append_staging,
+    materialize,
     read_version,
     versions,
     write_csv,
@@ -10,7 +13,10 @@ from tidemark.sinks.tables import (
 )
 
 __all__ = [
+    "BAR_LAYOUT",
+    "DAILY_LAYOUT",
     "append_staging",
+    "materialize",
     "read_version",
     "versions",
     "write_csv",

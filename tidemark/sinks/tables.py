@@ -12,9 +12,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.schemas import require_columns
-from tidemark.sources.storage import exists, list_names, remove_tree
+from tidemark.sources.storage import exists, list_names, remove_tree, scratch_dir
 
-LAYOUT = ("symbol", "year", "month")
+BAR_LAYOUT = ("symbol", "year", "month")
+# A month of daily rows is too small for a file of its own.
+DAILY_LAYOUT = ("symbol", "year")
 _VERSION = re.compile(r"^version=(\d{6})$")
 
 
@@ -25,7 +27,7 @@ def _clustered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
 
 
 def write_partitioned(
-    df: DataFrame, path: str, partition_by: Sequence[str] = LAYOUT, only_touched: bool = False
+    df: DataFrame, path: str, partition_by: Sequence[str] = BAR_LAYOUT, only_touched: bool = False
 ) -> None:
     """Overwrite ``path``; with ``only_touched`` replace just the partitions present in ``df``."""
     require_columns(df, partition_by, "write_partitioned")
@@ -34,9 +36,22 @@ def write_partitioned(
     writer.partitionBy(*partition_by).parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, max_files: int = 4) -> None:
-    """CSV with a header in at most ``max_files`` part files; meant for report-sized results."""
-    df.coalesce(max_files).write.mode("overwrite").option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, max_files: int | None = 4) -> None:
+    """CSV with a header. Report-sized results go to at most ``max_files`` part files;
+    ``None`` lets AQE choose few, evenly sized files for a table of any size."""
+    packed = df.hint("rebalance") if max_files is None else df.coalesce(max_files)
+    packed.write.mode("overwrite").option("header", True).csv(path)
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared scratch folder and read it back.
+
+    For a costly result that several branches use: they read files, whatever executors are
+    lost meanwhile, instead of each computing it again.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def append_staging(df: DataFrame, root: str, batch_id: str) -> str:
@@ -66,7 +81,7 @@ def read_version(spark: SparkSession, root: str, back: int = 0) -> DataFrame | N
     return spark.read.parquet(version_path(root, known[-1 - back])) if len(known) > back else None
 
 
-def write_version(df: DataFrame, root: str, partition_by: Sequence[str] = LAYOUT, keep: int = 2) -> str:
+def write_version(df: DataFrame, root: str, partition_by: Sequence[str] = DAILY_LAYOUT, keep: int = 2) -> str:
     """Write the next version, then drop versions older than the newest ``keep``.
 
     Readers see the old version until the job commits its success marker. An attempt that
