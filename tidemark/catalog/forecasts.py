@@ -61,7 +61,8 @@ metrics as (
          cast(sum(cast(pct_error as decimal(18,6))) as double) / count(error) as mape,
          cast(sum(cast(abs_error as decimal(18,2))) as double) / count(error) as mae,
          count(error) as n
-  from errors group by 1, 2)"""
+  from errors group by 1, 2),
+scored as (select symbol, config_id, round(mse, 2) as mse, mape, mae, n, round(sqrt(mse), 4) as rmse from metrics)"""
 
 
 def _standin_errors(t: Tables) -> DataFrame:
@@ -73,7 +74,9 @@ def _standin_errors(t: Tables) -> DataFrame:
 
 
 def _standin_metrics(t: Tables) -> DataFrame:
-    return forecast_metrics(_standin_errors(t), by=("symbol", "config_id"), scale=PCT_SCALE)
+    metrics = forecast_metrics(_standin_errors(t), by=("symbol", "config_id"), scale=PCT_SCALE)
+    # Sums of squares exceed the exact integers of a double; both sides round alike.
+    return metrics.withColumns({"mse": F.round("mse", 2), "rmse": F.round("rmse", 4)})
 
 
 @query("model_frame", sql_with(*FILLED_MA, body=f", {FRAME} select * from frame"))
@@ -136,13 +139,13 @@ def forecast_error_rows(t: Tables) -> DataFrame:
     return _standin_errors(t)
 
 
-@query("forecast_metrics", sql_with(*FILLED_MA, body=f", {STANDIN} select *, sqrt(mse) as rmse from metrics"))
+@query("forecast_metrics", sql_with(*FILLED_MA, body=f", {STANDIN} select * from scored"))
 def forecast_metric_rows(t: Tables) -> DataFrame:
     return _standin_metrics(t)
 
 
 BEST = """select * from (
-  select symbol, config_id, mse, mape, mae, n, sqrt(mse) as rmse from metrics
+  select * from scored
   qualify row_number() over (partition by symbol order by mape, config_id) = 1)"""
 
 

@@ -23,7 +23,7 @@ def forecast_metrics(errors: DataFrame, by: Sequence[str] = ("symbol",), scale:
     """MSE, MAPE, MAE and RMSE per group."""
     square = F.pow("error", F.lit(2.0))
     means = errors.groupBy(*by).agg(
-        exact_mean(square, scale).alias("mse"),
+        exact_mean(square, scale, precision=28).alias("mse"),
         exact_mean("pct_error", scale).alias("mape"),
         exact_mean("abs_error", scale).alias("mae"),
         F.count("error").alias("n"),

@@ -12,24 +12,25 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def exact_sum(value: Column | str, scale: int | None) -> Column:
+def exact_sum(value: Column | str, scale: int | None, precision: int = 18) -> Column:
     """``sum`` as double; with ``scale`` the addition runs in decimal.
 
     Decimal addition is associative, so the result does not depend on how the rows were
-    split, merged or retried. ``scale=None`` is the ordinary floating-point sum.
+    split, merged or retried. Values of up to 18 digits are kept in longs before they are added; a larger
+    ``precision`` is for values that need it. ``scale=None`` is the floating-point sum.
     """
     value = _col(value)
     if scale is None:
         return F.sum(value)
-    return F.sum(value.cast(f"decimal(18,{scale})")).cast("double")
+    return F.sum(value.cast(f"decimal({precision},{scale})")).cast("double")
 
 
-def exact_mean(value: Column | str, scale: int | None) -> Column:
+def exact_mean(value: Column | str, scale: int | None, precision: int = 18) -> Column:
     """Mean of the non-null values; with ``scale`` built on :func:`exact_sum`."""
     value = _col(value)
     if scale is None:
         return F.avg(value)
-    return F.try_divide(exact_sum(value, scale), F.count(value).cast("double"))
+    return F.try_divide(exact_sum(value, scale, precision), F.count(value).cast("double"))
 
 
 def pct_change(start: Column | str, end: Column | str) -> Column:
