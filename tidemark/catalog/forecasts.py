@@ -21,11 +21,13 @@ from tidemark.forecast import (
     forecast,
     forecast_errors,
     forecast_metrics,
+    frame_of,
     future_frame,
     model_frame,
     shift_regressors,
     split_by_time,
     with_configs,
+    with_errors,
     with_folds,
 )
 from tidemark.operators import reports
@@ -34,8 +36,7 @@ from tidemark.sinks import materialize
 
 
 def _frame(t: Tables) -> DataFrame:
-    filled = daily_filled(t)
-    return model_frame(model_input(filled), filled)
+    return frame_of(daily_filled(t))
 
 
 FRAME = "frame as (select date as ds, symbol, daily_close as y, ma7, ma30 from filled_ma)"
@@ -81,7 +82,8 @@ def _standin_metrics(t: Tables) -> DataFrame:
 
 @query("model_frame", sql_with(*FILLED_MA, body=f", {FRAME} select * from frame"))
 def model_frame_rows(t: Tables) -> DataFrame:
-    return _frame(t)
+    filled = daily_filled(t)
+    return model_frame(model_input(filled), filled)
 
 
 @query("train_test_split", sql_with(*FILLED_MA, body=f", {SPLIT} select symbol, ds, y, is_train from split"))
@@ -227,7 +229,7 @@ def cv_metrics(t: Tables) -> DataFrame:
     frame = _training_frame(t)
     fitted = forecast(with_configs(frame))
     tested = fitted.filter(~F.col("is_train") & F.col("y").isNotNull())
-    scored = forecast_metrics(forecast_errors(tested, _frame(t)), by=("symbol", "config_id", "mode", "prior"))
+    scored = forecast_metrics(with_errors(tested), by=("symbol", "config_id", "mode", "prior"))
     # Used by two branches: kept as files, so the candidate fits run once.
     best = materialize(best_config(scored), "best-config")
     chosen = with_folds(frame).join(best.select("symbol", "config_id", "mode", "prior"), "symbol")

@@ -3,9 +3,9 @@ only the least-squares fit of one series runs in Python, inside Spark tasks."""
 
 from tidemark.forecast.events import Event, event_features
 from tidemark.forecast.fit import forecast
-from tidemark.forecast.frame import future_frame, model_frame, shift_regressors, split_by_time
+from tidemark.forecast.frame import frame_of, future_frame, model_frame, shift_regressors, split_by_time
 from tidemark.forecast.grid import DEFAULT_GRID, Config, with_configs
-from tidemark.forecast.score import best_config, cv_scores, forecast_errors, forecast_metrics
+from tidemark.forecast.score import best_config, cv_scores, forecast_errors, forecast_metrics, with_errors
 from tidemark.forecast.folds import fold_sizes, with_folds
 
 __all__ = [
@@ -19,10 +19,12 @@ __all__ = [
     "forecast",
     "forecast_errors",
     "forecast_metrics",
+    "frame_of",
     "future_frame",
     "model_frame",
     "shift_regressors",
     "split_by_time",
     "with_configs",
+    "with_errors",
     "with_folds",
 ]

@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.quality import MAX_BROADCAST_ROWS
 
-EVENT_SCHEMA = "symbol string, name string, day date, lower int, upper int"
-
 
 @dataclass(frozen=True)
 class Event:
@@ -33,18 +31,26 @@ HALVINGS = (
 )
 
 
+def event_days(events: Sequence[Event]) -> dict[tuple[str, dt.date], list[str]]:
+    """(symbol, day) -> sorted ``<name>_<offset>`` keys of all windows covering the day."""
+    days: dict[tuple[str, dt.date], set[str]] = {}
+    for e in events:
+        for offset in range(e.lower, e.upper + 1):
+            days.setdefault((e.symbol, e.day + dt.timedelta(days=offset)), set()).add(f"{e.name}_{offset}")
+    return {k: sorted(v) for k, v in sorted(days.items())}
+
+
 def event_features(frame: DataFrame, events: Sequence[Event], key: str = "symbol", ds: str = "ds") -> DataFrame:
-    """Add ``event_keys``: sorted ``<name>_<offset>`` strings, empty on ordinary days."""
+    """Add ``event_keys``: the event days' indicator keys, empty on ordinary days.
+
+    The event list is configuration, so its days are laid out on the driver; they are
+    broadcast up to a fixed number of rows and joined like any table beyond it.
+    """
     none = F.array().cast("array<string>")
     if not events:
         return frame.withColumn("event_keys", none)
-    rows = [(e.symbol, e.name, e.day, e.lower, e.upper) for e in events]
-    offsets = frame.sparkSession.createDataFrame(rows, EVENT_SCHEMA).select(
-        F.col("symbol").alias(key), "name", "day", F.explode(F.sequence("lower", "upper")).alias("offset")
-    )
-    days = offsets.groupBy(key, F.date_add("day", F.col("offset")).alias(ds)).agg(
-        F.array_sort(F.collect_set(F.concat_ws("_", "name", "offset"))).alias("event_keys")
-    )
-    if sum(e.upper - e.lower + 1 for e in events) <= MAX_BROADCAST_ROWS:
+    rows = [(symbol, day, keys) for (symbol, day), keys in event_days(events).items()]
+    days = frame.sparkSession.createDataFrame(rows, f"{key} string, {ds} date, event_keys array<string>")
+    if len(rows) <= MAX_BROADCAST_ROWS:
         days = F.broadcast(days)
     return frame.join(days, [key, ds], "left").withColumn("event_keys", F.coalesce("event_keys", none))

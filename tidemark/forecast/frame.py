@@ -22,6 +22,12 @@ def model_frame(inputs: DataFrame, daily: DataFrame, regressors: Sequence[str] =
     return inputs.select("ds", "y", "symbol").join(features, ["ds", "symbol"], "left")
 
 
+def frame_of(daily: DataFrame, regressors: Sequence[str] = REGRESSORS) -> DataFrame:
+    """The model frame of one daily table that holds target and regressors: no join needed."""
+    require_columns(daily, ["date", "symbol", "daily_close", *regressors], "frame_of")
+    return daily.select(F.col("date").alias("ds"), "symbol", F.col("daily_close").alias("y"), *regressors)
+
+
 def split_by_time(frame: DataFrame, fraction: float = 0.8, key: str = "symbol", ds: str = "ds") -> DataFrame:
     """Mark the first ``floor(fraction * n)`` rows of each series as training rows."""
     position = F.row_number().over(Window.partitionBy(key).orderBy(ds))

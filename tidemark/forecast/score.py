@@ -14,9 +14,13 @@ from tidemark.schemas import require_columns
 def forecast_errors(predicted: DataFrame, actual: DataFrame, on: Sequence[str] = ("symbol", "ds")) -> DataFrame:
     """Predictions left-joined with actual values; error, abs_error and pct_error per row."""
     require_columns(predicted, [*on, "yhat"], "forecast_errors")
-    joined = predicted.drop("y").join(actual.select(*on, "y"), list(on), "left")
+    return with_errors(predicted.drop("y").join(actual.select(*on, "y"), list(on), "left"))
+
+
+def with_errors(df: DataFrame) -> DataFrame:
+    """The error columns of a frame that holds y and yhat side by side."""
     error = F.col("y") - F.col("yhat")
-    return joined.withColumns({"error": error, "abs_error": F.abs(error), "pct_error": pct_error("y", "yhat")})
+    return df.withColumns({"error": error, "abs_error": F.abs(error), "pct_error": pct_error("y", "yhat")})
 
 
 def forecast_metrics(errors: DataFrame, by: Sequence[str] = ("symbol",), scale: int | None = None) -> DataFrame:

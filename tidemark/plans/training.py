@@ -15,13 +15,13 @@ from tidemark.forecast import (
     cv_scores,
     event_features,
     forecast,
-    forecast_errors,
     forecast_metrics,
     future_frame,
     model_frame,
     shift_regressors,
     split_by_time,
     with_configs,
+    with_errors,
     with_folds,
 )
 from tidemark.plans.layout import Layout
@@ -56,7 +56,7 @@ def train(
     fits = read_version(spark, layout.model("fits"))
 
     tested = fits.filter(~F.col("is_train") & F.col("y").isNotNull())
-    errors = forecast_errors(tested, frame)
+    errors = with_errors(tested)
     best = materialize(best_config(forecast_metrics(errors, ("symbol", *CONFIG))), "best-config")
     chosen = best.select("symbol", *CONFIG)
     folds = forecast(with_folds(ready).join(chosen, "symbol"), by=("symbol", "fold"))
