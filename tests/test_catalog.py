@@ -10,6 +10,7 @@ from tidemark import catalog
 SF = "/root/testdata/sf0.001"
 QUERIES, ORACLE = catalog.queries(), catalog.oracle_sql()
 NO_SQL = {"forecast", "cv_metrics"}
+ONE_ROW_OR_TOP_N = {"top_price_change_days", "top_volume_days", "large_gaps", "model_kpis", "dataset_profile"}
 STREAMS = {"stream_daily_ohlcv", "stream_5min_ohlcv", "stream_stats_table"}
 
 
@@ -34,6 +35,15 @@ def canonical(rows, columns):
     return [columns[i] for i in order], sorted(table, key=lambda r: [(v is not None, str(v)) for v in r])
 
 
+def check_plan(name, df):
+    """No pairwise joins, no row-at-a-time Python, no window or group of the whole table in one task."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "CollectLimit"):
+        assert bad not in plan
+    if name not in ONE_ROW_OR_TOP_N:
+        assert "Exchange SinglePartition" not in plan
+
+
 def test_every_query_has_sql_but_the_fits():
     assert set(QUERIES) - set(ORACLE) == NO_SQL and len(QUERIES) >= 51
 
@@ -41,6 +51,8 @@ def test_every_query_has_sql_but_the_fits():
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_its_sql(spark, duck, name):
     df = QUERIES[name](spark, SF)
+    if name not in STREAMS:
+        check_plan(name, df)
     columns, mine = canonical([tuple(r) for r in df.collect()], df.columns)
     relation = duck.sql(ORACLE[name])
     other_columns, theirs = canonical(relation.fetchall(), relation.columns)
@@ -50,15 +62,6 @@ def test_query_equals_its_sql(spark, duck, name):
             assert x == y or (isinstance(x, float) and x == pytest.approx(y, rel=1e-12)), (a, b)
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - STREAMS - NO_SQL))
-def test_plans_have_no_pairwise_joins_or_unpartitioned_windows(spark, name):
-    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
-    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "CollectLimit"):
-        assert bad not in plan
-    if name not in {"top_price_change_days", "top_volume_days", "large_gaps", "model_kpis", "dataset_profile"}:
-        assert "Exchange SinglePartition" not in plan
-
-
 def test_fitted_queries(spark):
     fits = QUERIES["forecast"](spark, SF)
     assert fits.filter("status <> 'ok'").count() == 0
@@ -70,3 +73,10 @@ def test_fitted_queries(spark):
 def test_entry(spark):
     df = entrypoint.entry(spark)
     assert {"symbol", "date", "ma7", "ma30"} <= set(df.columns) and df.count() > 0
+
+
+def test_command_line(spark, capsys):
+    from tidemark.__main__ import main
+
+    main(["query", "coverage", SF])
+    assert "1-URGENT" in capsys.readouterr().out

@@ -116,7 +116,7 @@ def stage_audit(t: Tables) -> DataFrame:
     sql_with(
         *FILLED,
         body="\nunion all\n".join(
-            f"""select '{c}' as column_name, count(*) as row_count, count(*) - count({c}) as null_count,
+            f"""select '{c}' as column_name, '{"bigint" if c == "cnt" else "double"}' as data_type, count(*) as row_count, count(*) - count({c}) as null_count,
        cast(min({c}) as double) as min_value, cast(max({c}) as double) as max_value,
        round(avg({c}), 4) as mean_value, round(stddev_samp({c}), 4) as std_value from filled"""
             for c in ("daily_open", "daily_high", "daily_low", "daily_close", "daily_volume", "cnt")

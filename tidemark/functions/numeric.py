@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MIN_DENOMINATOR = 1e-8
-
+from tidemark.functions.columns import as_column
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+MIN_DENOMINATOR = 1e-8
 
 
 def exact_sum(value: Column | str, scale: int | None, precision: int = 18) -> Column:
@@ -19,7 +17,7 @@ def exact_sum(value: Column | str, scale: int | None, precision: int = 18) -> Co
     split, merged or retried. Values of up to 18 digits are kept in longs before they are added; a larger
     ``precision`` is for values that need it. ``scale=None`` is the floating-point sum.
     """
-    value = _col(value)
+    value = as_column(value)
     if scale is None:
         return F.sum(value)
     return F.sum(value.cast(f"decimal({precision},{scale})")).cast("double")
@@ -27,7 +25,7 @@ def exact_sum(value: Column | str, scale: int | None, precision: int = 18) -> Co
 
 def exact_mean(value: Column | str, scale: int | None, precision: int = 18) -> Column:
     """Mean of the non-null values; with ``scale`` built on :func:`exact_sum`."""
-    value = _col(value)
+    value = as_column(value)
     if scale is None:
         return F.avg(value)
     return F.try_divide(exact_sum(value, scale, precision), F.count(value).cast("double"))
@@ -35,17 +33,17 @@ def exact_mean(value: Column | str, scale: int | None, precision: int = 18) -> C
 
 def pct_change(start: Column | str, end: Column | str) -> Column:
     """Relative change in percent; NULL when the start is zero."""
-    start, end = _col(start), _col(end)
+    start, end = as_column(start), as_column(end)
     return F.try_divide(end - start, start) * F.lit(100.0)
 
 
 def clip_lower(value: Column | str, floor: float = MIN_DENOMINATOR) -> Column:
     """Values below ``floor`` become ``floor``; NULL stays NULL."""
-    value = _col(value)
+    value = as_column(value)
     return F.when(value < floor, F.lit(floor)).otherwise(value)
 
 
 def pct_error(actual: Column | str, predicted: Column | str) -> Column:
     """Absolute error in percent of the (floored) actual value."""
-    actual, predicted = _col(actual), _col(predicted)
+    actual, predicted = as_column(actual), as_column(predicted)
     return F.abs(actual - predicted) / clip_lower(actual) * F.lit(100.0)

@@ -7,11 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SECONDS_PER_DAY = 86_400
-
+from tidemark.functions.columns import as_column
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+SECONDS_PER_DAY = 86_400
 
 
 def epoch_to_timestamp(epoch: Column | str, unit: str) -> Column:
@@ -19,18 +17,18 @@ def epoch_to_timestamp(epoch: Column | str, unit: str) -> Column:
     convert = {"s": F.timestamp_seconds, "ms": F.timestamp_millis, "us": F.timestamp_micros}
     if unit not in convert:
         raise ValueError(f"epoch unit must be one of {sorted(convert)}, got {unit!r}")
-    return convert[unit](_col(epoch).cast("bigint"))
+    return convert[unit](as_column(epoch).cast("bigint"))
 
 
 def day_of(ts: Column | str, tz: str | None = None) -> Column:
     """Calendar day of an instant, in the session zone or in ``tz`` (session zone = UTC)."""
-    ts = _col(ts)
+    ts = as_column(ts)
     return F.to_date(F.from_utc_timestamp(ts, tz) if tz else ts)
 
 
 def epoch_day(epoch_seconds: Column | str) -> Column:
     """Whole UTC days since the epoch, for epoch-second columns."""
-    return F.floor(_col(epoch_seconds) / F.lit(SECONDS_PER_DAY)).cast("bigint")
+    return F.floor(as_column(epoch_seconds) / F.lit(SECONDS_PER_DAY)).cast("bigint")
 
 
 def with_calendar_parts(df: DataFrame, ts: str) -> DataFrame:
@@ -44,5 +42,5 @@ def ordering(columns: Sequence[str | Column]) -> Column:
     A lone column stays plain, so ``min_by``/``max_by`` keep a fixed-width buffer and plan as
     a hash aggregate; only a real tie-break pays for the struct (a sort aggregate).
     """
-    cols = [_col(c) for c in columns]
+    cols = [as_column(c) for c in columns]
     return cols[0] if len(cols) == 1 else F.struct(*cols)

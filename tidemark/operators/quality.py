@@ -128,7 +128,7 @@ def observed(df: DataFrame, name: str, values: Sequence[str] = ()) -> tuple[Data
 
 
 def dataset_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows, nulls, min, max, mean and deviation of numeric columns, one output row per column.
+    """Type, rows, nulls, min, max, mean and deviation of numeric columns, one output row per column.
 
     One pass over the table computes all columns side by side; the unpivot works on its
     single result row.
@@ -145,8 +145,9 @@ def dataset_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     wide = df.agg(
         *[fn(F.col(c).cast("double")).alias(f"{c}|{name}") for c in columns for name, fn in stats.items()]
     )
+    types = dict(df.dtypes)
     rows = [
-        F.struct(F.lit(c).alias("column_name"), *[F.col(f"`{c}|{name}`").alias(name) for name in stats])
+        F.struct(F.lit(c).alias("column_name"), F.lit(types[c]).alias("data_type"), *[F.col(f"`{c}|{name}`").alias(name) for name in stats])
         for c in columns
     ]
     return wide.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")

@@ -29,6 +29,7 @@ from tidemark.sinks import materialize, read_version, write_csv, write_version
 
 HORIZON = 30
 CONFIG = ("config_id", "mode", "prior")
+SERIES_ORDER = ("symbol", "ds")
 
 
 def training_frame(frame: DataFrame, events: Sequence[Event], timing: str = "lagged") -> DataFrame:
@@ -52,7 +53,7 @@ def train(
     """
     frame = model_frame(read_version(spark, layout.model_input), read_version(spark, layout.daily_filled))
     ready = training_frame(frame, events, timing)
-    write_version(forecast(with_configs(ready, grid)), layout.model("fits"), partition_by=("symbol",))
+    write_version(forecast(with_configs(ready, grid)), layout.model("fits"), (), cluster_by=SERIES_ORDER)
     fits = read_version(spark, layout.model("fits"))
 
     tested = fits.filter(~F.col("is_train") & F.col("y").isNotNull())
@@ -63,7 +64,7 @@ def train(
     metrics = best.join(cv_scores(folds), "symbol", "left")
 
     on = ["symbol", "config_id"]
-    write_version(fits.join(chosen.select(*on), on), layout.model("forecasts"), partition_by=("symbol",))
+    write_version(fits.join(chosen.select(*on), on), layout.model("forecasts"), (), cluster_by=SERIES_ORDER)
     actual = errors.join(chosen.select(*on), on)
     write_csv(actual.select("symbol", "ds", "yhat", "y", "error", "abs_error", "pct_error"), layout.model("actual_vs_pred"))
     write_csv(metrics, layout.model("metrics"))

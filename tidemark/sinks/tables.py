@@ -81,11 +81,19 @@ def read_version(spark: SparkSession, root: str, back: int = 0) -> DataFrame | N
     return spark.read.parquet(version_path(root, known[-1 - back])) if len(known) > back else None
 
 
-def write_version(df: DataFrame, root: str, partition_by: Sequence[str] = DAILY_LAYOUT, keep: int = 2) -> str:
+def write_version(
+    df: DataFrame,
+    root: str,
+    partition_by: Sequence[str] = DAILY_LAYOUT,
+    cluster_by: Sequence[str] = (),
+    keep: int = 2,
+) -> str:
     """Write the next version, then drop versions older than the newest ``keep``.
 
     Readers see the old version until the job commits its success marker. An attempt that
-    died leaves an uncommitted folder, which the next write replaces.
+    died leaves an uncommitted folder, which the next write replaces. ``cluster_by`` is for
+    tables without partition folders: rows of a key lie together, so file statistics prune,
+    however many keys there are.
     """
     spark = df.sparkSession
     known = versions(spark, root)
@@ -93,7 +101,9 @@ def write_version(df: DataFrame, root: str, partition_by: Sequence[str] = DAILY_
     if partition_by:
         write_partitioned(df, path, partition_by)
     else:
-        df.write.mode("overwrite").parquet(path)
+        packed = _clustered(df, cluster_by)
+        packed = packed.sortWithinPartitions(*cluster_by) if cluster_by else packed
+        packed.write.mode("overwrite").parquet(path)
     for old in known[: max(0, len(known) + 1 - keep)]:
         remove_tree(spark, version_path(root, old))
     return path
