@@ -52,6 +52,19 @@ def normalize_bars(df: DataFrame, symbol: str | None = None, epoch_unit: str = "
     return with_calendar_parts(out, "datetime")
 
 
+DERIVED = ("datetime", "year", "month")
+
+
+def without_derived(bars: DataFrame) -> DataFrame:
+    """Bars without the columns that follow from ``timestamp``: less to shuffle."""
+    return bars.drop(*DERIVED)
+
+
+def with_derived(bars: DataFrame) -> DataFrame:
+    """Add ``datetime``, ``year`` and ``month`` from the epoch-second ``timestamp``."""
+    return with_calendar_parts(bars.withColumn("datetime", epoch_to_timestamp("timestamp", "s")), "datetime")
+
+
 def union_sources(frames: Sequence[DataFrame]) -> DataFrame:
     """Union by name; columns some source lacks are NULL there."""
     out = frames[0]

@@ -15,7 +15,7 @@ from tidemark.functions import day_of, with_calendar_parts
 from tidemark.operators import calendar, quality, reports
 from tidemark.operators.fill import clean_bars
 from tidemark.operators.layers import incremental_slice, merge_layers
-from tidemark.operators.normalize import model_input, normalize_bars, union_sources
+from tidemark.operators.normalize import model_input, normalize_bars, union_sources, with_derived, without_derived
 from tidemark.operators.resample import daily_bars
 from tidemark.plans.layout import Layout
 from tidemark.schemas import OHLCV
@@ -31,10 +31,12 @@ def convert(spark: SparkSession, layout: Layout, sources: Mapping[str, str], epo
 
 def clean(spark: SparkSession, layout: Layout, order_by: Sequence[str] = ()) -> dict[str, int]:
     """Unique, forward-filled, null-free bars; returns the row counts before and after."""
-    raw = normalize_bars(spark.read.parquet(layout.bars))
+    stored = spark.read.parquet(layout.bars)
+    # Both branches of the fill then need the same columns and share one deduplication shuffle.
+    raw = without_derived(normalize_bars(stored))
     cleaned, seen = quality.observed(clean_bars(raw, list(order_by) or list(OHLCV)), "bars_clean")
-    write_partitioned(cleaned, layout.bars_clean)
-    return {"rows_in": raw.count(), "rows_clean": seen.get["rows"]}
+    write_partitioned(with_derived(cleaned), layout.bars_clean)
+    return {"rows_in": stored.count(), "rows_clean": seen.get["rows"]}
 
 
 def daily(spark: SparkSession, layout: Layout, tz: str | None = None) -> None:
