@@ -80,3 +80,10 @@ def test_command_line(spark, capsys):
 
     main(["query", "coverage", SF])
     assert "1-URGENT" in capsys.readouterr().out
+
+
+def test_streams_read_tables_of_many_files(spark, tmp_path, rows_of):
+    spark.read.parquet(f"{SF}/events.parquet").repartition(5).write.parquet(str(tmp_path / "events.parquet"))
+    for name in ("stream_daily_ohlcv", "tick_daily"):
+        columns = ("symbol", "date", "daily_open", "daily_close", "daily_volume", "tick_count")
+        assert rows_of(QUERIES[name](spark, str(tmp_path)), *columns) == rows_of(QUERIES[name](spark, SF), *columns)

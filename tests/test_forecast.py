@@ -4,12 +4,14 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from tidemark.forecast import (
     DEFAULT_GRID,
     Event,
     best_config,
+    cv_scores,
     event_features,
     fold_sizes,
     forecast,
@@ -143,3 +145,26 @@ def test_errors_metrics_and_choice(spark):
     row = metrics.filter("config_id = 1").first()
     assert (row.mse, row.mae, row.n) == (34.0, 5.0, 2) and row.rmse == pytest.approx(math.sqrt(34))
     assert best_config(metrics).first().config_id == 1
+
+
+def test_spark_fits_and_folds_equal_a_plain_loop(spark):
+    rows = series(260, weekly_wave) + series(260, lambda i: 50 + i % 7, "B")
+    frame = split_by_time(spark.createDataFrame(rows, FRAME)).withColumn("event_keys", F.array().cast("array<string>"))
+    frame = frame.withColumns({"mode": F.lit("additive"), "prior": F.lit(0.05)})
+    fitted = {(r.symbol, r.ds): r.yhat for r in forecast(frame, by=("symbol",), tasks=3).collect()}
+    folds = forecast(with_folds(frame), by=("symbol", "fold"), tasks=3)
+    scores = {r.symbol: r.cv_mape for r in cv_scores(folds).collect()}
+
+    for symbol in "AB":
+        mine = [r for r in rows if r[0] == symbol]
+        plain = fit_series(as_pandas(mine, 208))
+        assert np.allclose([fitted[symbol, d] for d in plain["ds"]], plain["yhat"], rtol=1e-9)
+        errors = []
+        for cutoff in (208 - 60, 208 - 45, 208 - 30):
+            part = fit_series(as_pandas(mine[: cutoff + 30], cutoff))[cutoff:]
+            errors.extend(np.abs(part["y"] - part["yhat"]) / part["y"] * 100)
+        assert len(errors) == 90 and scores[symbol] == pytest.approx(np.mean(errors), rel=1e-9)
+
+
+def test_the_fit_travels_to_workers_without_the_package():
+    assert "tidemark.forecast.fit" in cloudpickle.list_registry_pickle_by_value()

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.catalog.inputs import EVENTS, FILLED_MA, MONEY, daily_filled, sql_with
+from tidemark.catalog.inputs import EVENTS, FILLED_MA, daily_filled, sql_with
 from tidemark.catalog.registry import Tables, query
 from tidemark.catalog.reporting import PCT_SCALE
 from tidemark.forecast import (
@@ -110,7 +110,11 @@ def event_feature_rows(t: Tables) -> DataFrame:
 
 @query(
     "param_grid",
-    sql_with(*FILLED_MA, body=f", {GRID}, series as (select symbol, count(*) as days from filled_ma group by 1) select * from series cross join grid"),
+    sql_with(
+        *FILLED_MA,
+        body=f""", {GRID}, series as (select symbol, count(*) as days from filled_ma group by 1)
+select * from series cross join grid""",
+    ),
 )
 def param_grid(t: Tables) -> DataFrame:
     return with_configs(daily_filled(t).groupBy("symbol").agg(F.count(F.lit(1)).alias("days")))

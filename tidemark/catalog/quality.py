@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.catalog.inputs import DAILY, FILLED, LINE_ORDER, MONEY, daily, daily_filled, line_bars, order_bars, sql_with, tick_bars, ticks
+from tidemark.catalog.inputs import (
+    DAILY,
+    FILLED,
+    LINE_ORDER,
+    MONEY,
+    daily,
+    daily_filled,
+    line_bars,
+    order_bars,
+    sql_with,
+    tick_bars,
+    ticks,
+)
 from tidemark.catalog.registry import Tables, query
 from tidemark.functions.times import epoch_day
 from tidemark.operators import calendar, fill, quality
@@ -32,13 +44,19 @@ def dedup_bars(t: Tables) -> DataFrame:
 
 @query(
     "duplicate_keys",
-    sql_with("line_bars", body='select symbol, "timestamp", count(*) as count from line_bars group by 1, 2 having count(*) > 1'),
+    sql_with(
+        "line_bars",
+        body='select symbol, "timestamp", count(*) as count from line_bars group by 1, 2 having count(*) > 1',
+    ),
 )
 def duplicate_keys(t: Tables) -> DataFrame:
     return quality.duplicate_keys(line_bars(t), ["symbol", "timestamp"])
 
 
-@query("per_day_counts", sql_with("ticks", body="select symbol, cast(ts as date) as date, count(*) as count from ticks group by 1, 2"))
+@query(
+    "per_day_counts",
+    sql_with("ticks", body="select symbol, cast(ts as date) as date, count(*) as count from ticks group by 1, 2"),
+)
 def per_day_counts(t: Tables) -> DataFrame:
     return quality.per_day_counts(ticks(t), ts="event_timestamp")
 
@@ -87,7 +105,10 @@ def missing_days(t: Tables) -> DataFrame:
 
 @query(
     "coverage",
-    sql_with(*DAILY, body="select symbol, count(*) as rows, min(date) as first_date, max(date) as last_date from daily group by 1"),
+    sql_with(
+        *DAILY,
+        body="select symbol, count(*) as rows, min(date) as first_date, max(date) as last_date from daily group by 1",
+    ),
 )
 def coverage(t: Tables) -> DataFrame:
     return quality.coverage(daily(t))

@@ -119,7 +119,9 @@ def moving_averages(
     return df.withColumns(added)
 
 
-def period_mean(df: DataFrame, value: str, period: Column, name: str, alias: str, key: str = "symbol", scale: int | None = None) -> DataFrame:
+def period_mean(
+    df: DataFrame, value: str, period: Column, name: str, alias: str, key: str = "symbol", scale: int | None = None
+) -> DataFrame:
     """Mean of ``value`` per (key, period), such as a month or a year."""
     total = exact_sum(value, scale)
     return df.groupBy(key, period.alias(name)).agg(F.try_divide(total, F.count(value).cast("double")).alias(alias))

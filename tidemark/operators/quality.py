@@ -7,6 +7,8 @@ aggregates combine on the map side, and ordered work happens inside bounded time
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
@@ -110,7 +112,7 @@ def high_water_mark(df: DataFrame, key: str = "symbol", date: str = "date") -> D
 
 def stage_audit(bars: DataFrame, key: str, ts: str, values: Sequence[str]) -> DataFrame:
     """Row accounting of the cleaning stage in one job: raw, with a null value, repeated, unique."""
-    has_null = F.greatest(*[F.col(c).isNull().cast("int") for c in values]) if len(values) > 1 else F.col(values[0]).isNull().cast("int")
+    has_null = reduce(or_, [F.col(c).isNull() for c in values]).cast("int")
     per_stamp = bars.groupBy(key, ts).agg(F.count(F.lit(1)).alias("_n"), F.sum(has_null).alias("_null"))
     return per_stamp.groupBy(key).agg(
         F.sum("_n").alias("rows_in"),
@@ -147,7 +149,11 @@ def dataset_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
     types = dict(df.dtypes)
     rows = [
-        F.struct(F.lit(c).alias("column_name"), F.lit(types[c]).alias("data_type"), *[F.col(f"`{c}|{name}`").alias(name) for name in stats])
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.lit(types[c]).alias("data_type"),
+            *[F.col(f"`{c}|{name}`").alias(name) for name in stats],
+        )
         for c in columns
     ]
     return wide.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")

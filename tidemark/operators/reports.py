@@ -12,7 +12,8 @@ from tidemark.operators.calendar import period_mean
 def top_price_change_days(daily: DataFrame, top: int = 10) -> DataFrame:
     """Largest absolute open-to-close moves; ties by symbol and date."""
     change = F.round(F.abs(pct_change("daily_open", "daily_close")), 6).alias("price_change_percent")
-    return daily.select("symbol", "date", change).orderBy(F.desc_nulls_last("price_change_percent"), "symbol", "date").limit(top)
+    changes = daily.select("symbol", "date", change)
+    return changes.orderBy(F.desc_nulls_last("price_change_percent"), "symbol", "date").limit(top)
 
 
 def top_volume_days(daily: DataFrame, top: int = 10) -> DataFrame:
@@ -35,7 +36,9 @@ def last_n(df: DataFrame, n: int = 90, key: str = "symbol", date: str = "date")
     return df.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") <= n).drop("_rank")
 
 
-def error_histogram(errors: DataFrame, low: float, high: float, bins: int, value: str = "pct_error", key: str = "symbol") -> DataFrame:
+def error_histogram(
+    errors: DataFrame, low: float, high: float, bins: int, value: str = "pct_error", key: str = "symbol"
+) -> DataFrame:
     """Counts per equal-width bin; bin 0 and bin ``bins + 1`` hold everything outside the range."""
     bucket = F.width_bucket(value, F.lit(float(low)), F.lit(float(high)), F.lit(bins)).cast("bigint")
     return errors.filter(F.col(value).isNotNull()).groupBy(key, bucket.alias("bin")).agg(F.count(F.lit(1)).alias("n"))

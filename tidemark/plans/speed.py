@@ -10,7 +10,14 @@ from tidemark.plans.layout import Layout
 from tidemark.sinks import write_partitioned
 from tidemark.sources import parse_messages, read_topic
 from tidemark.sources.messages import accepted, rejects
-from tidemark.streaming import console_monitor, daily_files, memory_table, snapshot_table, windowed_bars, with_event_watermark
+from tidemark.streaming import (
+    console_monitor,
+    daily_files,
+    memory_table,
+    snapshot_table,
+    windowed_bars,
+    with_event_watermark,
+)
 
 ARRIVAL = ("kafka_timestamp", "kafka_partition", "kafka_offset")
 ORDER = ("event_timestamp", "kafka_partition", "kafka_offset")

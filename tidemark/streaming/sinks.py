@@ -41,7 +41,9 @@ def memory_table(bars: DataFrame, name: str, every: str | None = "10 seconds") -
     return bars.writeStream.outputMode("complete").format("memory").queryName(name).trigger(**_trigger(every)).start()
 
 
-def snapshot_table(bars: DataFrame, root: str, checkpoint: str, every: str | None = "10 seconds", keep: int = 2) -> StreamingQuery:
+def snapshot_table(
+    bars: DataFrame, root: str, checkpoint: str, every: str | None = "10 seconds", keep: int = 2
+) -> StreamingQuery:
     """All windows so far as a versioned Parquet table, written by the executors.
 
     The scalable form of :func:`memory_table`. The version is the batch number, so a batch
