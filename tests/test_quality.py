@@ -30,6 +30,21 @@ def test_keep_first_limits_before_the_shuffle(spark):
     assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
 
 
+@pytest.mark.parametrize("few", [0, 2, 10_000])
+def test_drop_repeats_equals_keep_first(spark, rows_of, few):
+    df = random_bars(spark).unionByName(spark.createDataFrame([(None, 1, 2.0), (None, 1, 1.0), ("A", None, 3.0), ("A", None, 4.0)], BARS))
+    keys, order = ["symbol", "timestamp"], ["close"]
+    assert rows_of(quality.drop_repeats(df, keys, order, few)) == rows_of(quality.keep_first(df, keys, order))
+
+
+def test_drop_repeats_shuffles_nothing_when_keys_are_unique(spark):
+    df = random_bars(spark).dropDuplicates(["symbol", "timestamp"]).coalesce(1)
+    assert quality.drop_repeats(df, ["symbol", "timestamp"], ["close"]) is df
+    one = df.unionByName(df.limit(1))
+    plan = quality.drop_repeats(one, ["symbol", "timestamp"], ["close"])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan and "SortMergeJoin" not in plan
+
+
 def test_gaps_equal_a_plain_lag(spark, rows_of):
     df = random_bars(spark)
     window = Window.partitionBy("symbol").orderBy("timestamp")

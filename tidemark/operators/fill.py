@@ -59,5 +59,9 @@ def clean_bars(
     Duplicates go first, so that which copy survives is decided on the data as delivered.
     """
     tie = list(order_by) or [c for c in bars.columns if c not in (key, ts)]
-    unique = keep_first(bars, [key, ts], tie)
-    return fill_bars(unique, key, ts).dropna(subset=[*OHLC, "volume"])
+    return complete_bars(keep_first(bars, [key, ts], tie), key, ts)
+
+
+def complete_bars(bars: DataFrame, key: str = "symbol", ts: str = "timestamp") -> DataFrame:
+    """Fill bars that are unique per (key, ts) and drop those whose prices never had a value."""
+    return fill_bars(bars, key, ts).dropna(subset=[*OHLC, "volume"])

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
@@ -38,6 +38,27 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count")).filter("count > 1")
 
 
+def drop_repeats(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column], few: int = MAX_BROADCAST_ROWS
+) -> DataFrame:
+    """:func:`keep_first` for data that should have no or few repeated keys.
+
+    Looks first, in one job that shuffles the keys only. Without repeats the rows pass
+    through; up to ``few`` repeated keys are broadcast, and only the rows that have them are
+    ranked, so the other rows are not shuffled at all. With more, every row is ranked.
+    """
+    repeated = duplicate_keys(df, keys).select(*[F.col(k).alias(f"_dup_{k}") for k in keys])
+    found = repeated.limit(few + 1).collect()
+    if not found:
+        return df
+    if len(found) > few:
+        return keep_first(df, keys, order_by)
+    listed = F.broadcast(df.sparkSession.createDataFrame(found, repeated.schema))
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_dup_{k}")) for k in keys])
+    ranked = keep_first(df.join(listed, same, "left_semi"), keys, order_by)
+    return df.join(listed, same, "left_anti").unionByName(ranked)
+
+
 def per_day_counts(df: DataFrame, key: str = "symbol", ts: str = "datetime", tz: str | None = None) -> DataFrame:
     return df.groupBy(key, day_of(ts, tz).alias("date")).agg(F.count(F.lit(1)).alias("count"))
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import day_of, with_calendar_parts
 from tidemark.operators import calendar, quality, reports
-from tidemark.operators.fill import clean_bars
+from tidemark.operators.fill import complete_bars
 from tidemark.operators.layers import incremental_slice, merge_layers
 from tidemark.operators.normalize import model_input, normalize_bars, union_sources, with_derived, without_derived
 from tidemark.operators.resample import daily_bars
@@ -32,9 +32,9 @@ def convert(spark: SparkSession, layout: Layout, sources: Mapping[str, str], epo
 def clean(spark: SparkSession, layout: Layout, order_by: Sequence[str] = ()) -> dict[str, int]:
     """Unique, forward-filled, null-free bars; returns the row counts before and after."""
     stored = spark.read.parquet(layout.bars)
-    # Both branches of the fill then need the same columns and share one deduplication shuffle.
     raw = without_derived(normalize_bars(stored))
-    cleaned, seen = quality.observed(clean_bars(raw, list(order_by) or list(OHLCV)), "bars_clean")
+    unique = quality.drop_repeats(raw, ["symbol", "timestamp"], list(order_by) or list(OHLCV))
+    cleaned, seen = quality.observed(complete_bars(unique), "bars_clean")
     write_partitioned(with_derived(cleaned), layout.bars_clean)
     return {"rows_in": stored.count(), "rows_clean": seen.get["rows"]}
 
