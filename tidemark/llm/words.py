@@ -45,12 +45,23 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return have[0][:n], have[1][:n]
 
 
-def _spans_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
-    """Polynomial hash of values[start:end] for each span, mixed with its length."""
-    up, down = _powers(base, len(values) + 1)
-    sums = np.zeros(len(values) + 1, dtype=U64)
-    np.cumsum((values.astype(U64) + U64(1)) * up[: len(values)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U64) * U64(0xA24BAED4963EE407))
+def _spans_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int, step: int = 1 << 19) -> np.ndarray:
+    """Polynomial hash of values[start:end] for each span, mixed with its length.
+
+    Spans ascend and don't overlap. About ``step`` values are held as 64-bit numbers at a time.
+    """
+    out = np.empty(len(starts), dtype=U64)
+    done = 0
+    while done < len(starts):
+        upto = max(done + 1, int(np.searchsorted(ends, starts[done] + step, "right")))
+        begin, end = int(starts[done]), int(ends[upto - 1])
+        up, down = _powers(base, end - begin + 1)
+        sums = np.zeros(end - begin + 1, dtype=U64)
+        np.cumsum((values[begin:end].astype(U64) + U64(1)) * up[: end - begin], out=sums[1:])
+        first, last = starts[done:upto] - begin, ends[done:upto] - begin
+        out[done:upto] = mix((sums[last] - sums[first]) * down[first] + (last - first).astype(U64) * U64(0xA24BAED4963EE407))
+        done = upto
+    return out
 
 
 class Words:
