@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.ngram_join import similar_classes
 from tidemark.llm.registry import query, table
 from tidemark.llm.substrings import remove_repeats
 
@@ -35,3 +36,9 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS
 def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Whole documents, windows of 35 words."""
     return remove_repeats(table(spark, folder, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query("op3_ngram_jaccard_join")
+def ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole documents, five words, similarity 0.8."""
+    return similar_classes(table(spark, folder, "documents"))
