@@ -134,8 +134,27 @@ def _ask(n_words: int, buckets: int):
     return run
 
 
-def _reply(table: pa.Table) -> pa.Table:
-    """One bucket: how many shingles of each document occur elsewhere too."""
+def _reply(shares: int):
+    """One bucket: how many shingles of each document occur elsewhere too, as packed lists by share of the ids."""
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, times = _shared(table)
+        share = ids % shares
+        rows = [(int(k), ids[share == k].tobytes(), times[share == k].astype(np.int64).tobytes()) for k in np.unique(share)]
+        cols = list(zip(*rows, strict=True)) if rows else [[], [], []]
+        return pa.table({n: pa.array(c, t) for n, c, t in zip(("share", "ids", "times"), cols, (pa.int32(), pa.binary(), pa.binary()), strict=True)})
+
+    return run
+
+
+def _total(table: pa.Table) -> pa.Table:
+    """One share of the ids: their sums over all buckets."""
+    ids, times = (np.frombuffer(b"".join(table.column(c).to_pylist()), dtype=np.int64) for c in ("ids", "times"))
+    ids, at = np.unique(ids, return_inverse=True)
+    return pa.table({"id": pa.array(ids), "shared": pa.array(np.bincount(at, weights=times).astype(np.int64))})
+
+
+def _shared(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     undo = zstandard.ZstdDecompressor()
     tokens, owner, ids, n_ids, known = [], [], [], 0, []
     for t, n, o, i, k in zip(*(table.column(c).to_pylist() for c in ("tokens", "n", "owner", "ids", "known")), strict=True):
@@ -159,7 +178,7 @@ def _reply(table: pa.Table) -> pa.Table:
     # A settled token makes its other entries shared; an entry next to it is the same token's.
     times = np.bincount(owner[shared & (owner >= 0)], minlength=n_ids) if n_ids else np.zeros(0, dtype=np.int64)
     some = times > 0
-    return pa.table({"id": pa.array(np.concatenate([ids[some], known[0]])), "shared": pa.array(np.concatenate([times[some], known[1]]))})
+    return np.concatenate([ids[some], known[0]]), np.concatenate([times[some], known[1]])
 
 
 def _sets(n_words: int):
@@ -294,9 +313,11 @@ def similar_classes(docs: DataFrame, id_column: str = "doc_id", text_column: str
     # Rows of one id are one document with several texts: they share its component.
     equal = same.groupBy("n", "one", "two").agg(F.min("id").alias("first"), F.max("must").alias("must"))
     buckets = 2 * parts(spark, docs, 16 << 20)
-    shared = docs.mapInArrow(_ask(n_words, buckets), "bucket int, tokens binary, n int, owner binary, ids binary, known binary").groupBy("bucket").applyInArrow(_reply, "id long, shared long")
+    asked = docs.mapInArrow(_ask(n_words, buckets), "bucket int, tokens binary, n int, owner binary, ids binary, known binary")
+    replies = asked.groupBy("bucket").applyInArrow(_reply(max(1, buckets // 8)), "share int, ids binary, times binary")
+    shared = replies.groupBy("share").applyInArrow(_total, "id long, shared long")
     able = (
-        equal.join(shared.groupBy("id").agg(F.sum("shared").alias("shared")), F.col("first") == F.col("id"), "left")
+        equal.join(shared, F.col("first") == F.col("id"), "left")
         .filter(F.coalesce("shared", F.lit(0)) >= F.col("must"))
         .select(F.col("first").alias("id"))
         .distinct()
