@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.containment import contained_items
 from tidemark.llm.ngram_join import similar_classes
 from tidemark.llm.registry import query, table
 from tidemark.llm.substrings import remove_repeats
@@ -42,3 +43,23 @@ def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Whole documents, five words, similarity 0.8."""
     return similar_classes(table(spark, folder, "documents"))
+
+
+_OP2_SQL = r"""
+WITH t AS (
+  SELECT 0 AS side, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark
+), w AS (
+  SELECT side, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \t\n\x0B\f\r]+') AS w FROM t
+), s AS (
+  SELECT DISTINCT side, id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT side, id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM w WHERE len(w) > 0)
+), n AS (SELECT id, count(*) AS n FROM s WHERE side = 1 GROUP BY id)
+SELECT d.id AS doc_id, b.id AS item_id, CAST(count(*) AS BIGINT) AS shared, CAST(any_value(n.n) AS BIGINT) AS n_shingles
+FROM s d JOIN s b ON d.s = b.s AND d.side = 0 AND b.side = 1 JOIN n ON n.id = b.id
+GROUP BY d.id, b.id HAVING 100 * count(*) >= 80 * any_value(n.n)
+"""
+
+
+@query("op2_decontamination", _OP2_SQL)
+def decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every benchmark item against every document: five words, 80 % of an item's shingles."""
+    return contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
