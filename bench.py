@@ -85,7 +85,7 @@ def main() -> None:
     layout = plans.Layout(scratch_dir(spark, "bench"))
     text = layout.path("raw")
     bars = inputs.line_bars(tables).select("timestamp", "open", "high", "low", "close", "volume")
-    write_csv(bars, text, max_files=int(cpus))
+    write_csv(bars, text)
     seconds["csv_to_parquet"] = timed(lambda: plans.convert(spark, layout, {"LINES": text}), runs)
     stored = daily_bars(spark.read.parquet(layout.bars), day_of("datetime"), ["timestamp", "close"])
     seconds["bars_to_daily"] = timed(lambda: stored.write.format("noop").mode("overwrite").save(), runs)

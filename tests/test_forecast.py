@@ -21,6 +21,7 @@ from tidemark.forecast import (
     shift_regressors,
     split_by_time,
     with_configs,
+    with_errors,
     with_folds,
 )
 from tidemark.forecast.fit import COMPONENTS, fit_series
@@ -168,3 +169,18 @@ def test_spark_fits_and_folds_equal_a_plain_loop(spark):
 
 def test_the_fit_travels_to_workers_without_the_package():
     assert "tidemark.forecast.fit" in cloudpickle.list_registry_pickle_by_value()
+
+
+def test_a_hole_inside_the_history_is_not_the_future(spark):
+    frame = spark.createDataFrame([(dt.date(2024, 1, d), float(d), "A", 1.0, 1.0) for d in (1, 4)], "ds date, y double, symbol string, ma7 double, ma30 double")
+    rows = future_frame(frame, horizon=2).orderBy("ds").collect()
+    assert [r.is_future for r in rows] == [False] * 4 + [True] * 2
+
+
+def test_exact_metrics_hold_large_errors(spark):
+    errors = with_errors(spark.createDataFrame([("A", 1e13, 0.0), ("A", 0.0, 5.0)], "symbol string, y double, yhat double"))
+    row = forecast_metrics(errors, scale=6).first()
+    assert row.mae == pytest.approx(5e12, rel=1e-6) and row.mape == pytest.approx((100 + 5e10) / 2, rel=1e-6)
+    from tidemark.functions.numeric import out_of_range
+
+    assert errors.agg(out_of_range("error", 6).alias("n")).first().n == 1

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark import plans
 from tidemark.plans.speed import messages_to_daily
 from tidemark.sinks import read_version
-from tidemark.streaming import stop_all
+from tidemark.streaming import read_updates, stop_all
 
 DAY = 86_400
 START = int(dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc).timestamp())
@@ -103,7 +103,7 @@ def test_speed_layer_queries(spark, tmp_path):
     feed = tmp_path / "feed"
     feed.mkdir()
     lines = [json.dumps({"symbol": "A", "event_time": (START + d * DAY) * 1000, "price": float(d), "open": 1.0, "high": 2.0, "low": 0.5, "volume": 1.0}) for d in range(4)]
-    (feed / "1.json").write_text("\n".join(lines) + "\n")
+    (feed / "1.json").write_text("\n".join([*lines, "{broken"]) + "\n")
     raw = spark.readStream.text(str(feed)).select(
         "value", F.current_timestamp().alias("kafka_timestamp"), F.lit(0).alias("kafka_partition"), F.lit(0).cast("bigint").alias("kafka_offset")
     )
@@ -112,4 +112,5 @@ def test_speed_layer_queries(spark, tmp_path):
         query.awaitTermination()
     stop_all(spark)
     assert spark.read.parquet(layout.speed_daily[1]).count() == 2
-    assert read_version(spark, layout.path("speed_stream", "stats")).count() == 4
+    assert read_updates(spark, layout.path("speed_stream", "updates")).count() == 4
+    assert [r.raw for r in spark.read.parquet(layout.path("speed_stream", "rejects")).collect()] == ["{broken"]

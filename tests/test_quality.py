@@ -30,21 +30,6 @@ def test_keep_first_limits_before_the_shuffle(spark):
     assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
 
 
-@pytest.mark.parametrize("few", [0, 2, 10_000])
-def test_drop_repeats_equals_keep_first(spark, rows_of, few):
-    df = random_bars(spark).unionByName(spark.createDataFrame([(None, 1, 2.0), (None, 1, 1.0), ("A", None, 3.0), ("A", None, 4.0)], BARS))
-    keys, order = ["symbol", "timestamp"], ["close"]
-    assert rows_of(quality.drop_repeats(df, keys, order, few)) == rows_of(quality.keep_first(df, keys, order))
-
-
-def test_drop_repeats_shuffles_nothing_when_keys_are_unique(spark):
-    df = random_bars(spark).dropDuplicates(["symbol", "timestamp"]).coalesce(1)
-    assert quality.drop_repeats(df, ["symbol", "timestamp"], ["close"]) is df
-    one = df.unionByName(df.limit(1))
-    plan = quality.drop_repeats(one, ["symbol", "timestamp"], ["close"])._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan and "SortMergeJoin" not in plan
-
-
 def test_gaps_equal_a_plain_lag(spark, rows_of):
     df = random_bars(spark)
     window = Window.partitionBy("symbol").orderBy("timestamp")
@@ -94,3 +79,26 @@ def test_missing_days_equal_the_spine_without_the_data(spark, rows_of):
     expected = spine.join(days, ["symbol", "date"], "left_anti").select("date", "symbol")
     assert rows_of(calendar.missing_days(days)) == rows_of(expected)
     assert calendar.missing_days(days).count() == 3 + 8
+
+
+def test_gaps_of_a_null_series_are_kept(spark):
+    rows = [(None, 0, 1.0), (None, 500, 2.0), ("A", 0, 1.0), ("A", 100, 2.0)]
+    top = quality.large_gaps(spark.createDataFrame(rows, BARS), threshold=60, top=1).collect()
+    assert [(r.symbol, r.timestamp, r.gap, r.close) for r in top] == [(None, 500, 500, 2.0)]
+
+
+def test_gaps_scan_their_input_once(spark, tmp_path):
+    random_bars(spark).write.parquet(str(tmp_path / "bars"))
+    gaps = quality.time_gaps(spark.read.parquet(str(tmp_path / "bars")), unique=True)
+    gaps.collect()
+    plan = gaps._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ReusedExchange") >= 1
+
+
+def test_profile_of_dates_and_text(spark):
+    df = spark.sql("select date'2024-02-01' as d, 'b' as s, 1.5D as x, true as f union all select null, 'a', null, false")
+    rows = {r.column_name: r for r in quality.dataset_profile(df, ["d", "s", "x", "f"]).collect()}
+    assert (rows["d"].first_value, rows["d"].null_count, rows["d"].mean_value) == ("2024-02-01", 1, None)
+    assert (rows["s"].first_value, rows["s"].last_value) == ("a", "b")
+    assert (rows["x"].min_value, rows["x"].first_value, rows["x"].null_count) == (1.5, None, 1)
+    assert rows["f"].last_value == "true"

@@ -1,11 +1,13 @@
 import datetime as dt
 import os
+import time
 
 import pytest
 
 from tidemark.schemas import MissingColumns
+from tidemark.sinks.tables import version_path
 from tidemark.sinks import append_staging, read_version, versions, write_csv, write_partitioned, write_version
-from tidemark.sources.storage import scratch_dir
+from tidemark.sources.storage import scratch_dir, sweep_scratch
 
 
 def table(spark, months, value=1.0):
@@ -16,7 +18,7 @@ def test_only_touched_partitions_are_replaced(spark, tmp_path, rows_of):
     path = str(tmp_path / "t")
     write_partitioned(table(spark, [1, 2]), path)
     write_partitioned(table(spark, [2, 3], 9.0), path, only_touched=True)
-    assert rows_of(spark.read.parquet(path), "month", "v") == [(1, 1.0), (2, 9.0), (3, 9.0)]
+    assert rows_of(spark.read.parquet(path), "month", "v") == [("1", 1.0), ("2", 9.0), ("3", 9.0)]
     write_partitioned(table(spark, [5]), path)
     assert spark.read.parquet(path).count() == 1
     with pytest.raises(MissingColumns):
@@ -54,11 +56,42 @@ def test_partitioned_write_rebalances_instead_of_one_task_per_partition(spark):
 
 def test_csv_has_few_files_and_a_header(spark, tmp_path):
     path = str(tmp_path / "csv")
-    write_csv(spark.range(100).repartition(16), path, max_files=4)
+    write_csv(spark.range(100).repartition(16), path)
     parts = [p for p in os.listdir(path) if p.endswith(".csv")]
     assert len(parts) <= 4 and spark.read.option("header", True).csv(path).columns == ["id"]
 
 
+def test_no_report_of_data_size_passes_a_coalesce(spark, tmp_path, monkeypatch):
+    """The last stage of a report keeps its own parallelism."""
+    seen = []
+    monkeypatch.setattr("pyspark.sql.classic.dataframe.DataFrame.coalesce", lambda self, n: seen.append(n) or self)
+    write_csv(spark.range(1000).repartition(16), str(tmp_path / "csv"))
+    assert not seen
+
+
+def test_version_numbers_of_any_length(spark, tmp_path):
+    root = str(tmp_path / "v")
+    for number in (999_999, 1_000_000):
+        table(spark, [number % 7]).write.parquet(version_path(root, number))
+    assert versions(spark, root) == [999_999, 1_000_000]
+    write_version(table(spark, [1, 2]), root)
+    assert versions(spark, root) == [1_000_000, 1_000_001] and read_version(spark, root).count() == 2
+
+
+def test_series_names_that_look_like_numbers(spark, tmp_path):
+    df = spark.createDataFrame([("007", 2024, 1, 1.0), ("2024-01-01", 2024, 1, 2.0)], "symbol string, year int, month int, v double")
+    write_partitioned(df, str(tmp_path / "t"))
+    assert sorted(r.symbol for r in spark.read.parquet(str(tmp_path / "t")).collect()) == ["007", "2024-01-01"]
+
+
+def test_old_scratch_is_swept(spark):
+    path = scratch_dir(spark, "sweep-me")
+    table(spark, [1]).write.parquet(path)
+    name = path.rsplit("/", 1)[1]
+    assert name not in sweep_scratch(spark, older_than_hours=1)
+    assert name in sweep_scratch(spark, older_than_hours=1, now=time.time() + 7200)
+
+
 def test_staging_batch_replaces_itself(spark, tmp_path):
     for _ in range(2):
         path = append_staging(table(spark, [1, 2]), str(tmp_path), "batch-1")

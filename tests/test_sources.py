@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import epoch_to_timestamp
 from tidemark.operators.normalize import HeaderClash, normalize_bars, normalize_headers
 from tidemark.schemas import MissingColumns, require_columns
-from tidemark.sources import klines_to_bars, parse_messages, read_bars, read_first_available, read_kline_pages, ticker_to_messages, topic_options
+from tidemark.sources import csv_families, kline_rejects, klines_to_bars, parse_messages, read_bars, read_first_available, read_kline_pages, ticker_to_messages, topic_options
 from tidemark.sources.messages import accepted, rejects
 
 
@@ -89,8 +89,9 @@ def test_topic_options():
     bounded = topic_options("h:9092", "t", streaming=False)
     assert bounded == {"kafka.bootstrap.servers": "h:9092", "subscribe": "t", "startingOffsets": "earliest", "endingOffsets": "latest"}
     live = topic_options("h:9092", "t", streaming=True)
-    assert live["failOnDataLoss"] == "false" and live["maxOffsetsPerTrigger"] == "1000" and "endingOffsets" not in live
-    assert "maxOffsetsPerTrigger" not in topic_options("h", "t", streaming=True, max_offsets_per_trigger=None)
+    assert live["failOnDataLoss"] == "true" and "maxOffsetsPerTrigger" not in live and "endingOffsets" not in live
+    capped = topic_options("h", "t", streaming=True, max_offsets_per_trigger=1000, fail_on_data_loss=False)
+    assert capped["maxOffsetsPerTrigger"] == "1000" and capped["failOnDataLoss"] == "false"
 
 
 def test_first_available_source(spark, tmp_path):
@@ -99,3 +100,24 @@ def test_first_available_source(spark, tmp_path):
     spark.range(3).write.parquet(str(full))
     assert read_first_available(spark, [str(tmp_path / "none"), str(empty), str(full)]).count() == 3
     assert read_first_available(spark, [str(tmp_path / "none")]) is None
+
+
+def test_files_of_one_folder_with_another_header_order(spark, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    (folder / "AAA.csv").write_text("timestamp,open,high,low,close,volume\n60,1,2,3,4,5\n")
+    (folder / "BBB.csv").write_text("volume,close,low,high,open,timestamp\n9,8,7,6,5,120\n")
+    (folder / "CCC.csv").write_text("Unix,open,high,low,close,volume\n180,1,1,1,1,1\n")
+    symbol = F.regexp_extract("_metadata.file_path", r"([^/]+)\.csv$", 1)
+    rows = {r.symbol: r for r in read_bars(spark, str(folder), symbol).collect()}
+    assert (rows["AAA"].timestamp, rows["AAA"].open, rows["AAA"].volume) == (60, 1, 5)
+    assert (rows["BBB"].timestamp, rows["BBB"].open, rows["BBB"].volume) == (120, 5, 9)
+    assert rows["CCC"].timestamp == 180 and len(csv_families(spark, str(folder))) == 3
+
+
+def test_kline_rejects_and_bars_are_the_input(spark):
+    pages = ["[broken", None, "[]", '[["soon","1","1","1","1","1"],["60000","1","2","0","1","3"]]']
+    frame = spark.createDataFrame([(p, "A") for p in pages], "page string, symbol string")
+    found = [(r.reason, r.raw) for r in kline_rejects(frame).collect()]
+    assert sorted(found, key=str) == sorted([("page", "[broken"), ("page", None), ("row", '["soon","1","1","1","1","1"]')], key=str)
+    assert klines_to_bars(frame).count() == 1

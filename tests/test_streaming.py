@@ -9,7 +9,20 @@ from tidemark.operators.resample import daily_ticks
 from tidemark.sinks import read_version
 from tidemark.sources import parse_messages
 from tidemark.sources.messages import accepted
-from tidemark.streaming import console_monitor, daily_files, memory_table, run_streams, snapshot_table, stop_all, windowed_bars, with_event_watermark
+from tidemark.sinks.tables import version_path, versions
+from tidemark.streaming import (
+    compact_updates,
+    console_monitor,
+    daily_files,
+    memory_table,
+    read_updates,
+    run_streams,
+    snapshot_table,
+    stop_all,
+    update_table,
+    windowed_bars,
+    with_event_watermark,
+)
 
 DAY_MS = 86_400_000
 START = 1_704_067_200_000  # 2024-01-01 UTC
@@ -119,3 +132,57 @@ def test_several_queries_are_stopped_together(spark, tmp_path, feed):
     assert len(spark.streams.active) == 2
     assert len(run_streams(spark, timeout=3)) == 2
     assert spark.streams.active == []
+
+
+def test_a_new_checkpoint_goes_on_behind_the_old_versions(spark, tmp_path, feed):
+    root = str(tmp_path / "t")
+
+    def once(checkpoint):
+        bars = windowed_bars(with_event_watermark(feed.stream(), "1 day"))
+        finish(snapshot_table(bars, root, str(tmp_path / checkpoint), every=None))
+
+    for number in (98, 99):
+        spark.range(1).write.parquet(version_path(root, number))
+    once("first")
+    assert versions(spark, root)[-1] > 99 and read_version(spark, root).count() == 4
+    before = versions(spark, root)[-1]
+    feed.land(message("C", 3 * DAY_MS, 2.0))
+    once("second")
+    assert versions(spark, root)[-1] > before and read_version(spark, root).count() == 5
+
+
+def test_a_replayed_batch_replaces_its_own_version(spark, tmp_path, feed):
+    root, checkpoint = str(tmp_path / "t"), tmp_path / "cp"
+
+    def once():
+        bars = windowed_bars(with_event_watermark(feed.stream(), "1 day"))
+        finish(snapshot_table(bars, root, str(checkpoint), every=None))
+
+    once()
+    known = versions(spark, root)
+    for name in os.listdir(checkpoint / "commits"):  # the last batch was written, but not noted as done
+        if name.strip(".").split(".")[0] == max(n for n in os.listdir(checkpoint / "commits") if n[0] != "."):
+            os.remove(checkpoint / "commits" / name)
+    once()
+    assert versions(spark, root)[-1] == known[-1] and read_version(spark, root).count() == 4
+
+
+def test_updates_hold_the_latest_row_of_each_window(spark, tmp_path, feed, rows_of):
+    root = str(tmp_path / "t")
+    assert read_updates(spark, root) is None
+
+    def once():
+        bars = windowed_bars(with_event_watermark(feed.stream(), "30 days"))
+        finish(update_table(bars, root, str(tmp_path / "cp"), every=None))
+        return bars.columns
+
+    for i in range(3):
+        columns = once()
+        feed.land(message("A", DAY_MS + 50 + i, 20.0 + i))
+    once()
+    expected = rows_of(daily_ticks(feed.batch()), "symbol", F.col("date").cast("string"), "daily_close", "tick_count")
+    for _ in range(2):
+        got = read_updates(spark, root).select(*columns)
+        assert rows_of(got, "symbol", F.col("date").cast("string"), "daily_close", "tick_count") == expected
+        compact_updates(spark, root)
+    assert compact_updates(spark, root) == 0

@@ -40,7 +40,14 @@ def _parser() -> argparse.ArgumentParser:
         if name == "speed-stream":
             speed.add_argument("--window", default="1 day")
             speed.add_argument("--delay", default="1 hour")
-            speed.add_argument("--stats", choices=("table", "memory"), default="table")
+            speed.add_argument(
+                "--stats",
+                choices=("table", "snapshot", "memory"),
+                default="table",
+                help="changed windows per batch; all windows per batch; or all windows in driver memory, for few series only",
+            )
+            speed.add_argument("--max-offsets-per-trigger", type=int, default=None, help="no limit unless given")
+            speed.add_argument("--ignore-lost-offsets", action="store_true", help="go on where the broker has dropped data")
     train = job("train", "fit, choose, cross-validate, store")
     train.add_argument("--timing", choices=("lagged", "same_day"), default="lagged")
     query = jobs.add_parser("query", help="run a named query over a test-data folder")
@@ -71,7 +78,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "speed-batch":
         plans.topic_to_daily(spark, layout, args.servers, args.topic, args.volume_mode)
     elif args.job == "speed-stream":
-        raw = stream_topic(spark, args.servers, args.topic)
+        raw = stream_topic(spark, args.servers, args.topic, args.max_offsets_per_trigger, not args.ignore_lost_offsets)
         plans.start_speed_layer(raw, layout, args.window, args.delay, stats=args.stats, volume_mode=args.volume_mode)
         run_streams(spark)
     elif args.job == "train":

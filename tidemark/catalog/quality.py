@@ -139,13 +139,20 @@ def stage_audit(t: Tables) -> DataFrame:
         body="\nunion all\n".join(
             f"""select '{c}' as column_name, '{"bigint" if c == "cnt" else "double"}' as data_type, count(*) as row_count, count(*) - count({c}) as null_count,
        cast(min({c}) as double) as min_value, cast(max({c}) as double) as max_value,
-       round(avg({c}), 4) as mean_value, round(stddev_samp({c}), 4) as std_value from filled"""
+       round(avg({c}), 4) as mean_value, round(stddev_samp({c}), 4) as std_value,
+       cast(null as varchar) as first_value, cast(null as varchar) as last_value from filled"""
             for c in ("daily_open", "daily_high", "daily_low", "daily_close", "daily_volume", "cnt")
+        )
+        + "".join(
+            f"""
+union all
+select '{c}', '{kind}', count(*), count(*) - count({c}), null, null, null, null, cast(min({c}) as varchar), cast(max({c}) as varchar) from filled"""
+            for c, kind in (("date", "date"), ("symbol", "string"))
         ),
     ),
 )
 def dataset_profile(t: Tables) -> DataFrame:
-    columns = ("daily_open", "daily_high", "daily_low", "daily_close", "daily_volume", "cnt")
+    columns = ("daily_open", "daily_high", "daily_low", "daily_close", "daily_volume", "cnt", "date", "symbol")
     profile = quality.dataset_profile(daily_filled(t), columns)
     return profile.withColumns({c: F.round(c, 4) for c in ("mean_value", "std_value")})
 

@@ -10,7 +10,15 @@ from tidemark.catalog.inputs import MESSAGE_ORDER, MONEY, messages, sql_with
 from tidemark.catalog.registry import Tables, query
 from tidemark.sinks.tables import read_version
 from tidemark.sources.storage import is_directory, scratch_dir
-from tidemark.streaming import daily_files, snapshot_table, windowed_bars, with_event_watermark
+from tidemark.streaming import (
+    compact_updates,
+    daily_files,
+    read_updates,
+    snapshot_table,
+    update_table,
+    windowed_bars,
+    with_event_watermark,
+)
 
 
 class StreamTables(Tables):
@@ -73,3 +81,13 @@ def stream_stats_table(t: Tables) -> DataFrame:
     snapshot_table(bars, f"{out}/table", f"{out}/checkpoint", every=None).awaitTermination()
     read_version(t.spark, f"{out}/table").createOrReplaceTempView("daily_stats")
     return t.spark.sql("select * from daily_stats")
+
+
+@query("stream_update_table", sql_with("ticks", body=TICK_DAILY))
+def stream_update_table(t: Tables) -> DataFrame:
+    """Changed windows per batch, folded and read back as the latest row of each."""
+    bars = windowed_bars(with_event_watermark(_stream(t), "1 hour"), "1 day", order_by=MESSAGE_ORDER, scale=MONEY)
+    out = scratch_dir(t.spark, "stream-updates")
+    update_table(bars, f"{out}/table", f"{out}/checkpoint", every=None).awaitTermination()
+    compact_updates(t.spark, f"{out}/table")
+    return read_updates(t.spark, f"{out}/table").select(*bars.columns)

@@ -38,9 +38,15 @@ def split_by_time(frame: DataFrame, fraction: float = 0.8, key: str = "symbol",
 def future_frame(
     frame: DataFrame, horizon: int = 30, regressors: Sequence[str] = REGRESSORS, key: str = "symbol", ds: str = "ds"
 ) -> DataFrame:
-    """History plus ``horizon`` days; regressors carried forward, zero where nothing precedes."""
+    """History plus ``horizon`` days; regressors carried forward, zero where nothing precedes.
+
+    ``is_future`` marks the days behind the last actual one; a hole inside the history is a day
+    without a value, not a future one.
+    """
     grown = densify(frame, carry=regressors, key=key, date=ds, extend_days=horizon)
-    return grown.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in regressors}).withColumnRenamed("is_filled", "is_future")
+    last = F.max(F.when(~F.col("is_filled"), F.col(ds))).over(Window.partitionBy(key))
+    future = grown.withColumn("is_future", F.col(ds) > last).drop("is_filled")
+    return future.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in regressors})
 
 
 def shift_regressors(

@@ -24,12 +24,16 @@ def with_errors(df: DataFrame) -> DataFrame:
 
 
 def forecast_metrics(errors: DataFrame, by: Sequence[str] = ("symbol",), scale: int | None = None) -> DataFrame:
-    """MSE, MAPE, MAE and RMSE per group."""
+    """MSE, MAPE, MAE and RMSE per group.
+
+    With ``scale`` sums run in 38-digit decimals: errors up to 1e15 and percentages of floored
+    prices fit with six decimals.
+    """
     square = F.pow("error", F.lit(2.0))
     means = errors.groupBy(*by).agg(
-        exact_mean(square, scale, precision=28).alias("mse"),
-        exact_mean("pct_error", scale).alias("mape"),
-        exact_mean("abs_error", scale).alias("mae"),
+        exact_mean(square, scale, precision=38).alias("mse"),
+        exact_mean("pct_error", scale, precision=38).alias("mape"),
+        exact_mean("abs_error", scale, precision=38).alias("mae"),
         F.count("error").alias("n"),
     )
     return means.withColumn("rmse", F.sqrt("mse"))
@@ -50,5 +54,5 @@ def cv_scores(fold_predictions: DataFrame, key: str = "symbol", scale: int | Non
     """Mean percentage error over the test rows of all folds of a series."""
     tested = fold_predictions.filter(~F.col("is_train") & F.col("yhat").isNotNull())
     return tested.groupBy(key).agg(
-        exact_mean(pct_error("y", "yhat"), scale).alias("cv_mape"), F.count_distinct("fold").alias("folds")
+        exact_mean(pct_error("y", "yhat"), scale, precision=38).alias("cv_mape"), F.count_distinct("fold").alias("folds")
     )

@@ -23,6 +23,12 @@ def exact_sum(value: Column | str, scale: int | None, precision: int = 18) -> Co
     return F.sum(value.cast(f"decimal({precision},{scale})")).cast("double")
 
 
+def out_of_range(value: Column | str, scale: int, precision: int = 18) -> Column:
+    """Number of values an exact sum can't hold: they would fail it, and none is left out in silence."""
+    value = as_column(value)
+    return F.count_if(value.isNotNull() & value.try_cast(f"decimal({precision},{scale})").isNull())
+
+
 def exact_mean(value: Column | str, scale: int | None, precision: int = 18) -> Column:
     """Mean of the non-null values; with ``scale`` built on :func:`exact_sum`."""
     value = as_column(value)

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.calendar import moving_averages
+from tidemark.operators.calendar import fill_calendar, moving_averages
 from tidemark.operators.quality import high_water_mark, keep_first
 from tidemark.schemas import DAILY_OHLCV, require_columns
 
@@ -49,6 +49,29 @@ def merge_layers(
     return moving_averages(merged, windows=windows, key=key, date=date, scale=scale)
 
 
+def fill_forward(merged: DataFrame, until: Column | None = None, volume_policy: str = "carry", key: str = "symbol", date: str = "date") -> DataFrame:
+    """Merged daily rows without holes, whichever layers they came from.
+
+    Days between the stored end and the first fresh day, and days up to ``until`` of series
+    that got no fresh row, carry the last row; averages count days again, not rows.
+    """
+    bare = merged.select(key, date, *[c for c in DAILY_OHLCV if c in merged.columns])
+    if until is not None:
+        # Stored days behind ``until`` stay.
+        last = F.greatest(until, F.max(date).over(Window.partitionBy(key)))
+        bare = bare.withColumn("_until", last)
+        filled = fill_calendar(bare, volume_policy, key=key, until=F.col("_until"))
+        return moving_averages(filled.drop("_until", "is_filled"), key=key, date=date)
+    return moving_averages(fill_calendar(bare, volume_policy, key=key).drop("is_filled"), key=key, date=date)
+
+
+def backfill_ranges(loaded: DataFrame, as_of: Column, key: str = "symbol", date: str = "date") -> DataFrame:
+    """What is still to be fetched: (key, first_day, last_day, days) per series that ends before ``as_of``."""
+    marks = high_water_mark(loaded, key, date)
+    ranges = marks.select(key, F.date_add("last_date", 1).alias("first_day"), as_of.alias("last_day"))
+    return ranges.withColumn("days", F.datediff("last_day", "first_day") + 1).filter("days > 0")
+
+
 def layer_overlap(first: DataFrame, second: DataFrame, key: str = "symbol", date: str = "date") -> DataFrame:
     """(key, date) pairs both layers hold."""
     return first.select(key, date).intersect(second.select(key, date))

@@ -52,6 +52,16 @@ def normalize_bars(df: DataFrame, symbol: str | None = None, epoch_unit: str = "
     return with_calendar_parts(out, "datetime")
 
 
+def readable(bars: DataFrame) -> DataFrame:
+    """Bars with a time stamp."""
+    return bars.filter(F.col("timestamp").isNotNull())
+
+
+def unreadable(bars: DataFrame) -> DataFrame:
+    """Bars whose time stamp could not be read, for a reject table."""
+    return bars.filter(F.col("timestamp").isNull())
+
+
 DERIVED = ("datetime", "year", "month")
 
 

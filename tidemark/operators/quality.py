@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import day_of
 from tidemark.functions.times import SECONDS_PER_DAY
@@ -38,27 +39,6 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count")).filter("count > 1")
 
 
-def drop_repeats(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column], few: int = MAX_BROADCAST_ROWS
-) -> DataFrame:
-    """:func:`keep_first` for data that should have no or few repeated keys.
-
-    Looks first, in one job that shuffles the keys only. Without repeats the rows pass
-    through; up to ``few`` repeated keys are broadcast, and only the rows that have them are
-    ranked, so the other rows are not shuffled at all. With more, every row is ranked.
-    """
-    repeated = duplicate_keys(df, keys).select(*[F.col(k).alias(f"_dup_{k}") for k in keys])
-    found = repeated.limit(few + 1).collect()
-    if not found:
-        return df
-    if len(found) > few:
-        return keep_first(df, keys, order_by)
-    listed = F.broadcast(df.sparkSession.createDataFrame(found, repeated.schema))
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_dup_{k}")) for k in keys])
-    ranked = keep_first(df.join(listed, same, "left_semi"), keys, order_by)
-    return df.join(listed, same, "left_anti").unionByName(ranked)
-
-
 def per_day_counts(df: DataFrame, key: str = "symbol", ts: str = "datetime", tz: str | None = None) -> DataFrame:
     return df.groupBy(key, day_of(ts, tz).alias("date")).agg(F.count(F.lit(1)).alias("count"))
 
@@ -85,10 +65,11 @@ def time_gaps(
     stamps = df.filter(F.col(ts).isNotNull()).select(key, segment, ts)
     if not unique:
         stamps = stamps.distinct()  # repeated stamps collapse on the map side
+    # Both branches below start from one exchange by (key, segment), which Spark reuses.
+    stamps = stamps.repartition(key, "_segment")
     inside = stamps.withColumn("prev_ts", F.lag(ts).over(Window.partitionBy(key, "_segment").orderBy(ts)))
     bounds = (
-        df.filter(F.col(ts).isNotNull())
-        .groupBy(key, segment)
+        stamps.groupBy(key, "_segment")
         .agg(F.min(ts).alias(ts), F.max(ts).alias("_last"))
         .withColumn("prev_ts", F.lag("_last").over(Window.partitionBy(key).orderBy("_segment")))
     )
@@ -115,8 +96,12 @@ def large_gaps(
     winners = gaps.orderBy(F.desc("gap"), key, ts).limit(top)
     if top <= MAX_BROADCAST_ROWS:
         winners = F.broadcast(winners)
-    ending = bars.join(winners, [key, ts])
-    return keep_first(ending, [key, ts], order_by or [c for c in bars.columns if c not in (key, ts)])
+    found = winners.select(F.col(key).alias("_key"), F.col(ts).alias("_ts"), "prev_ts", "gap")
+    # A NULL series has gaps like any other.
+    ending = bars.join(found, F.col(key).eqNullSafe(F.col("_key")) & (F.col(ts) == F.col("_ts"))).drop("_key", "_ts")
+    return keep_first(ending, [key, ts], order_by or [c for c in bars.columns if c not in (key, ts)]).select(
+        key, ts, *[c for c in bars.columns if c not in (key, ts)], "prev_ts", "gap"
+    )
 
 
 def coverage(df: DataFrame, key: str = "symbol", date: str = "date") -> DataFrame:
@@ -151,24 +136,37 @@ def observed(df: DataFrame, name: str, values: Sequence[str] = ()) -> tuple[Data
 
 
 def dataset_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Type, rows, nulls, min, max, mean and deviation of numeric columns, one output row per column.
+    """Type, rows, nulls and range of columns of any type, one output row per column.
 
-    One pass over the table computes all columns side by side; the unpivot works on its
-    single result row.
+    Numbers have min, max, mean and deviation; other types have their range as text in
+    ``first_value`` and ``last_value`` (dates and times by time, text by code point). What a type
+    lacks is NULL.
+    One pass over the table computes all columns side by side; the unpivot works on its single
+    result row.
     """
     require_columns(df, columns, "dataset_profile")
+    types = dict(df.dtypes)
+
+    def numeric(c: str) -> bool:
+        return isinstance(df.schema[c].dataType, T.NumericType)
+
+    def number(c: str) -> Column:
+        return F.col(c).cast("double") if numeric(c) else F.lit(None).cast("double")
+
+    def text(c: str) -> Column:
+        return F.lit(None).cast("string") if numeric(c) else F.col(c).cast("string")
+
     stats = {
         "row_count": lambda c: F.count(F.lit(1)),
-        "null_count": lambda c: F.count_if(c.isNull()),
-        "min_value": F.min,
-        "max_value": F.max,
-        "mean_value": F.avg,
-        "std_value": F.stddev_samp,
+        "null_count": lambda c: F.count_if(F.col(c).isNull()),
+        "min_value": lambda c: F.min(number(c)),
+        "max_value": lambda c: F.max(number(c)),
+        "mean_value": lambda c: F.avg(number(c)),
+        "std_value": lambda c: F.stddev_samp(number(c)),
+        "first_value": lambda c: F.min(text(c)),
+        "last_value": lambda c: F.max(text(c)),
     }
-    wide = df.agg(
-        *[fn(F.col(c).cast("double")).alias(f"{c}|{name}") for c in columns for name, fn in stats.items()]
-    )
-    types = dict(df.dtypes)
+    wide = df.agg(*[fn(c).alias(f"{c}|{name}") for c in columns for name, fn in stats.items()])
     rows = [
         F.struct(
             F.lit(c).alias("column_name"),

@@ -8,32 +8,45 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import day_of, with_calendar_parts
 from tidemark.operators import calendar, quality, reports
 from tidemark.operators.fill import complete_bars
-from tidemark.operators.layers import incremental_slice, merge_layers
-from tidemark.operators.normalize import model_input, normalize_bars, union_sources, with_derived, without_derived
+from tidemark.operators.layers import fill_forward, incremental_slice, merge_layers
+from tidemark.operators.normalize import DERIVED, model_input, normalize_bars, readable, union_sources, unreadable, with_derived, without_derived
 from tidemark.operators.resample import daily_bars
 from tidemark.plans.layout import Layout
 from tidemark.schemas import OHLCV
 from tidemark.sinks import DAILY_LAYOUT, read_version, write_csv, write_partitioned, write_version
-from tidemark.sources import klines_to_bars, read_bars, read_first_available, read_kline_pages
+from tidemark.sources import kline_rejects, klines_to_bars, read_bars, read_first_available, read_kline_pages
 
 
 def convert(spark: SparkSession, layout: Layout, sources: Mapping[str, str], epoch_unit: str = "s") -> None:
     """Raw CSV of each series to one Parquet bar table by symbol, year and month."""
     frames = [read_bars(spark, path, symbol, epoch_unit) for symbol, path in sources.items()]
-    write_partitioned(union_sources(frames), layout.bars)
+    _store_bars(union_sources(frames), layout)
+
+
+def convert_folder(spark: SparkSession, layout: Layout, path: str, pattern: str = r"([^/]+?)\.csv[^/]*$", epoch_unit: str = "s") -> None:
+    """:func:`convert` for a folder of many series: the name comes from the file's, one scan per header family."""
+    symbol = F.regexp_extract("_metadata.file_path", pattern, 1)
+    _store_bars(read_bars(spark, path, symbol, epoch_unit), layout)
+
+
+def _store_bars(bars: DataFrame, layout: Layout) -> None:
+    """Bars by symbol, year and month; rows without a readable stamp to a reject table."""
+    unreadable(bars).drop(*DERIVED).write.mode("overwrite").parquet(layout.path("bar_rejects"))
+    write_partitioned(readable(bars), layout.bars)
 
 
 def clean(spark: SparkSession, layout: Layout, order_by: Sequence[str] = ()) -> dict[str, int]:
     """Unique, forward-filled, null-free bars; returns the row counts before and after."""
     stored = spark.read.parquet(layout.bars)
     raw = without_derived(normalize_bars(stored))
-    unique = quality.drop_repeats(raw, ["symbol", "timestamp"], list(order_by) or list(OHLCV))
+    rest = [c for c in raw.columns if c not in ("symbol", "timestamp", *OHLCV)]
+    unique = quality.keep_first(readable(raw), ["symbol", "timestamp"], [*order_by, *OHLCV, *rest])
     cleaned, seen = quality.observed(complete_bars(unique), "bars_clean")
     write_partitioned(with_derived(cleaned), layout.bars_clean)
     return {"rows_in": stored.count(), "rows_clean": seen.get["rows"]}
@@ -43,11 +56,11 @@ def daily(spark: SparkSession, layout: Layout, tz: str | None = None) -> None:
     """Daily bars with the per-day counts and the largest gaps of the minute bars."""
     bars = spark.read.parquet(layout.bars_clean)
     write_csv(quality.per_day_counts(bars, tz=tz), layout.report("per_day_counts"))
-    write_csv(quality.large_gaps(bars, unique=True), layout.report("large_gaps"))
+    write_csv(quality.large_gaps(bars, unique=True), layout.report("large_gaps"), ordered=True)
     # Stamps are unique after cleaning, so the plain time order needs no tie-break.
     table = with_calendar_parts(daily_bars(bars, day_of("datetime", tz), ["timestamp"]), "date")
     write_partitioned(table, layout.daily_raw, DAILY_LAYOUT)
-    write_csv(spark.read.parquet(layout.daily_raw), layout.report("daily_raw"), max_files=None)
+    write_csv(spark.read.parquet(layout.daily_raw), layout.report("daily_raw"))
 
 
 def _publish(spark: SparkSession, layout: Layout, filled: DataFrame) -> None:
@@ -70,24 +83,32 @@ def fill(spark: SparkSession, layout: Layout, volume_policy: str = "zero") -> No
         "avg_return_per_year": reports.avg_return_per_year(stored).orderBy("year", "symbol"),
     }
     for name, table in tables.items():
-        write_csv(table, layout.report(name))
+        write_csv(table, layout.report(name), ordered=True)
 
 
 def backfill(
-    spark: SparkSession, layout: Layout, pages: str, as_of: str, symbol_pattern: str = r"([A-Z0-9]+)[^/]*$"
+    spark: SparkSession,
+    layout: Layout,
+    pages: str,
+    as_of: str,
+    symbol_pattern: str = r"([A-Z0-9]+)[^/]*$",
+    symbol: Column | None = None,
 ) -> None:
     """Landed kline pages after each series' last stored day, merged behind the stored days.
 
-    The stored table wins where both have a day. The symbol comes from the file name.
+    The stored table wins where both have a day. The symbol comes from the file name, or is an expression over ``source_file``. Holes between
+    stored and fresh days are filled, and every series reaches ``as_of``.
     """
     stored = read_version(spark, layout.daily_filled)
-    landed = read_kline_pages(spark, pages).withColumn("symbol", F.regexp_extract("source_file", symbol_pattern, 1))
+    name = F.regexp_extract("source_file", symbol_pattern, 1) if symbol is None else symbol
+    landed = read_kline_pages(spark, pages).withColumn("symbol", name)
+    kline_rejects(landed).write.mode("overwrite").parquet(layout.path("kline_rejects"))
     bars = quality.keep_first(klines_to_bars(landed), ["symbol", "timestamp"], OHLCV)
     fresh = daily_bars(bars.withColumn("date", F.to_date("datetime")), F.col("date"), ["timestamp"]).drop("cnt")
     end = F.lit(as_of).cast("date")
     fresh = incremental_slice(fresh, stored, end) if stored is not None else fresh.filter(F.col("date") <= end)
-    added = calendar.fill_calendar(fresh, volume_policy="carry", until=end)
-    _publish(spark, layout, merge_layers([stored, added] if stored is not None else [added]))
+    merged = merge_layers([stored, fresh] if stored is not None else [fresh])
+    _publish(spark, layout, fill_forward(merged, until=end))
 
 
 def merge(spark: SparkSession, layout: Layout, speed_paths: Sequence[str] | None = None) -> bool:
@@ -96,5 +117,5 @@ def merge(spark: SparkSession, layout: Layout, speed_paths: Sequence[str] | None
     if stored is None:
         raise FileNotFoundError(f"no committed version below {layout.daily_filled}")
     speed = read_first_available(spark, speed_paths or layout.speed_daily)
-    _publish(spark, layout, merge_layers([stored] if speed is None else [stored, speed]))
+    _publish(spark, layout, fill_forward(merge_layers([stored] if speed is None else [stored, speed])))
     return speed is not None

@@ -15,6 +15,7 @@ from tidemark.streaming import (
     daily_files,
     memory_table,
     snapshot_table,
+    update_table,
     windowed_bars,
     with_event_watermark,
 )
@@ -45,17 +46,24 @@ def start_speed_layer(
     monitor: bool = True,
     volume_mode: str = "sum",
 ) -> list[StreamingQuery]:
-    """Start the file sink, the running statistics and the console monitor on one message stream.
+    """Start the file sink, the reject sink, the statistics and the console monitor on one message stream.
 
-    ``stats="table"`` keeps the statistics in versioned files; ``"memory"`` in a SQL table on
-    the driver named ``daily_stats``.
+    ``stats="table"`` writes the windows that changed, ``"snapshot"`` all windows as a new
+    version of a table, ``"memory"`` all windows to a SQL table on the driver named
+    ``daily_stats``. Unreadable messages go to files of their own, none is lost.
     """
-    arrived = accepted(parse_messages(raw, keep=ARRIVAL))
+    parsed = parse_messages(raw, keep=ARRIVAL)
+    arrived = accepted(parsed)
     bars = windowed_bars(with_event_watermark(arrived, delay), window, order_by=ORDER, volume_mode=volume_mode)
     checkpoints = layout.path("speed_stream", "checkpoints")
-    started = [daily_files(bars, layout.speed_daily[1], f"{checkpoints}/daily", every)]
+    started = [
+        daily_files(bars, layout.speed_daily[1], f"{checkpoints}/daily", every),
+        daily_files(rejects(parsed), layout.path("speed_stream", "rejects"), f"{checkpoints}/rejects", every, partition_by=()),
+    ]
     if stats == "memory":
         started.append(memory_table(bars, "daily_stats", every))
+    elif stats == "table":
+        started.append(update_table(bars, layout.path("speed_stream", "updates"), f"{checkpoints}/updates", every))
     else:
         started.append(snapshot_table(bars, layout.path("speed_stream", "stats"), f"{checkpoints}/stats", every))
     if monitor:

@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Partition folders hold text: a series named 007 or 2024-01-01 comes back as written.
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     # Window state larger than the executor heap lives in RocksDB.
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.ui.showConsoleProgress": "false",

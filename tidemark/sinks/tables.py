@@ -17,7 +17,7 @@ from tidemark.sources.storage import exists, list_names, remove_tree, scratch_di
 BAR_LAYOUT = ("symbol", "year", "month")
 # A month of daily rows is too small for a file of its own.
 DAILY_LAYOUT = ("symbol", "year")
-_VERSION = re.compile(r"^version=(\d{6})$")
+_VERSION = re.compile(r"^version=(\d{6,})$")
 
 
 def _clustered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -36,10 +36,13 @@ def write_partitioned(
     writer.partitionBy(*partition_by).parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, max_files: int | None = 4) -> None:
-    """CSV with a header. Report-sized results go to at most ``max_files`` part files;
-    ``None`` lets AQE choose few, evenly sized files for a table of any size."""
-    packed = df.hint("rebalance") if max_files is None else df.coalesce(max_files)
+def write_csv(df: DataFrame, path: str, ordered: bool = False) -> None:
+    """CSV with a header, in few, evenly sized files that AQE chooses by size.
+
+    The rebalance comes after the last stage, which keeps its own parallelism.  ``ordered`` is
+    for top-n results: they are a few rows in one task already, and keep their order.
+    """
+    packed = df if ordered else df.hint("rebalance")
     packed.write.mode("overwrite").option("header", True).csv(path)
 
 
@@ -104,6 +107,11 @@ def write_version(
         packed = _clustered(df, cluster_by)
         packed = packed.sortWithinPartitions(*cluster_by) if cluster_by else packed
         packed.write.mode("overwrite").parquet(path)
-    for old in known[: max(0, len(known) + 1 - keep)]:
-        remove_tree(spark, version_path(root, old))
+    drop_versions(spark, root, keep)
     return path
+
+
+def drop_versions(spark: SparkSession, root: str, keep: int = 2) -> None:
+    """Remove committed versions older than the newest ``keep``; the newest always stays."""
+    for old in versions(spark, root)[: -max(keep, 1)]:
+        remove_tree(spark, version_path(root, old))

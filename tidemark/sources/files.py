@@ -4,24 +4,53 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.operators.normalize import normalize_bars
+from tidemark.operators.normalize import normalize_bars, union_sources
 from tidemark.sources.storage import exists, is_directory, list_names
 
 
 def read_csv_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """CSV with a header, every column as text.
+    """CSV with a header, every column as text; all files must share the header.
 
-    No inference job runs over the data; header spelling and order may differ per file
-    family, and typing happens once, in the normaliser, with casts that cannot fail the job.
+    No inference job runs over the data, and typing happens once, in the normaliser, with casts
+    that cannot fail the job. A file whose header differs from the first one's is an error
+    (``enforceSchema``), never read by position; :func:`csv_families` reads such folders.
     """
-    return spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False)
+    return reader.csv(path)
 
 
-def read_bars(spark: SparkSession, path: str | list[str], symbol: str, epoch_unit: str = "s") -> DataFrame:
-    """Raw bar CSV of one series to the normalised bar layout."""
-    return normalize_bars(read_csv_text(spark, path), symbol=symbol, epoch_unit=epoch_unit)
+def csv_families(spark: SparkSession, path: str | list[str]) -> list[tuple[str, list[str]]]:
+    """The CSV files below ``path`` by header line: (header, files).
+
+    One small task per file reads its first line. The number of headers is what people wrote by
+    hand; the plan of a reader grows with it, not with the number of files.
+    """
+    first = spark.read.option("wholetext", False).text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+    # The first line of a file is the first row of its first block.
+    heads = first.filter("at = 0").groupBy("file").agg(F.first("value").alias("header"))
+    families = heads.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
+    return [(r["header"], list(r["files"])) for r in families]
+
+
+def read_bars(spark: SparkSession, path: str | list[str], symbol: str | Column, epoch_unit: str = "s") -> DataFrame:
+    """Raw bar CSV to the normalised bar layout; headers may differ in names and order per file.
+
+    ``symbol`` is the series, or an expression over ``_metadata.file_path`` for folders that
+    hold many: one scan per header family, however many series there are.
+    """
+    frames = []
+    for _, files in csv_families(spark, path):
+        raw = read_csv_text(spark, files)
+        if isinstance(symbol, str):
+            frames.append(normalize_bars(raw, symbol=symbol, epoch_unit=epoch_unit))
+        else:
+            frames.append(normalize_bars(raw.withColumn("symbol", symbol), epoch_unit=epoch_unit))
+    if not frames:
+        raise FileNotFoundError(f"no CSV file with a header below {path}")
+    return union_sources(frames)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

@@ -29,6 +29,21 @@ def explode_klines(pages: DataFrame, page: str = "page", keep: Sequence[str] = (
     return rows.select(*keep, *fields)
 
 
+def kline_rejects(pages: DataFrame, page: str = "page", keep: Sequence[str] = ("symbol",)) -> DataFrame:
+    """What :func:`klines_to_bars` leaves out: (keep, raw, reason) per unreadable page or row.
+
+    A page that is no array of arrays is one reject; a row without a readable open time is one. NULL
+    pages count as pages, empty pages have no rows and no rejects.
+    """
+    require_columns(pages, [page, *keep], "kline_rejects")
+    parsed = pages.withColumn("_rows", F.from_json(page, "array<array<string>>"))
+    position, dtype = KLINE_POSITIONS["open_time"]
+    bad_pages = parsed.filter(F.col("_rows").isNull()).select(*keep, F.col(page).alias("raw"), F.lit("page").alias("reason"))
+    rows = parsed.select(*keep, F.explode("_rows").alias("_k"))
+    bad = F.get("_k", F.lit(position)).try_cast(dtype).isNull()
+    return bad_pages.unionByName(rows.filter(bad).select(*keep, F.to_json("_k").alias("raw"), F.lit("row").alias("reason")))
+
+
 def klines_to_bars(pages: DataFrame, page: str = "page", keep: Sequence[str] = ("symbol",)) -> DataFrame:
     """Kline pages to bars: open time in ms becomes ``timestamp`` in s and ``datetime``."""
     parsed = explode_klines(pages, page, keep).filter(F.col("open_time").isNotNull())

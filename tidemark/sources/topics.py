@@ -7,14 +7,18 @@ from pyspark.sql import functions as F
 
 
 def topic_options(
-    servers: str, topic: str, *, streaming: bool, max_offsets_per_trigger: int | None = 1000
+    servers: str, topic: str, *, streaming: bool, max_offsets_per_trigger: int | None = None, fail_on_data_loss: bool = True
 ) -> dict[str, str]:
-    """Connector options for a bounded or an unbounded read, from the earliest offset."""
+    """Connector options for a bounded or an unbounded read, from the earliest offset.
+
+    Nothing is held back and lost offsets fail the query, unless asked for otherwise: a cap on
+    offsets per trigger must exceed the arrival rate, or the stream falls behind for good.
+    """
     options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": "earliest"}
     if not streaming:
         return {**options, "endingOffsets": "latest"}
     options |= {
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
         "kafka.session.timeout.ms": "30000",
         "kafka.request.timeout.ms": "40000",
     }
@@ -39,7 +43,17 @@ def read_topic(spark: SparkSession, servers: str, topic: str) -> DataFrame:
 
 
 def stream_topic(
-    spark: SparkSession, servers: str, topic: str, max_offsets_per_trigger: int | None = 1000
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    max_offsets_per_trigger: int | None = None,
+    fail_on_data_loss: bool = True,
 ) -> DataFrame:
-    options = topic_options(servers, topic, streaming=True, max_offsets_per_trigger=max_offsets_per_trigger)
+    options = topic_options(
+        servers,
+        topic,
+        streaming=True,
+        max_offsets_per_trigger=max_offsets_per_trigger,
+        fail_on_data_loss=fail_on_data_loss,
+    )
     return _message_columns(spark.readStream.format("kafka").options(**options).load())

@@ -1,22 +1,28 @@
 """Structured Streaming: windowed bars and their sinks."""
 
 from tidemark.streaming.sinks import (
+    compact_updates,
     console_monitor,
     daily_files,
     memory_table,
+    read_updates,
     run_streams,
     snapshot_table,
     stop_all,
+    update_table,
 )
 from tidemark.streaming.windows import with_event_watermark, windowed_bars
 
 __all__ = [
+    "compact_updates",
     "console_monitor",
     "daily_files",
     "memory_table",
+    "read_updates",
     "run_streams",
     "snapshot_table",
     "stop_all",
+    "update_table",
     "windowed_bars",
     "with_event_watermark",
 ]

@@ -5,10 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.sinks.tables import version_path, versions
-from tidemark.sources.storage import remove_tree
+from tidemark.operators.quality import keep_first
+from tidemark.sinks.tables import drop_versions, version_path, versions
+from tidemark.sources.storage import exists, list_names, read_text, remove_tree, write_text
+
+_MARK = "_batch"  # beside the data files, which readers don't take for one
 
 
 def _trigger(every: str | None) -> dict:
@@ -46,20 +50,72 @@ def snapshot_table(
 ) -> StreamingQuery:
     """All windows so far as a versioned Parquet table, written by the executors.
 
-    The scalable form of :func:`memory_table`. The version is the batch number, so a batch
-    that is replayed after a failure replaces its own output.
+    The form of :func:`memory_table` that needs no driver memory; it writes every window again
+    in each batch. :func:`update_table` writes only what changed.
+
+    Versions are numbered on from those stored, whatever the batch number: a query with a new
+    checkpoint folder, whose batches start at 0, goes on behind the old one. Each version
+    records its checkpoint and batch, so a batch that is replayed replaces its own output.
     """
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(version_path(root, batch_id))
-        for old in versions(spark, root)[:-keep]:
-            remove_tree(spark, version_path(root, old))
+        spark, mark = batch.sparkSession, f"{checkpoint}#{batch_id}"
+        known = versions(spark, root)
+        again = known and read_text(spark, f"{version_path(root, known[-1])}/{_MARK}") == mark
+        number = known[-1] + (0 if again else 1) if known else 0
+        batch.write.mode("overwrite").parquet(version_path(root, number))
+        write_text(spark, f"{version_path(root, number)}/{_MARK}", mark)
+        drop_versions(spark, root, keep)
 
     writer = bars.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
     return writer.foreachBatch(publish).trigger(**_trigger(every)).start()
 
 
+def update_table(
+    bars: DataFrame, root: str, checkpoint: str, every: str | None = "10 seconds", label: str | None = None
+) -> StreamingQuery:
+    """Windows that changed in each batch, appended as one folder per batch (update mode).
+
+    Work per batch follows the changed windows, not all of them, and state ends with the
+    watermark. :func:`read_updates` gives the latest row of each window; :func:`compact_updates`
+    folds old batches. A replayed batch replaces its own folder. ``label`` keeps the folders of a
+    query with a new checkpoint apart from earlier ones; it must sort behind theirs.
+    """
+    stem = label or "run0"
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root.rstrip('/')}/batch={stem}-{batch_id:012d}")
+
+    writer = bars.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+    return writer.foreachBatch(publish).trigger(**_trigger(every)).start()
+
+
+def read_updates(spark: SparkSession, root: str, keys: Sequence[str] = ("date", "symbol")) -> DataFrame | None:
+    """The latest row of each key of an :func:`update_table`; ``None`` before its first batch."""
+    if not any(name.startswith("batch=") for name in list_names(spark, root)):
+        return None
+    changed = spark.read.option("basePath", root).parquet(f"{root.rstrip('/')}/batch=*")
+    return keep_first(changed, keys, [F.desc("batch")]).drop("batch")
+
+
+def compact_updates(spark: SparkSession, root: str, keys: Sequence[str] = ("date", "symbol")) -> int:
+    """Fold all batches but the newest into one folder; returns how many went.
+
+    The folded rows take the place of the newest of them only when written; readers meanwhile
+    see either form, and a run that died is repeated without harm.
+    """
+    names = sorted(n for n in list_names(spark, root) if n.startswith("batch="))[:-1]
+    names = [n for n in names if exists(spark, f"{root}/{n}/_SUCCESS")]
+    if len(names) < 2:
+        return 0
+    old = spark.read.option("basePath", root).parquet(*[f"{root}/{n}" for n in names])
+    target = f"{root.rstrip('/')}/{names[-1]}-folded"
+    keep_first(old, keys, [F.desc("batch")]).drop("batch").write.mode("overwrite").parquet(target)
+    for name in names:
+        remove_tree(spark, f"{root}/{name}")
+    return len(names)
+
+
 def stop_all(spark: SparkSession) -> list[str]:
     """Stop every active query and return their names (or ids)."""
     stopped = []
