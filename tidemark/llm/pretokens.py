@@ -7,28 +7,54 @@ follows another character, and equal stretches have equal ids: each is encoded o
 
 from __future__ import annotations
 
+import gc
 import re
+from array import array
 
 from tidemark.llm.workers import worker_cache
 
 _STRETCH = re.compile(r"[ \t\n\r\f\v]*[^ \t\n\r\f\v]+|[ \t\n\r\f\v]+$")
-# Other white space joins with its neighbours in ways the cut must not disturb: such texts are encoded whole.
+# White space a plain split at spaces doesn't serve.
+_LAID_OUT = re.compile(r"[\t\r\f\v\x00]|  | \n|\n[ \n]|^[ \n]| $")
 _ODD = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
-_MOST_KEPT = 300_000
+_MOST_KEPT = 1_200_000
+_FIRST = "\x00"  # marks the first word of a text, which has no space before it
 
 
 class _Kept(dict):
-    """Ids of stretches, as little-endian 16- or 32-bit numbers; missing ones are encoded."""
+    """Ids of stretches, as little-endian 16- or 32-bit numbers.
 
-    def __init__(self, tokenizer, kind: str):
-        self.tokenizer, self.kind = tokenizer, kind
-
-    def learn(self, stretches: list[str]) -> None:
-        import numpy as np
+    A key without white space in front stands for a space and that word.
+    """
 
-        new = [s for s in set(stretches) if s not in self]
-        for s, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            self[s] = np.array(found.ids, dtype=self.kind).tobytes()
+    def __init__(self, tokenizer, kind: str):
+        self.tokenizer, self.kind = tokenizer, "H" if kind == "<u2" else "I"
+
+    def stretch(self, key: str) -> str:
+        return key[1:] if key[0] == _FIRST else key if key[0] in " \t\n\r\f\v" else " " + key
+
+    def learn(self, keys: set[str]) -> None:
+        new = list(keys)
+        if len(self) + len(new) > _MOST_KEPT:
+            self.clear()
+        coded = self.tokenizer.encode_batch_fast(list(map(self.stretch, new)), add_special_tokens=False)
+        for key, found in zip(new, coded, strict=True):
+            self[key] = array(self.kind, found.ids).tobytes()
+        gc.freeze()  # keeps the collector from walking the cache again and again
+
+    def keys_of(self, text: str) -> list[str] | None:
+        """The stretches of a text as keys; None for a text that must stay whole."""
+        if _ODD.search(text):
+            return None
+        if not _LAID_OUT.search(text):
+            keys = text.replace("\n", " \n").split(" ")
+        else:
+            keys = [x[1:] if x[0] == " " and len(x) > 1 and x[1] not in " \t\n\r\f\v" else x for x in _STRETCH.findall(text)]
+            if text[0] == " " and text[1:2].strip(" \t\n\r\f\v"):
+                return keys
+        if keys and keys[0][0] not in " \t\n\r\f\v":
+            keys[0] = _FIRST + keys[0]
+        return keys
 
 
 def encoder(path: str, kind: str):
@@ -44,18 +70,23 @@ def encoder(path: str, kind: str):
     kept = cache[path, kind]
 
     def encode(texts: list[str | None]) -> list[bytes]:
-        import numpy as np
-
-        if len(kept) > _MOST_KEPT:
-            kept.clear()
-        cut = [None if t is None or _ODD.search(t) else _STRETCH.findall(t) for t in texts]
-        kept.learn([s for stretches in cut if stretches for s in stretches])
-        return [
-            b"".join(map(kept.__getitem__, stretches))
-            if stretches is not None
-            else np.array(kept.tokenizer.encode(text or "", add_special_tokens=False).ids, dtype=kept.kind).tobytes()
-            for stretches, text in zip(cut, texts, strict=True)
-        ]
+        cut, found, missing = [], [], set()
+        for text in texts:
+            keys = kept.keys_of(text) if text else []
+            ids = None if keys is None else list(map(kept.get, keys))
+            if ids is not None and None in ids:
+                missing.update(k for k, v in zip(keys, ids, strict=True) if v is None)
+            cut.append(keys)
+            found.append(ids)
+        if missing:
+            kept.learn(missing)
+        out = []
+        for text, keys, ids in zip(texts, cut, found, strict=True):
+            if ids is None:
+                out.append(array(kept.kind, kept.tokenizer.encode(text, add_special_tokens=False).ids).tobytes())
+            else:
+                out.append(b"".join([v if v is not None else kept[k] for k, v in zip(keys, ids, strict=True)] if None in ids else ids))
+        return out
 
     return encode
 
