@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.pretokens import encoder, vocabulary_size
-from tidemark.llm.storage import parts
+from tidemark.llm.storage import fixed_sample, parts
 from tidemark.llm.words import column
 from tidemark.sources.storage import scratch_dir
 
@@ -37,8 +37,8 @@ LEVEL = 3
 
 def train_dictionary(docs: DataFrame, tokenizer_path: str, kind: str) -> bytes:
     """A dictionary from the ids of a fixed sample; empty when there is too little to train on."""
-    texts = docs.filter("length(text) > 0").orderBy(F.xxhash64("id"), "id").limit(SAMPLE)
-    texts = [r[0] for r in texts.select(F.substring("text", 1, SAMPLE_CHARS)).collect()]
+    chosen = fixed_sample(docs.filter("length(text) > 0"), SAMPLE)
+    texts = [r[0] for r in chosen.select(F.substring("text", 1, SAMPLE_CHARS)).collect()]
     samples = encoder(tokenizer_path, kind)(texts)
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
