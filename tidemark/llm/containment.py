@@ -154,24 +154,36 @@ def contained_items(
     repeated results; items that share an id count as the one with the lowest text. Item ids are
     integers. Other columns are ignored.
     """
-    spark = docs.sparkSession
     docs = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
     kind = dict(docs.dtypes)["id"]
+    found = [docs.mapInArrow(_search(rows, n_words, percent), f"id {kind}, item_id long, shared long, n_shingles long") for rows in _item_blocks(benchmark, block_shingles)]
+    return reduce(DataFrame.unionByName, found).withColumnRenamed("id", id_column)
+
+
+def _item_blocks(benchmark: DataFrame, block_shingles: int) -> list:
+    """The items as broadcast lists of (item_id, text), one per block; a block's size is bounded by its characters."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     items = items.filter("item_id is not null and text is not null").groupBy("item_id").agg(F.min("text").alias("text"))
-    # Blocks by size: characters bound shingles from above.
     total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     n_blocks = max(1, -(-total // (2 * block_shingles)))
-    found = []
-    for b in range(n_blocks):
-        mine = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(n_blocks)) == b)
-        rows = spark.sparkContext.broadcast([(r["item_id"], r["text"]) for r in mine.collect()])
-        search = _search(rows, n_words, percent)
-        found.append(docs.mapInArrow(search, f"id {kind}, item_id long, shared long, n_shingles long"))
-    return reduce(DataFrame.unionByName, found).withColumnRenamed("id", id_column)
+    block = F.pmod(F.xxhash64("item_id"), F.lit(n_blocks))
+    send = benchmark.sparkSession.sparkContext.broadcast
+    return [send([(r["item_id"], r["text"]) for r in items.filter(block == b).collect()]) for b in range(n_blocks)]
+
+
+def _clean(items, n_words: int, percent: int, text_column: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = Items(items.value, n_words)
+        for batch, texts in portions(batches, text_column):
+            values, bounds = shingle_sets(Words(texts, lower=True), n_words)
+            keep = [not block.verified(t or b"", block.candidates(values[bounds[i] : bounds[i + 1]]), percent) for i, t in enumerate(texts)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return run
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", **parameters) -> DataFrame:
-    """The documents that hold no benchmark item, with all their columns. Rows with a NULL id stay."""
-    held = contained_items(docs, benchmark, id_column, text_column, **parameters).select(id_column).distinct()
-    return docs.join(held, id_column, "left_anti")
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", n_words: int = 5, percent: int = 80, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+    """The documents that hold no benchmark item, with all their columns; each row is judged by its text. No shuffle."""
+    for rows in _item_blocks(benchmark, block_shingles):
+        docs = docs.mapInArrow(_clean(rows, n_words, percent, text_column), docs.schema)
+    return docs

@@ -76,4 +76,5 @@ def html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_sentencepiece")
 def sentencepiece_query(spark: SparkSession, folder: str) -> DataFrame:
     """Whole documents, encoded and decoded again."""
-    return sentencepiece_scan.digests(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    coded = sentencepiece_scan.round_trip(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return coded.select("doc_id", "n_tokens", "ids_crc32", "decoded_sha256")

@@ -4,7 +4,7 @@ Method. Heuristic labellers look at one trait each and vote good, bad or nothing
 pattern occurs is counted over all documents (3 ** labellers patterns at most). Expectation-maximisation
 on these counts estimates, for either class, how often each labeller votes what, and so its accuracy;
 no hand labels are used. Each pattern then has a posterior. A bounded sample of documents
-(``SAMPLE``, by hash of id and text) with these posteriors trains a logistic scorer on hashed traits
+(``SAMPLE``, by hash of the id) with these posteriors trains a logistic scorer on hashed traits
 of words (first and last characters, length, repetition), which then scores every document whole.
 """
 
@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.storage import fixed_sample
 from tidemark.llm.words import U64, Words, column, mix, portions
 
 SAMPLE = 6000  # documents the scorer is trained on, at most
@@ -177,24 +178,36 @@ def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(codes), pa.array(counts)], names=["pattern", "n"])
 
 
+def _scores(words: Words, weights: np.ndarray) -> np.ndarray:
+    n = words.counts()
+    owner, feature, share = features(words)
+    sums = np.bincount(owner, weights=weights[feature] * np.sqrt(share), minlength=len(n)) + weights[DIMS]
+    return np.where(n > 0, 1 / (1 + np.exp(-np.clip(sums, -30, 30))), 0.0)
+
+
 def _judge(posterior: dict[int, float], weights):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in portions(batches, "text"):
             words = Words(texts)
             n = words.counts()
-            weak = np.array([posterior[c] for c in patterns(traits(words, texts), n).tolist()])
-            owner, feature, share = features(words)
-            sums = np.bincount(owner, weights=weights.value[feature] * np.sqrt(share), minlength=len(n)) + weights.value[DIMS]
-            score = np.where(n > 0, 1 / (1 + np.exp(-np.clip(sums, -30, 30))), 0.0)
-            names = [c for c in batch.schema.names if c != "text"]
+            weak = [posterior[c] for c in patterns(traits(words, texts), n).tolist()]
+            score = _scores(words, weights.value)
             yield pa.record_batch(
-                [*[column(batch, c) for c in names], pa.array(n, pa.int64()), pa.array(weak), pa.array(score), pa.array(score >= 0.5)],
-                names=[*names, "n_words", "weak_label", "score", "keep"],
+                [column(batch, "id"), pa.array(n, pa.int64()), pa.array(weak, pa.float64()), pa.array(score), pa.array(score >= 0.5)],
+                names=["id", "n_words", "weak_label", "score", "keep"],
             )
 
     return run
 
 
+def _filter(posterior: dict[int, float], weights, text_column: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in portions(batches, text_column):
+            yield batch.filter(pa.array(_scores(Words(texts), weights.value) >= 0.5))
+
+    return run
+
+
 def judge(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", sample: int = SAMPLE) -> DataFrame:
     """(id, n_words, weak_label, score, keep) per document.
 
@@ -203,21 +216,24 @@ def judge(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     gets no votes but a score. Whole texts are judged; equal rows get equal results. An empty
     table gives an empty result. Other columns are ignored.
     """
-    spark = docs.sparkSession
     docs = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
     kind = dict(docs.dtypes)["id"]
+    judged = docs.mapInArrow(_judge(*fit(docs, sample)), f"id {kind}, n_words long, weak_label double, score double, keep boolean")
+    return judged.withColumnRenamed("id", id_column)
+
+
+def fit(docs: DataFrame, sample: int = SAMPLE):
+    """Posteriors by pattern, and the scorer's weights (broadcast), of documents (id, text)."""
     counted = docs.select("text").mapInArrow(_vote, "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n")).orderBy("pattern").collect()
     codes, counts = (np.array([r[k] for r in counted], dtype=np.int64) for k in ("pattern", "n"))
     posterior, _ = expectation_maximisation(codes, counts.astype(np.float64)) if len(codes) else (np.zeros(0), None)
     table = dict(zip(codes.tolist(), posterior.tolist(), strict=True))
-    chosen = docs.filter("length(text) > 0").orderBy(F.xxhash64("id", "text"), "id").limit(sample).select("text")
+    chosen = fixed_sample(docs.filter("length(text) > 0"), sample).select("text")
     # The sample's texts stay in their tasks; features come back.
     rows = chosen.mapInArrow(_sampled(table), "label double, feature array<int>, share array<float>").collect()
     usable = [(np.array(r["feature"], dtype=np.int64), np.array(r["share"])) for r in rows]
     weights = train(usable, np.array([r["label"] for r in rows])) if rows else np.zeros(DIMS + 1)
-    shared = spark.sparkContext.broadcast(weights)
-    judged = docs.mapInArrow(_judge(table, shared), f"id {kind}, n_words long, weak_label double, score double, keep boolean")
-    return judged.withColumnRenamed("id", id_column)
+    return table, docs.sparkSession.sparkContext.broadcast(weights)
 
 
 def _sampled(posterior: dict[int, float]):
@@ -242,11 +258,6 @@ def _sampled(posterior: dict[int, float]):
 
 
 def keep_good(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", sample: int = SAMPLE) -> DataFrame:
-    """The documents that the classifier keeps, with all their columns.
-
-    Rows are matched by id and text, so repeated ids and NULL ids are judged each by their text.
-    """
-    key = F.xxhash64(id_column, text_column)
-    judged = judge(docs.select(key.alias("_key"), F.col(text_column).alias("text")), "_key", "text", sample)
-    good = judged.filter("keep").select("_key").distinct()
-    return docs.withColumn("_key", key).join(good, "_key", "left_semi").drop("_key")
+    """The documents that the classifier keeps, with all their columns; each row is judged by its text. No shuffle."""
+    table, weights = fit(docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text")), sample)
+    return docs.mapInArrow(_filter(table, weights, text_column), docs.schema)

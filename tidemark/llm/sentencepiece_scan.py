@@ -13,6 +13,7 @@ Texts of up to ``CHUNK`` characters are one chunk and never shuffled. Ids equal
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from collections.abc import Iterator
@@ -354,8 +355,6 @@ def decode(coded: DataFrame, model: str) -> DataFrame:
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import hashlib
-
     for batch in batches:
         ids = column(batch, "ids").to_pylist()
         texts = column(batch, "decoded").to_pylist()
@@ -364,14 +363,15 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 column(batch, "id"),
                 pa.array([len(b) // 4 for b in ids], pa.int64()),
                 pa.array([zlib.crc32(b) for b in ids], pa.int64()),
-                pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts]),
+                pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string()),
+                column(batch, "ids"),
             ],
-            names=["id", "n_tokens", "ids_crc32", "decoded_sha256"],
+            names=["id", "n_tokens", "ids_crc32", "decoded_sha256", "ids"],
         )
 
 
-def digests(docs: DataFrame, model: str, id_column: str = "doc_id", text_column: str = "text", chunk: int = CHUNK) -> DataFrame:
-    """(id, n_tokens, ids_crc32, decoded_sha256): what encoding and decoding gave, in short."""
+def round_trip(docs: DataFrame, model: str, id_column: str = "doc_id", text_column: str = "text", chunk: int = CHUNK) -> DataFrame:
+    """(id, n_tokens, ids_crc32, decoded_sha256, ids): each text encoded, and what decoding gave, in short."""
     coded = decode(encode(docs, model, id_column, text_column, chunk).withColumnRenamed(id_column, "id"), model)
     kind = dict(coded.dtypes)["id"]
-    return coded.mapInArrow(_digest, f"id {kind}, n_tokens long, ids_crc32 long, decoded_sha256 string").withColumnRenamed("id", id_column)
+    return coded.mapInArrow(_digest, f"id {kind}, n_tokens long, ids_crc32 long, decoded_sha256 string, ids binary").withColumnRenamed("id", id_column)
