@@ -82,7 +82,8 @@ def test_expectation_maximisation_trusts_faults_that_stand_alone():
     clean, first = 0, quality.BAD * 3 ** (n - 1)
     both = first + quality.BAD * 3 ** (n - 2)
     posterior, table = quality.expectation_maximisation(np.array([clean, first, both, 3**n - 1]), np.array([900.0, 50.0, 50.0, 5.0]))
-    assert posterior[0] > 0.99 and posterior[1] < 0.1 and posterior[2] < 0.1
+    # Good and bad fall on either side of one half.
+    assert posterior[0] > 0.99 and posterior[1] < 0.5 and posterior[2] < 0.5
     assert np.allclose(table.sum(axis=2), 1)
 
 
@@ -132,6 +133,10 @@ def test_pipeline_stages_do_what_they_say(spark):
     benchmark = {r["item_id"]: shingles(r["text"]) for r in registry.table(spark, folder, "benchmark").collect()}
     before = {r["doc_id"]: r["text"] for r in docs.collect()}
     for name, stage in corpus_pipeline.STAGES:
+        if name == "secret_scan":  # these few documents hold none
+            marked = min(before)
+            before[marked] += " token = 24be64439e3e49cf46b2d7c90f3602a3 end"
+            docs = docs.withColumn("text", F.when(F.col("doc_id") == marked, F.lit(before[marked])).otherwise(F.col("text")))
         out = corpus_pipeline.stored(stage(spark, docs, folder), name)
         after = {r["doc_id"]: r for r in out.collect()}
         if name == "quality_classifier":
@@ -145,7 +150,9 @@ def test_pipeline_stages_do_what_they_say(spark):
             assert set(after) == set(before) - held
             assert held == {r[0] for r in contained_items(docs, registry.table(spark, folder, "benchmark")).collect()}
         elif name == "secret_scan":
-            assert set(after) == set(before) and any(r["text"] != before[i] for i, r in after.items())
+            assert set(after) == set(before)
+            assert {i for i, r in after.items() if r["text"] != before[i]} == {marked}
+            assert after[marked]["text"].endswith(" [SECRET] end")
             assert all(r["n_chars"] == len(r["text"]) for r in after.values())
         if name != "sentencepiece":
             assert out.columns == docs.columns
