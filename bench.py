@@ -87,6 +87,12 @@ def main() -> None:
     bars = inputs.line_bars(tables).select("timestamp", "open", "high", "low", "close", "volume")
     write_csv(bars, text)
     seconds["csv_to_parquet"] = timed(lambda: plans.convert(spark, layout, {"LINES": text}), runs)
+    # The other stored jobs, once each: they build on one another.
+    seconds["plans_clean"] = timed(lambda: plans.clean(spark, layout), 1)
+    seconds["plans_daily"] = timed(lambda: plans.daily(spark, layout), 1)
+    seconds["plans_fill"] = timed(lambda: plans.fill(spark, layout), 1)
+    seconds["plans_merge"] = timed(lambda: plans.merge(spark, layout), 1)
+    seconds["plans_train"] = timed(lambda: plans.train(spark, layout), 1)
     stored = daily_bars(spark.read.parquet(layout.bars), day_of("datetime"), ["timestamp", "close"])
     seconds["bars_to_daily"] = timed(lambda: stored.write.format("noop").mode("overwrite").save(), runs)
     rates = {f"{stage}_rows_per_sec": round(rows / seconds[stage]) for stage in PUBLISHED_ROWS_PER_SEC}

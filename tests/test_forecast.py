@@ -171,6 +171,18 @@ def test_the_fit_travels_to_workers_without_the_package():
     assert "tidemark.forecast.fit" in cloudpickle.list_registry_pickle_by_value()
 
 
+def test_candidates_in_one_group_equal_one_copy_each(spark, rows_of):
+    frame = spark.createDataFrame(
+        [("A", START + dt.timedelta(days=i), 100.0 + i + 3 * math.sin(i), i < 70, ["e_0"] if i % 30 == 3 else [], 1.0 + i, 2.0) for i in range(90)],
+        "symbol string, ds date, y double, is_train boolean, event_keys array<string>, ma7 double, ma30 double",
+    )
+    columns = ("config_id", "mode", "prior", "ds", "yhat", "yhat_lower", "status", "seasons")
+    once, copied = forecast(frame, by=("symbol",), grid=DEFAULT_GRID), forecast(with_configs(frame))
+    for a, b in zip(rows_of(once, *columns), rows_of(copied, *columns), strict=True):
+        assert a[:4] == b[:4] and a[4:6] == pytest.approx(b[4:6], abs=1e-9) and a[6:] == b[6:]
+    assert once.select("seasons").distinct().collect()[0][0] == "weekly"
+
+
 def test_a_hole_inside_the_history_is_not_the_future(spark):
     frame = spark.createDataFrame([(dt.date(2024, 1, d), float(d), "A", 1.0, 1.0) for d in (1, 4)], "ds date, y double, symbol string, ma7 double, ma30 double")
     rows = future_frame(frame, horizon=2).orderBy("ds").collect()

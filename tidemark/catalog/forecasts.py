@@ -173,31 +173,40 @@ def model_kpis(t: Tables) -> DataFrame:
     return reports.model_kpis(best_config(_standin_metrics(t)), scale=PCT_SCALE)
 
 
+def _chosen_errors(t: Tables) -> DataFrame:
+    """Errors of each series under its best candidate."""
+    chosen = best_config(_standin_metrics(t)).select("symbol", "config_id")
+    return _standin_errors(t).join(chosen, ["symbol", "config_id"])
+
+
+CHOSEN = f"{STANDIN}, best as (select symbol, config_id from ({BEST}))"
+
+
 @query(
     "error_histogram",
     sql_with(
         *FILLED_MA,
-        body=f""", {STANDIN}
+        body=f""", {CHOSEN}
 select symbol, cast(case when pct_error < 0 then 0 when pct_error >= 100 then 21
                          else floor(pct_error / 100.0::double * 20) + 1 end as bigint) as bin, count(*) as n
-from errors where config_id = 1 and pct_error is not null group by 1, 2""",
+from errors join best using (symbol, config_id) where errors.pct_error is not null group by 1, 2""",
     ),
 )
 def error_histogram(t: Tables) -> DataFrame:
-    return reports.error_histogram(_standin_errors(t).filter("config_id = 1"), 0, 100, 20)
+    return reports.error_histogram(_chosen_errors(t), 0, 100, 20)
 
 
 @query(
     "recent_predictions",
     sql_with(
         *FILLED_MA,
-        body=f""", {STANDIN}
-select symbol, ds, yhat, y, error, abs_error, pct_error from errors where config_id = 1
+        body=f""", {CHOSEN}
+select symbol, ds, yhat, y, error, abs_error, pct_error from errors join best using (symbol, config_id)
 qualify row_number() over (partition by symbol order by ds desc) <= 30""",
     ),
 )
 def recent_predictions(t: Tables) -> DataFrame:
-    return reports.last_n(_standin_errors(t).filter("config_id = 1").drop("config_id"), 30, date="ds")
+    return reports.last_n(_chosen_errors(t).drop("config_id"), 30, date="ds")
 
 
 @query(
@@ -225,13 +234,13 @@ def _training_frame(t: Tables) -> DataFrame:
 
 @query("forecast")
 def forecast_rows(t: Tables) -> DataFrame:
-    return forecast(with_configs(_training_frame(t)))
+    return forecast(_training_frame(t), by=("symbol",), grid=DEFAULT_GRID)
 
 
 @query("cv_metrics")
 def cv_metrics(t: Tables) -> DataFrame:
-    frame = _training_frame(t)
-    fitted = forecast(with_configs(frame))
+    frame = materialize(_training_frame(t), "training-frame")
+    fitted = forecast(frame, by=("symbol",), grid=DEFAULT_GRID)
     tested = fitted.filter(~F.col("is_train") & F.col("y").isNotNull())
     scored = forecast_metrics(with_errors(tested), by=("symbol", "config_id", "mode", "prior"))
     # Used by two branches: kept as files, so the candidate fits run once.

@@ -20,7 +20,6 @@ from tidemark.forecast import (
     model_frame,
     shift_regressors,
     split_by_time,
-    with_configs,
     with_errors,
     with_folds,
 )
@@ -53,7 +52,9 @@ def train(
     """
     frame = model_frame(read_version(spark, layout.model_input), read_version(spark, layout.daily_filled))
     ready = training_frame(frame, events, timing)
-    write_version(forecast(with_configs(ready, grid)), layout.model("fits"), (), cluster_by=SERIES_ORDER)
+    # Read by the fits and by the folds: stored, so it is computed once.
+    ready = materialize(ready, "training-frame")
+    write_version(forecast(ready, by=("symbol",), grid=grid), layout.model("fits"), (), cluster_by=SERIES_ORDER)
     fits = read_version(spark, layout.model("fits"))
 
     tested = fits.filter(~F.col("is_train") & F.col("y").isNotNull())
