@@ -10,11 +10,14 @@ max-plus algebra. That is what lets a text be cut anywhere (see sentencepiece_sc
 from __future__ import annotations
 
 import heapq
+import re
 
 from tidemark.llm.workers import worker_cache
 
 SPACE = "▁"  # stands for a space in pieces
 _MOST_KEPT = 250_000
+_SHORT = 48
+_NEVER = float("-inf")
 
 # A boundary state: start, end and string of the piece that reaches a cut, relative to the cut.
 State = tuple[int, int, str]
@@ -39,6 +42,9 @@ class Pieces:
             raise ValueError(f"pieces that reach across a space can't be segmented by words: {inner[:3]}")
         if model.encode("a b") and model.decode(model.encode("  a ")) != "  a ":
             raise ValueError("models that drop spaces are not supported")
+        # A line feed that no piece holds parts a text as a space does, and is an id of its own.
+        part = SPACE if any("\n" in p for p in self.id) else SPACE + "\n"
+        self.segment = re.compile(f"{SPACE}*[^{part}]+|{SPACE}+|\n")
         # What each id stands for; a byte for byte pieces.
         self.out = [b""] * size
         for p, i in self.id.items():
@@ -50,8 +56,10 @@ class Pieces:
     def split(self, segment: str) -> list[str]:
         """Pieces of a string; characters without a piece stand alone."""
         n, score = len(segment), self.score
-        if segment in score and n == 1 or n <= 1:
+        if n <= 1:
             return [segment] if n else []
+        if n <= _SHORT:
+            return self._split_short(segment)
         parts: list[str | None] = list(segment)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = []
@@ -80,6 +88,20 @@ class Pieces:
                     heapq.heappush(heap, (-s, h, size + len(parts[h])))
         return [p for p in parts if p is not None]
 
+    def _split_short(self, segment: str) -> list[str]:
+        """The same by plain search for the best pair, the leftmost of equals: faster on words."""
+        get, parts = self.score.get, list(segment)
+        scores = [get(a + b, _NEVER) for a, b in zip(parts, parts[1:], strict=False)]
+        while scores and (best := max(scores)) > _NEVER:
+            i = scores.index(best)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del scores[i]
+            if i < len(scores):
+                scores[i] = get(parts[i] + parts[i + 1], _NEVER)
+            if i:
+                scores[i - 1] = get(parts[i - 1] + parts[i], _NEVER)
+        return parts
+
     def fits(self, left: str, right: str) -> bool:
         """May these two pieces be neighbours?"""
         key = (left, right)

@@ -20,14 +20,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.pieces import SPACE, Pieces, State, load
 from tidemark.llm.words import column
 
 CHUNK = 32_768
-_SEGMENT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+$")
 
 
 def normal(text: str) -> str:
@@ -37,7 +36,7 @@ def normal(text: str) -> str:
 
 def encode_text(text: str | None, segments) -> bytes:
     """Ids of a text that is one chunk."""
-    return b"".join(map(segments.__getitem__, _SEGMENT.findall(normal(text or ""))))
+    return b"".join(map(segments.__getitem__, segments.pieces.segment.findall(normal(text or ""))))
 
 
 def cuts(text: str, chunk: int, reach: int) -> list[tuple[int, bool]]:
@@ -124,7 +123,7 @@ class Chunk:
                         out.append((i, j, -cost))
             return out
         # Spaces inside: what comes before them and after them is independent.
-        middle = sum(len(self.segments[s]) // 4 for s in _SEGMENT.findall(self.text[self.head : self.tail])) if self.tail > self.head else 0
+        middle = sum(len(self.segments[s]) // 4 for s in self.pieces.segment.findall(self.text[self.head : self.tail])) if self.tail > self.head else 0
         heads = []
         for i in entries:
             if i is None:
@@ -167,7 +166,7 @@ class Chunk:
             out = _trace(last, at, self.head) if self.head > at else []
         ids = _bytes(self.pieces.ids(out))
         if self.tail > self.head:
-            ids += b"".join(map(self.segments.__getitem__, _SEGMENT.findall(self.text[self.head : self.tail])))
+            ids += b"".join(map(self.segments.__getitem__, self.pieces.segment.findall(self.text[self.head : self.tail])))
         if leave is not None:
             last = self.pieces.paths(self.text, self.tail, None, self._until())
             ids += _bytes(self.pieces.ids(_trace(last, self.tail, self.end + leave[1])))
@@ -196,6 +195,10 @@ def combine(matrices: list[list[tuple]]) -> list[tuple]:
     return out[::-1]
 
 
+def _giant(chunk: int) -> Column:
+    return F.coalesce(F.length("text"), F.lit(0)) > chunk
+
+
 _STATE = "struct<start:int,end:int,piece:string>"
 _CHUNKS = "key long, id {id}, n_chunks int, chunk int, text string, begin int, end int, enter boolean, leave boolean"
 
@@ -292,10 +295,9 @@ def encode(docs: DataFrame, model: str, id_column: str = "doc_id", text_column:
     """
     docs = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
     kind = dict(docs.dtypes)["id"]
-    size = F.coalesce(F.length("text"), F.lit(0))
-    short = docs.filter(size <= chunk).mapInArrow(_short(model), f"id {kind}, ids binary")
+    short = docs.filter(~_giant(chunk)).mapInArrow(_short(model), f"id {kind}, ids binary")
     # Equal rows are cut alike and encoded once, and counted.
-    giant = docs.filter(size > chunk).groupBy("id", "text").agg(F.count("*").alias("times")).withColumn("key", F.xxhash64("id", "text"))
+    giant = docs.filter(_giant(chunk)).groupBy("id", "text").agg(F.count("*").alias("times")).withColumn("key", F.xxhash64("id", "text"))
     rows = giant.select("key", "id", "text").mapInArrow(_cut(model, chunk), _CHUNKS.format(id=kind))
     rows = rows.repartition("key", "chunk")  # the chunks of one text go to many tasks
     inner = rows.filter("enter or leave")
@@ -329,18 +331,18 @@ def _combined_run(table: pa.Table) -> pa.Table:
     return _combined(table.select(["key", "chunk", "matrix"]))
 
 
+def _text(blob: bytes | None, out: list[bytes]) -> str:
+    raw = b"".join(map(out.__getitem__, np.frombuffer(blob or b"", dtype="<u4").tolist()))
+    return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
+
+
 def _decode(model: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = load(model).pieces.out
-        at = None
         for batch in batches:
-            at = batch.schema.get_field_index("ids") if at is None else at
             for begin in range(0, batch.num_rows, 512):
                 some = batch.slice(begin, 512)
-                texts = []
-                for blob in some.column(at).to_pylist():
-                    raw = b"".join(map(out.__getitem__, np.frombuffer(blob or b"", dtype="<u4").tolist()))
-                    texts.append((raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace"))
+                texts = [_text(blob, out) for blob in column(some, "ids").to_pylist()]
                 yield pa.record_batch([*some.columns, pa.array(texts, pa.string())], names=[*some.schema.names, "decoded"])
 
     return run
@@ -354,24 +356,37 @@ def decode(coded: DataFrame, model: str) -> DataFrame:
     return coded.mapInArrow(_decode(model), f"{schema}, decoded string")
 
 
-def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids = column(batch, "ids").to_pylist()
-        texts = column(batch, "decoded").to_pylist()
-        yield pa.record_batch(
-            [
-                column(batch, "id"),
-                pa.array([len(b) // 4 for b in ids], pa.int64()),
-                pa.array([zlib.crc32(b) for b in ids], pa.int64()),
-                pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string()),
-                column(batch, "ids"),
-            ],
-            names=["id", "n_tokens", "ids_crc32", "decoded_sha256", "ids"],
-        )
+def _digests(ids: pa.Array, blobs: list[bytes], out: list[bytes]) -> pa.RecordBatch:
+    return pa.record_batch(
+        [
+            ids,
+            pa.array([len(b) // 4 for b in blobs], pa.int64()),
+            pa.array([zlib.crc32(b) for b in blobs], pa.int64()),
+            pa.array([hashlib.sha256(_text(b, out).encode()).hexdigest() for b in blobs], pa.string()),
+            pa.array(blobs, pa.binary()),
+        ],
+        names=["id", "n_tokens", "ids_crc32", "decoded_sha256", "ids"],
+    )
+
+
+def _round_trip(model: str, encoded: bool):
+    """Map task: texts, or the ids of them, to their digests; one worker does both ways."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        segments = load(model)
+        for batch in batches:
+            for begin in range(0, batch.num_rows, 256):
+                some = batch.slice(begin, 256)
+                blobs = column(some, "ids").to_pylist() if encoded else [encode_text(t, segments) for t in column(some, "text").to_pylist()]
+                yield _digests(column(some, "id"), blobs, segments.pieces.out)
+
+    return run
 
 
 def round_trip(docs: DataFrame, model: str, id_column: str = "doc_id", text_column: str = "text", chunk: int = CHUNK) -> DataFrame:
     """(id, n_tokens, ids_crc32, decoded_sha256, ids): each text encoded, and what decoding gave, in short."""
-    coded = decode(encode(docs, model, id_column, text_column, chunk).withColumnRenamed(id_column, "id"), model)
-    kind = dict(coded.dtypes)["id"]
-    return coded.mapInArrow(_digest, f"id {kind}, n_tokens long, ids_crc32 long, decoded_sha256 string, ids binary").withColumnRenamed("id", id_column)
+    docs = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
+    schema = f"id {dict(docs.dtypes)['id']}, n_tokens long, ids_crc32 long, decoded_sha256 string, ids binary"
+    short = docs.filter(~_giant(chunk)).mapInArrow(_round_trip(model, False), schema)
+    giant = encode(docs.filter(_giant(chunk)), model, "id", "text", chunk).mapInArrow(_round_trip(model, True), schema)
+    return short.unionByName(giant).withColumnRenamed("id", id_column)
