@@ -6,7 +6,7 @@ import pytest
 
 from tidemark.schemas import MissingColumns
 from tidemark.sinks.tables import version_path
-from tidemark.sinks import append_staging, read_version, versions, write_csv, write_partitioned, write_version
+from tidemark.sinks import append_staging, read_version, versions, write_clustered, write_csv, write_partitioned, write_version
 from tidemark.sources.storage import scratch_dir, sweep_scratch
 
 
@@ -108,3 +108,13 @@ def test_dates_survive_partitioning(spark, tmp_path):
     write_partitioned(df, str(tmp_path / "d"))
     row = spark.read.parquet(str(tmp_path / "d")).filter("year = 2024 and month = 2").first()
     assert (row.symbol, row.date) == ("1-URGENT", dt.date(2024, 2, 1))
+
+
+def test_many_series_need_few_folders(spark, tmp_path):
+    rows = spark.range(10_000).selectExpr("concat('S', id) as symbol", "date'2024-01-01' as date", "2024 as year", "1.0D as v")
+    root = str(tmp_path / "daily")
+    write_version(rows, root)
+    folders = [name for _, names, _ in os.walk(root) for name in names]
+    assert sorted(folders) == ["version=000001", "year=2024"]
+    write_clustered(rows, str(tmp_path / "plain"), ("symbol", "date"))
+    assert not [n for _, names, _ in os.walk(tmp_path / "plain") for n in names]

@@ -19,7 +19,7 @@ from tidemark.operators.normalize import DERIVED, model_input, normalize_bars, r
 from tidemark.operators.resample import daily_bars
 from tidemark.plans.layout import Layout
 from tidemark.schemas import OHLCV
-from tidemark.sinks import DAILY_LAYOUT, read_version, write_csv, write_partitioned, write_version
+from tidemark.sinks import DAILY_LAYOUT, DAILY_ORDER, read_version, write_csv, write_partitioned, write_version
 from tidemark.sources import kline_rejects, klines_to_bars, read_bars, read_first_available, read_kline_pages
 
 
@@ -59,14 +59,14 @@ def daily(spark: SparkSession, layout: Layout, tz: str | None = None) -> None:
     write_csv(quality.large_gaps(bars, unique=True), layout.report("large_gaps"), ordered=True)
     # Stamps are unique after cleaning, so the plain time order needs no tie-break.
     table = with_calendar_parts(daily_bars(bars, day_of("datetime", tz), ["timestamp"]), "date")
-    write_partitioned(table, layout.daily_raw, DAILY_LAYOUT)
+    write_partitioned(table, layout.daily_raw, DAILY_LAYOUT, sort_by=DAILY_ORDER)
     write_csv(spark.read.parquet(layout.daily_raw), layout.report("daily_raw"))
 
 
 def _publish(spark: SparkSession, layout: Layout, filled: DataFrame) -> None:
     write_version(with_calendar_parts(filled, "date"), layout.daily_filled)
     stored = read_version(spark, layout.daily_filled)
-    write_version(model_input(stored), layout.model_input, partition_by=("symbol",))
+    write_version(model_input(stored), layout.model_input, (), cluster_by=("symbol", "ds"))
 
 
 def fill(spark: SparkSession, layout: Layout, volume_policy: str = "zero") -> None:

@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.resample import daily_ticks
 from tidemark.plans.layout import Layout
-from tidemark.sinks import write_partitioned
+from tidemark.sinks import write_clustered
 from tidemark.sources import parse_messages, read_topic
 from tidemark.sources.messages import accepted, rejects
 from tidemark.streaming import (
@@ -28,7 +28,7 @@ def messages_to_daily(raw: DataFrame, layout: Layout, volume_mode: str = "sum")
     """A bounded set of broker rows to daily bars; unreadable rows go to a reject table."""
     parsed = parse_messages(raw, keep=ARRIVAL)
     table = daily_ticks(accepted(parsed), ORDER, volume_mode=volume_mode)
-    write_partitioned(table, layout.speed_daily[0], ("symbol",))
+    write_clustered(table, layout.speed_daily[0], ("symbol", "date"))
     rejects(parsed).write.mode("overwrite").parquet(layout.path("speed_rejects"))
 
 

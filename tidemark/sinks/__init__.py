@@ -3,10 +3,12 @@
 from tidemark.sinks.tables import (
     BAR_LAYOUT,
     DAILY_LAYOUT,
+    DAILY_ORDER,
     append_staging,
     materialize,
     read_version,
     versions,
+    write_clustered,
     write_csv,
     write_partitioned,
     write_version,
@@ -15,10 +17,12 @@ from tidemark.sinks.tables import (
 __all__ = [
     "BAR_LAYOUT",
     "DAILY_LAYOUT",
+    "DAILY_ORDER",
     "append_staging",
     "materialize",
     "read_version",
     "versions",
+    "write_clustered",
     "write_csv",
     "write_partitioned",
     "write_version",

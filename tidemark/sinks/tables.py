@@ -15,8 +15,10 @@ from tidemark.schemas import require_columns
 from tidemark.sources.storage import exists, list_names, remove_tree, scratch_dir
 
 BAR_LAYOUT = ("symbol", "year", "month")
-# A month of daily rows is too small for a file of its own.
-DAILY_LAYOUT = ("symbol", "year")
+# Daily tables have folders per year and rows sorted by series: the number of folders follows the
+# years, not the series, and file statistics prune by series.
+DAILY_LAYOUT = ("year",)
+DAILY_ORDER = ("symbol", "date")
 _VERSION = re.compile(r"^version=(\d{6,})$")
 
 
@@ -27,13 +29,28 @@ def _clustered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
 
 
 def write_partitioned(
-    df: DataFrame, path: str, partition_by: Sequence[str] = BAR_LAYOUT, only_touched: bool = False
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = BAR_LAYOUT,
+    only_touched: bool = False,
+    sort_by: Sequence[str] = (),
 ) -> None:
-    """Overwrite ``path``; with ``only_touched`` replace just the partitions present in ``df``."""
+    """Overwrite ``path``; with ``only_touched`` replace just the partitions present in ``df``.
+
+    ``sort_by`` orders the rows inside the files.
+    """
     require_columns(df, partition_by, "write_partitioned")
     mode = "dynamic" if only_touched else "static"
-    writer = _clustered(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", mode)
-    writer.partitionBy(*partition_by).parquet(path)
+    packed = _clustered(df, partition_by)
+    if sort_by:
+        packed = packed.sortWithinPartitions(*partition_by, *sort_by)
+    packed.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*partition_by).parquet(path)
+
+
+def write_clustered(df: DataFrame, path: str, cluster_by: Sequence[str]) -> None:
+    """Overwrite ``path`` without partition folders: rows of a key lie together and sorted."""
+    require_columns(df, cluster_by, "write_clustered")
+    _clustered(df, cluster_by[:1]).sortWithinPartitions(*cluster_by).write.mode("overwrite").parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, ordered: bool = False) -> None:
@@ -102,11 +119,11 @@ def write_version(
     known = versions(spark, root)
     path = version_path(root, known[-1] + 1 if known else 1)
     if partition_by:
-        write_partitioned(df, path, partition_by)
+        write_partitioned(df, path, partition_by, sort_by=[c for c in DAILY_ORDER if c in df.columns and c not in partition_by])
+    elif cluster_by:
+        write_clustered(df, path, cluster_by)
     else:
-        packed = _clustered(df, cluster_by)
-        packed = packed.sortWithinPartitions(*cluster_by) if cluster_by else packed
-        packed.write.mode("overwrite").parquet(path)
+        _clustered(df, ()).write.mode("overwrite").parquet(path)
     drop_versions(spark, root, keep)
     return path
 

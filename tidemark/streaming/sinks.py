@@ -21,9 +21,12 @@ def _trigger(every: str | None) -> dict:
 
 
 def daily_files(
-    bars: DataFrame, path: str, checkpoint: str, every: str | None = "10 seconds", partition_by: Sequence[str] = ("symbol",)
+    bars: DataFrame, path: str, checkpoint: str, every: str | None = "10 seconds", partition_by: Sequence[str] = ()
 ) -> StreamingQuery:
-    """Append closed windows to Parquet; a window appears once the watermark passes its end."""
+    """Append closed windows to Parquet; a window appears once the watermark passes its end.
+
+    Without partition folders, so that a trigger writes few files however many series it closes.
+    """
     writer = bars.writeStream.outputMode("append").format("parquet")
     writer = writer.option("path", path).option("checkpointLocation", checkpoint).partitionBy(*partition_by)
     return writer.trigger(**_trigger(every)).start()
