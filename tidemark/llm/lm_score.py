@@ -178,8 +178,34 @@ def _ask(buckets: int, frequent):
     return run
 
 
-def _answer(table: pa.Table) -> pa.Table:
-    """One bucket: its vocabulary meets the words asked for; sums per text."""
+_PACKED = ("keys", "parts", "known", "tokens")
+
+
+def _answer(shares: int):
+    """One bucket: sums per text, as packed lists by share of the keys."""
+
+    def run(table: pa.Table) -> pa.Table:
+        cols = _sums(table)
+        share = (cols[0].astype(U64) % U64(shares)).astype(np.int64)
+        rows = [(int(k), *(c[share == k].tobytes() for c in cols)) for k in np.unique(share)]
+        found = list(zip(*rows, strict=True)) if rows else [[]] * 5
+        return pa.table({n: pa.array(c, pa.int32() if n == "share" else pa.binary()) for n, c in zip(("share", *_PACKED), found, strict=True)})
+
+    return run
+
+
+def _total(table: pa.Table) -> pa.Table:
+    """One share of the keys: sums over all buckets. Equal rows count once."""
+    keys, parts, known, tokens = (np.frombuffer(b"".join(table.column(c).to_pylist()), dtype=np.float64 if c == "parts" else np.int64) for c in _PACKED)
+    keys, at = np.unique(keys, return_inverse=True)
+    # A text's own row, which alone has its tokens, comes once per equal row.
+    rows = np.bincount(at, weights=tokens > 0)
+    known, tokens = (np.rint(np.bincount(at, weights=x) / rows).astype(np.int64) for x in (known, tokens))
+    return pa.table({"key": pa.array(keys), "part": pa.array(np.bincount(at, weights=parts) / rows), "n_known": pa.array(known), "n_tokens": pa.array(tokens)})
+
+
+def _sums(table: pa.Table) -> list[np.ndarray]:
+    """The bucket's vocabulary meets the words asked for: keys, sums, known tokens, tokens of texts."""
     names, counts = np.zeros(0, dtype=U64), np.zeros(0, dtype=np.int64)
     asked = []
     for row in table.to_pylist():
@@ -208,8 +234,7 @@ def _answer(table: pa.Table) -> pa.Table:
         for o, x in zip(out, (own[0], own[1].view(np.float64), own[2], own[3]), strict=True):
             o.append(x)
     kinds = (np.int64, np.float64, np.int64, np.int64)
-    cols = [np.concatenate(o) if o else np.zeros(0, dtype=k) for o, k in zip(out, kinds, strict=True)]
-    return pa.table(dict(zip(("key", "part", "known", "tokens"), map(pa.array, cols), strict=True)))
+    return [np.concatenate(o) if o else np.zeros(0, dtype=k) for o, k in zip(out, kinds, strict=True)]
 
 
 def word_scores(docs: DataFrame) -> tuple[DataFrame, int]:
@@ -227,10 +252,8 @@ def word_scores(docs: DataFrame) -> tuple[DataFrame, int]:
     frequent = spark.sparkContext.broadcast((names[order], logs[order]))
     ask = docs.select("key", "text").mapInArrow(_ask(buckets, frequent), "bucket int, names binary, counts binary, pairs binary, docs binary, times binary, keys binary, own binary")
     both = ask.unionByName(words.select("bucket", "names", "counts"), allowMissingColumns=True)
-    answered = both.groupBy("bucket").applyInArrow(_answer, "key long, part double, known long, tokens long")
-    # A text's own row comes once per equal row; sums are for one of them.
-    rows = F.sum((F.col("tokens") > 0).cast("long"))
-    sums = answered.groupBy("key").agg((F.sum("tokens") / rows).cast("long").alias("n_tokens"), (F.sum("known") / rows).cast("long").alias("n_known"), (F.sum("part") / rows).alias("part"))
+    answered = both.groupBy("bucket").applyInArrow(_answer(max(1, buckets // 8)), "share int, keys binary, parts binary, known binary, tokens binary")
+    sums = answered.groupBy("share").applyInArrow(_total, "key long, part double, n_known long, n_tokens long")
     floor = float(np.log10(ALPHA))
     whole = float(np.log10(n + ALPHA * (v + 1)))
     base = F.col("part") + (F.col("n_tokens") - F.col("n_known")) * floor - F.col("n_tokens") * whole
