@@ -12,6 +12,9 @@ from tidemark.schemas import require_columns
 
 VOLUME_MODES = ("sum", "last")
 
+# The output names below (daily_open ... avg_price, cnt, total_trades, tick_count) are
+# the column contract of every daily table.
+
 
 def bar_aggregates(order_by: Sequence[str | Column], scale: int | None = None) -> list[Column]:
     """Daily OHLCV and row count from bars, first and last taken in the stated order."""
@@ -84,6 +87,7 @@ def daily_bars_by_join(
     The daily totals carry the first and last stamp; joining the bars back on equality with
     either finds the opening and closing bar, and a left join attaches them. The totals are
     small, so AQE broadcasts them when they measure so, and splits hot days otherwise.
+    It shuffles raw rows where :func:`daily_bars` shuffles sums: a cross-check, no job uses it.
     """
     dated = bars.withColumn("date", day)
     on = [key, "date"]
