@@ -18,6 +18,7 @@ _STRETCH = re.compile(r"[ \t\n\r\f\v]*[^ \t\n\r\f\v]+|[ \t\n\r\f\v]+$")
 _LAID_OUT = re.compile(r"[\t\r\f\v\x00]|  | \n|\n[ \n]|^[ \n]| $")
 _ODD = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
 _MOST_KEPT = 1_200_000
+_MARKS = ",.;:!?"
 _FIRST = "\x00"  # marks the first word of a text, which has no space before it
 
 
@@ -34,12 +35,28 @@ class _Kept(dict):
         return key[1:] if key[0] == _FIRST else key if key[0] in " \t\n\r\f\v" else " " + key
 
     def learn(self, keys: set[str]) -> None:
-        new = list(keys)
-        if len(self) + len(new) > _MOST_KEPT:
+        if len(self) + 2 * len(keys) > _MOST_KEPT:
             self.clear()
+        # A word with one mark behind it, or a line feed before it, is the ids of the two: the splitter
+        # always parts a letter from a mark, and a line feed from what follows.
+        joined, new = [], set()
+        for key in keys:
+            if key[-1] in _MARKS and key[-2:-1].isalpha():
+                parts = key[:-1], _FIRST + key[-1]
+            elif key[0] == "\n" and key[1:2].strip(" \t\n\r\f\v"):
+                parts = "\n", _FIRST + key[1:]
+            else:
+                new.add(key)
+                continue
+            joined.append((key, *parts))
+            new.update(p for p in parts if p not in self)
+        # Parts of parts: the word of a line that has a mark too is asked for as it is.
+        new = list(new)
         coded = self.tokenizer.encode_batch_fast(list(map(self.stretch, new)), add_special_tokens=False)
         for key, found in zip(new, coded, strict=True):
             self[key] = array(self.kind, found.ids).tobytes()
+        for key, head, tail in joined:
+            self[key] = self[head] + self[tail]
         gc.freeze()  # keeps the collector from walking the cache again and again
 
     def keys_of(self, text: str) -> list[str] | None:
