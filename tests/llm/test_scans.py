@@ -110,6 +110,25 @@ def test_main_text_without_article_elements():
     assert main_text(page).split("\n")[0] == "Head" and main_text(page).count("\n") == 6
 
 
+LINE = "Sentence of the text, which is long enough to be content. It has, indeed, commas."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div class=post><h1>Head</h1><div class=text>{8}</div><div class=end>{2}</div></div>",
+        "<div class=post><h1>Head</h1><div class=text>{8}</div></div>",
+        "<main><h1>Head</h1><article>{6}</article><article>{2}</article></main>",
+        "<article>{6}</article><article>{2}</article>",
+        "<main><h2>Head</h2><article>{6}</article></main>",
+    ],
+)
+def test_main_text_holds_every_content_block(page):
+    whole = re.sub(r"{(\d)}", lambda m: f"<p>{LINE}</p>" * int(m[1]), page)
+    kept = main_text(f"<body><nav>Menu, here.</nav>{whole}<footer>Bye, now.</footer></body>").split("\n")
+    assert kept == ["Head"] * page.count("Head") + [LINE] * whole.count(LINE)
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<", "<p", "a < b & c &amp", "<p>un<b>closed", "</p></div><p>x", "<script>only", "<nav>just a menu</nav>", "\x00<p>y\x00"])
 def test_broken_pages_give_text(page):
     assert isinstance(main_text(page), str)

@@ -4,9 +4,9 @@ Method. A page's text blocks are put together by root-to-leaf tag path (block el
 first label). Each path has two ratios: text characters per block and punctuation marks per block,
 link text left out. Along the page, the ratios of the blocks are smoothed with their neighbours' and
 fused into one score; paths whose mean score reaches ``SHARE`` of the page's best are content. The
-main text is the smallest section that holds most of the content, whole: what stands in it is kept,
-long or short, except for parts that say of themselves that they are something else (menus, adverts,
-forms, comments and the like, by element or label).
+main text is the smallest section that holds all blocks on content paths, whole: what stands in it is
+kept, long or short, except for parts that say of themselves that they are something else (menus,
+adverts, forms, comments and the like, by element or label). A headline (h1) is kept wherever it stands.
 """
 
 from __future__ import annotations
@@ -23,7 +23,6 @@ from tidemark.llm.page_blocks import Block, Element, blocks
 from tidemark.llm.words import column
 
 SHARE = 0.2  # of the best path's score that makes a path content
-HOLDS = 0.7  # of the content that the main section holds at least
 _KERNEL = (0.25, 0.5, 0.25)
 _PUNCTUATION = re.compile(r"[.,;:!?…。、，；：！？]")
 _OTHER_ELEMENTS = frozenset("nav footer aside form button select menu dialog".split())
@@ -71,18 +70,13 @@ def main_text(page: str | None) -> str:
     texts = [b.text() for b in found]
     score = _scores(found, texts)
     least = SHARE * max(score.values())
-    mass: dict[Element, int] = defaultdict(int)
-    total = 0
-    for block, text in zip(found, texts, strict=True):
-        if score[block.element.path] >= least:
-            total += len(text)
-            for e in block.element.chain():
-                mass[e] += len(text)
-    section = max((e for e, m in mass.items() if m >= HOLDS * total), key=lambda e: e.depth)
+    content = [b for b in found if score[b.element.path] >= least]
+    within = set.intersection(*({*b.element.chain()} for b in content))
+    section = max(within, key=lambda e: e.depth)
     while section.parent is not None and section.name not in _SECTIONS:
         section = section.parent
-    section = next((e for e in section.chain() if e.name in ("article", "main")), section)
-    return "\n".join(t for b, t in zip(found, texts, strict=True) if section in b.element.chain())
+    section = next((e for e in reversed([*section.chain()]) if e.name in ("article", "main")), section)
+    return "\n".join(t for b, t in zip(found, texts, strict=True) if section in b.element.chain() or b.element.name == "h1")
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
