@@ -129,6 +129,27 @@ def test_main_text_holds_every_content_block(page):
     assert kept == ["Head"] * page.count("Head") + [LINE] * whole.count(LINE)
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<html class=no-menu><body class='single has-sidebar'><article>{6}</article></body>",
+        "<body class='widget'><article class='post tag-legal'>{6}</article></body>",
+        "<div id='content-search'>{6}</div>",
+        "<main class='no-sidebar'>{6}</main>",
+        "<main id=search>{6}</main>",
+        "<div class=widget><div>{6}</div></div>",
+        "<form id=login><div class=text>{6}</div></form>",
+        "<div class=overlay><div class=text>{6}</div><div class=social>Share, this.</div></div>",
+        "<article>{6}</article><div class='comments-area'><p>Reader, says.</p>{9}</div>",
+        "<div class=text>{6}</div><div id=comments>{9}</div>",
+        "<article>{6}</article><div class='site-footer'>{9}</div><div class='ad-slot-3'>{9}</div>",
+    ],
+)
+def test_labels_drop_parts_and_never_the_page(page):
+    whole = re.sub(r"{(\d)}", lambda m: f"<p>{LINE}</p>" * int(m[1]), page)
+    assert main_text(f"<div class=ad>Buy, now.</div>{whole}").split("\n") == [LINE] * 6
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<", "<p", "a < b & c &amp", "<p>un<b>closed", "</p></div><p>x", "<script>only", "<nav>just a menu</nav>", "\x00<p>y\x00"])
 def test_broken_pages_give_text(page):
     assert isinstance(main_text(page), str)

@@ -25,24 +25,60 @@ from tidemark.llm.words import column
 SHARE = 0.2  # of the best path's score that makes a path content
 _KERNEL = (0.25, 0.5, 0.25)
 _PUNCTUATION = re.compile(r"[.,;:!?…。、，；：！？]")
-_OTHER_ELEMENTS = frozenset("nav footer aside form button select menu dialog".split())
-_OTHER_LABELS = re.compile(
-    r"(?:^|[\s_-])(?:nav|navigation|navbar|menu|sidebar|side|footer|masthead|topbar|ad|ads|adv|advert\w*|adbox|promo\w*|sponsor\w*|banner|cookie\w*|consent|gdpr|notice\w*|"
-    r"alert|newsletter|subscri\w*|comment\w*|disqus|replies|reactions|share\w*|social|related|recommend\w*|breadcrumb\w*|popup|modal|overlay|widget|search|login|signup|"
-    r"complementary|contentinfo|pagination|pager|tags|legal|copyright|disclaimer)(?:$|[\s_-])"
+_OTHER_ELEMENTS = frozenset("nav footer aside button select menu dialog".split())
+_OTHER_WORDS = (
+    r"(?:nav|navigation|navbar|menu|sidebar|side|footer|masthead|topbar|ad|ads|adv|advert[^\W_]*|adbox|promo[^\W_]*|sponsor[^\W_]*|banner|cookie[^\W_]*|consent|gdpr|notice[^\W_]*|"
+    r"alert|newsletter|subscri[^\W_]*|comment[^\W_]*|disqus|replies|reactions|share[^\W_]*|social|related|recommend[^\W_]*|breadcrumb[^\W_]*|popup|modal|overlay|widget|search|login|signup|"
+    r"complementary|contentinfo|pagination|pager|tags|legal|copyright|disclaimer)"
 )
+# Words that say where or what kind of box, so that a label with them is still one of the above.
+_PLACE_WORDS = r"(?:site|page|main|global|top|bottom|left|right|upper|lower|inner|outer|area|bar|box|block|container|wrap|wrapper|list|item|slot|unit|section|\d+)"
+# A whole label: words of either sort with at least one of the first.
+_OTHER_LABEL = re.compile(rf"(?:^|\s)(?:{_PLACE_WORDS}[_-]+)*{_OTHER_WORDS}(?:[_-]+(?:{_OTHER_WORDS}|{_PLACE_WORDS}))*(?=\s|$)")
+_COMMENTS = re.compile(r"comment|disqus|replies|reactions")
+_WHOLE = frozenset("html body main article".split())  # never something else by label
+MOST = 0.5  # of the page's text outside links that a labelled element must hold to be content nevertheless
 _SECTIONS = frozenset("body article main section div td html".split())
 
 
-def _is_other(element: Element) -> bool:
+def _is_labelled(element: Element) -> bool:
+    return element.name == "form" or (element.name not in _WHOLE and bool(element.labels and _OTHER_LABEL.search(element.labels)))
+
+
+def _is_element_other(element: Element) -> bool:
     for e in element.chain():
-        if e.name in _OTHER_ELEMENTS or (e.labels and _OTHER_LABELS.search(e.labels)):
+        if e.name in _OTHER_ELEMENTS:
             return True
         if e.name == "header" and not any(p.name in ("article", "main") for p in e.chain()):
             return True
     return False
 
 
+def _content_blocks(found: list[Block]) -> list[Block]:
+    """Blocks outside parts that are something else. A label is not believed on an element that holds
+    most of the page's text, unless an article or main elsewhere has text or the label speaks of comments."""
+    found = [b for b in found if not _is_element_other(b.element)]
+    chains = [[*b.element.chain()] for b in found]
+    labelled = {e: _is_labelled(e) for chain in chains for e in chain}
+    if not any(labelled.values()):
+        return found
+    mass: dict[Element, int] = defaultdict(int)
+    wholes: set[Element] = set()
+    total = 0
+    for block, chain in zip(found, chains, strict=True):
+        own = max(0, len(block.text()) - block.linked)
+        total += own
+        for e in chain:
+            mass[e] += own
+        if not any(labelled[e] for e in chain):
+            wholes.update(e for e in chain if e.name in ("article", "main"))
+    for e in [e for e, is_labelled in labelled.items() if is_labelled]:
+        elsewhere = wholes.difference(e.chain())
+        if mass[e] > MOST * total and not elsewhere and not _COMMENTS.search(e.labels):
+            labelled[e] = False
+    return [b for b, chain in zip(found, chains, strict=True) if not any(labelled[e] for e in chain)] or found
+
+
 def _scores(found: list[Block], texts: list[str]) -> dict[str, float]:
     """Score of each tag path."""
     sums: dict[str, list[float]] = defaultdict(lambda: [0, 0, 0])
@@ -64,7 +100,7 @@ def _scores(found: list[Block], texts: list[str]) -> dict[str, float]:
 
 def main_text(page: str | None) -> str:
     """Main text of one page: blocks joined by newlines; empty if there is none."""
-    found = [b for b in blocks(page or "") if not _is_other(b.element)]
+    found = _content_blocks(blocks(page or ""))
     if not found:
         return ""
     texts = [b.text() for b in found]
