@@ -150,6 +150,21 @@ def test_labels_drop_parts_and_never_the_page(page):
     assert main_text(f"<div class=ad>Buy, now.</div>{whole}").split("\n") == [LINE] * 6
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<svg class='icon'/><article>{6}</article>",
+        "<svg/><article>{3}<math />{3}</article><svg><text>No.</text></svg>",
+        "<article><svg><svg></svg><text>No.</text><svg/></svg>{6}</article>",
+        "<article>{3}<svg><path d='M0'/><g>{3}</article>",
+        "<article>{3}<svg><foreignObject><p>No.</p></foreignObject><title>No.</title></svg>{3}</article>",
+        "<article>{3}<math><mtext>No.</mtext><mi>x</mi></math>{3}</article>",
+    ],
+)
+def test_pictures_and_formulas_take_no_text_along(page):
+    assert main_text(re.sub(r"{(\d)}", lambda m: f"<p>{LINE}</p>" * int(m[1]), page)).split("\n") == [LINE] * 6
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<", "<p", "a < b & c &amp", "<p>un<b>closed", "</p></div><p>x", "<script>only", "<nav>just a menu</nav>", "\x00<p>y\x00"])
 def test_broken_pages_give_text(page):
     assert isinstance(main_text(page), str)

@@ -11,7 +11,14 @@ _LABEL = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]
 
 # Element classes of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript template iframe svg math xmp noembed noframes".split())
+RAW = frozenset("script style title textarea noscript template iframe xmp noembed noframes".split())
+FOREIGN = frozenset(["svg", "math"])
+# Inside FOREIGN: elements that hold HTML, and those that otherwise end it, as in browsers.
+HOLDS_HTML = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+ENDS_FOREIGN = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup "
+    "table tt u ul var article section main aside nav header footer html".split()
+)
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split()
 )
@@ -55,6 +62,30 @@ def _labels(attributes: str) -> str:
     return " ".join((a or b or c).lower() for _, a, b, c in _LABEL.findall(attributes))
 
 
+def _foreign_end(page: str, name: str, at: int) -> int:
+    """Where the FOREIGN element that begins before ``at`` ends: its own end tag, or HTML that can't be in it."""
+    deep, inside = 1, 0
+    while (m := _TOKEN.search(page, at)) is not None:
+        closing, tag, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
+        tag = (tag or "").lower()
+        if tag in ("script", "style") and not closing and not attributes.endswith("/"):
+            end = re.compile(f"</{tag}\\s*>", re.I).search(page, m.end())
+            if end is None:
+                break
+            at = end.end()
+            continue
+        if tag == name and (closing or not attributes.endswith("/")):
+            deep += -1 if closing else 1
+            if not deep:
+                return m.end()
+        elif tag in HOLDS_HTML and (closing or not attributes.endswith("/")):
+            inside = max(0, inside - 1) if closing else inside + 1
+        elif tag in ENDS_FOREIGN and not inside:
+            return m.start()
+        at = m.end()
+    return len(page)
+
+
 def blocks(page: str) -> list[Block]:
     """Blocks with text, in page order. What scripts, styles and titles hold is not text."""
     root = Element("", "", None, 0, "")
@@ -112,6 +143,9 @@ def blocks(page: str) -> list[Block]:
             if i:
                 pop(i)
             continue
+        if name in FOREIGN:
+            at = at if attributes.endswith("/") else _foreign_end(page, name, at)
+            continue
         if name in RAW:
             end = re.compile(f"</{re.escape(name)}\\s*>", re.I).search(page, at)
             at = end.end() if end else size
