@@ -78,6 +78,29 @@ def test_secret_entropy_is_the_windows_own(spark):
         assert abs(want - e) < 1e-9
 
 
+def test_random_keys_are_found_and_names_are_not(spark):
+    rng = random.Random(6)
+    lower, upper, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    letters = {"lower": lower + digits, "base32": upper + "234567", "base62": lower + upper + digits, "base64": lower + upper + digits + "+/", "url": lower + upper + digits + "-_"}
+    rows = []
+    for kind, symbols in letters.items():
+        for n in (20, 24, 32, 64, 128, 400):
+            for _ in range(200 if n < 128 else 40):
+                key = "".join(rng.choice(symbols) for _ in range(n))
+                if re.search("[0-9]", key):  # a candidate has a digit
+                    rows.append((f"{kind} {n}", key))
+    rows += [("base64 slash", "/" + "".join(rng.choice(letters["base64"]) for _ in range(63))) for _ in range(100)]
+    names = ["/usr/local/lib/python3/site/packages1", "src/main/java/Service2/Handlers", "my-blog-post-with-a-long-title-2024", "MAX_CONNECTION_RETRIES_2", "/a1/" * 20_000]
+    rows += [("name", f"{n}") for n in names]
+    frame = spark.createDataFrame([(i, f"is {k} here") for i, (_, k) in enumerate(rows)], "doc_id long, text string")
+    found = {r["doc_id"] for r in secret_scan.scan(frame).filter("spans <> ''").collect()}
+    for kind in {k for k, _ in rows}:
+        own = [i for i, (k, _) in enumerate(rows) if k == kind]
+        missed = sum(i not in found for i in own) / len(own)
+        least, most = (1, 1) if kind == "name" else (0, 0.06 if kind.endswith(" 20") else 0.03)
+        assert least <= missed <= most, (kind, missed)
+
+
 def test_masked_texts_hold_no_base_secret(secret_docs):
     masked = secret_scan.mask_secrets(secret_docs)
     assert masked.columns == ["doc_id", "text"]

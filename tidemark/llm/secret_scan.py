@@ -7,11 +7,15 @@ Base kinds are regular expressions, leftmost and non-overlapping per kind. The m
 Shannon entropy of every window of ``WINDOW`` characters, kept by incremental counts: one character
 enters, one leaves, and the sum of c * log2(c) changes by their two terms. A candidate whose best
 window reaches the limit of its character class is a span, unless the allow-list knows it
-(UUIDs, checksums of packages, paths, placeholders) or a base span covers part of it.
+(UUIDs, checksums of packages, paths, placeholders) or a base span covers part of it. The limit of a
+class is the expected entropy of a random window less ``MARGIN``. A path is a candidate whose segments
+are all names, however many slashes it has.
 """
 
 from __future__ import annotations
 
+from math import comb, log2
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,15 +28,23 @@ KINDS = ("assign", "access", "hex", "entropy")
 
 # The method's own parameters.
 WINDOW = 20
-LIMITS = {"hex": 3.0, "key": 3.9}  # bits per character, by character class of the candidate
+MARGIN = 0.35  # bits per character below the expected entropy; about 2.5 standard deviations
+# Symbols of a class that is not hexadecimal, by its first pattern that fits; marks alone make no class.
+CLASSES = ((r"^[a-z0-9+/_=-]+$", 36), (r"^[A-Z0-9+/_=-]+$", 32), (r"^[A-Za-z0-9]+$", 62), (r"", 64))
+# Bits per character. ``hex`` is the method's; ``key`` is the one limit of all others in the SQL twin.
+LIMITS = {"hex": 3.0, "key": 3.9}
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+# The third, paths by their slashes, is the SQL twin's alone: the method looks at the segments.
 ALLOWED = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"^sha(256|384|512)-",
     r"^/|/.*/.*/",
     r"(?i)example|sample|placeholder|xxxx|1234567890",
 )
+SLASHES = ALLOWED[2]
+MARKS = r"[+/_=-]"
+NAME = r"^(?:[A-Z]?[a-z]{1,15}[0-9]{0,4}|[A-Z]{1,15}[0-9]{0,4}|[0-9]{0,8})$"
 
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
 
@@ -87,13 +99,22 @@ def best_entropy(text: Column) -> Column:
     return F.aggregate(codes, start, step, lambda have: have["best"])
 
 
+def expected_entropy(symbols: int) -> float:
+    """Mean Shannon entropy, in bits, of WINDOW characters drawn evenly from so many symbols."""
+    p = 1 / symbols
+    return log2(WINDOW) - symbols / WINDOW * sum(comb(WINDOW, c) * p**c * (1 - p) ** (WINDOW - c) * c * log2(c) for c in range(2, WINDOW + 1))
+
+
 def _secret_like(match: Column) -> Column:
     """Digit and letter, not allowed, and enough entropy for its class; cheap tests first."""
-    known = F.lit(False)
+    known = match.rlike(MARKS) & F.forall(F.split(match, MARKS, -1), lambda segment: segment.rlike(NAME))
     for pattern in ALLOWED:
-        known = known | match.rlike(pattern)
+        if pattern != SLASHES:
+            known = match.rlike(pattern) | known
     mixed = match.rlike("[0-9]") & match.rlike("[A-Za-z]")
-    limit = F.when(match.rlike("^[0-9a-fA-F]+$"), F.lit(LIMITS["hex"])).otherwise(F.lit(LIMITS["key"]))
+    limit = F.when(match.rlike("^[0-9a-fA-F]+$"), F.lit(LIMITS["hex"]))
+    for pattern, symbols in CLASSES:
+        limit = limit.when(match.rlike(pattern), F.lit(expected_entropy(symbols) - MARGIN))
     return F.when(mixed & ~known, best_entropy(match) >= limit).otherwise(F.lit(False))
 
 
