@@ -1,4 +1,4 @@
-"""Queries over the test tables: the ten operators with production parameters, and the pipeline."""
+"""Queries over the test tables: the operators with production parameters, and the pipeline."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("q_words", "q_scan", "q_models")
+MODULES = ("q_words", "q_scan", "q_models", "q_groups")
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
