@@ -208,6 +208,19 @@ def test_stretches_encode_as_the_library(prose):
         assert np.frombuffer(blob, dtype="<u2").tolist() == library.encode(text or "", add_special_tokens=False).ids
 
 
+def test_byte_bpe_of_odd_strings_equals_the_library():
+    """20,000 strings of control marks, spaces, combining marks, joiners and letters, the shortest fault (space, U+0000) among them."""
+    rng = random.Random(11)
+    odd = [chr(c) for c in (*range(0x20), 0x7F, 0x85, 0xA0, 0x300, 0x301, 0x180E, 0x200B, 0x200D, 0x2028, 0x2029, 0x3000, 0xFEFF, 0x1F600)]
+    atoms = [*odd, " ", " ", "  ", "\n", "\n\n", "a", "word", "Été", "don't", "'s", "12", "1", "日本", ",", ".", "...", "!?", "_", "<s>", "\x00 ", " \x00"]
+    texts = ["".join(rng.choice(atoms) for _ in range(rng.randrange(1, 12))) for _ in range(20_000)] + [" \x00", "\x00", "a \x00b"]
+    library = Tokenizer.from_file(BPE)
+    want = library.encode_batch_fast(texts, add_special_tokens=False)
+    for i in range(0, len(texts), 500):
+        for text, blob, ids in zip(texts[i : i + 500], encoder(BPE, "<u2")(texts[i : i + 500]), want[i : i + 500], strict=True):
+            assert np.frombuffer(blob, "<u2").tolist() == ids.ids, repr(text)
+
+
 def test_token_files_read_back(spark, docs, no_docs, tmp_path, rows_of):
     library = Tokenizer.from_file(BPE)
     path = str(tmp_path / "ids")

@@ -15,11 +15,12 @@ from tidemark.llm.workers import worker_cache
 
 _STRETCH = re.compile(r"[ \t\n\r\f\v]*[^ \t\n\r\f\v]+|[ \t\n\r\f\v]+$")
 # White space a plain split at spaces doesn't serve.
-_LAID_OUT = re.compile(r"[\t\r\f\v\x00]|  | \n|\n[ \n]|^[ \n]| $")
-_ODD = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
+_LAID_OUT = re.compile(r"[\t\r\f\v]|  | \n|\n[ \n]|^[ \n]| $")
+# Characters the cutting rule doesn't cover, and the one this module uses as a mark: such texts are encoded whole.
+_ODD = re.compile("[\x00\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
 _MOST_KEPT = 1_200_000
 _MARKS = ",.;:!?"
-_FIRST = "\x00"  # marks the first word of a text, which has no space before it
+_FIRST = "\x00"  # marks the first word of a text, which has no space before it; in no text that is cut
 
 
 class _Kept(dict):

@@ -8,8 +8,8 @@ the SHA-256 of that dictionary, which lies beside the files; readers refuse anot
 part totals they give each document's offset in the whole. Parquet's own row-group statistics on the
 id column lead a lookup of one document to one row group.
 
-The dictionary is trained on the id arrays of a bounded sample of documents (``SAMPLE``); it changes
-sizes, never contents.
+The dictionary is trained on the ids of windows at hashed places of a bounded sample of documents
+(``SAMPLE``); it changes sizes, never contents.
 """
 
 from __future__ import annotations
@@ -30,16 +30,24 @@ from tidemark.llm.words import column
 from tidemark.sources.storage import scratch_dir
 
 SAMPLE = 1000  # documents the dictionary is trained on, at most
-SAMPLE_CHARS = 4000  # and characters of each of them
+SAMPLE_CHARS = 4000  # and characters of each of them, from a place its hash tells
 DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
 
 
 def train_dictionary(docs: DataFrame, tokenizer_path: str, kind: str) -> bytes:
     """A dictionary from the ids of a fixed sample; empty when there is too little to train on."""
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            for text in column(batch, "text").to_pylist():
+                begin = zlib.crc32(text.encode("utf-8", "replace")) % max(1, len(text) - SAMPLE_CHARS + 1)
+                texts.append(text[begin : begin + SAMPLE_CHARS])
+            yield pa.record_batch([pa.array(encoder(tokenizer_path, kind)(texts), pa.binary())], names=["ids"])
+
     chosen = fixed_sample(docs.filter("length(text) > 0"), SAMPLE)
-    texts = [r[0] for r in chosen.select(F.substring("text", 1, SAMPLE_CHARS)).collect()]
-    samples = encoder(tokenizer_path, kind)(texts)
+    samples = sorted(bytes(r[0]) for r in chosen.select("text").mapInArrow(encode, "ids binary").collect())
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except zstandard.ZstdError:
