@@ -52,11 +52,11 @@ def test_batch_chain(spark, layout, tmp_path):
     assert gaps.count() == 100 and int(gaps.agg(F.max(F.col("gap").cast("int"))).first()[0]) == DAY * 2 - 2 * 3600
 
     plans.fill(spark, layout)
-    filled = read_version(spark, layout.daily_filled)
+    filled = plans.read_daily(spark, layout)
     assert filled.count() == 2 * DAYS and filled.filter("is_filled").count() == 1
     missing = spark.read.option("header", True).csv(layout.report("missing_days")).collect()
     assert [(r.date, r.symbol) for r in missing] == [("2024-01-08", "BTCUSDT")]
-    assert read_version(spark, layout.model_input).columns == ["ds", "y", "symbol"]
+    assert plans.read_model_input(spark, layout).columns == ["ds", "y", "symbol"]
     for name, n in (("top_price_change_days", 10), ("top_volume_days", 10), ("avg_volume_per_month", 8), ("avg_return_per_year", 2)):
         assert spark.read.option("header", True).csv(layout.report(name)).count() == n
     assert spark.sql("select count(*) from daily_series").first()[0] == 2 * DAYS
@@ -68,7 +68,7 @@ def test_batch_chain(spark, layout, tmp_path):
         bars = [[(START + d * DAY) * 1000, "1", "2", "0.5", "1.5", "3", 0, "0", 1, "0", "0", "0"] for d in (DAYS - 1, DAYS, DAYS + 2)]
         (pages / f"{symbol}_1.json").write_text(json.dumps(bars) + "\n")
     plans.backfill(spark, layout, str(pages), str(dt.date(2024, 1, 1) + dt.timedelta(days=DAYS + 3)))
-    grown = read_version(spark, layout.daily_filled)
+    grown = plans.read_daily(spark, layout)
     assert grown.count() == 2 * (DAYS + 4)
     assert grown.filter("symbol = 'BTCUSDT'").orderBy(F.desc("date")).first().daily_close == 1.5
     kept = grown.filter(F.col("date") == F.lit(dt.date(2024, 1, 1) + dt.timedelta(days=DAYS - 1))).filter("symbol = 'BTCUSDT'").first()
@@ -86,7 +86,7 @@ def test_batch_chain(spark, layout, tmp_path):
     messages_to_daily(broker, layout)
     assert spark.read.parquet(layout.path("speed_rejects")).count() == 1
     assert plans.merge(spark, layout) is True
-    served = read_version(spark, layout.daily_filled)
+    served = plans.read_daily(spark, layout)
     assert served.count() == 2 * (DAYS + 4) + 1
     last = served.filter("symbol = 'BTCUSDT'").orderBy(F.desc("date")).limit(2).collect()
     assert [r.daily_close for r in last] == [55.0, 1.5]

@@ -139,13 +139,12 @@ select *, round(avg(daily_close) over (partition by symbol order by date rows 6
 
 def _served(t: Tables, layout: plans.Layout) -> DataFrame:
     columns = ("symbol", "date", "daily_open", "daily_high", "daily_low", "daily_close", "daily_volume")
-    stored = read_version(t.spark, layout.daily_filled)
-    return stored.select(*columns, F.round("ma7", 3).alias("ma7"), F.round("ma30", 3).alias("ma30"))
+    return plans.read_daily(t.spark, layout).select(*columns, F.round("ma7", 3).alias("ma7"), F.round("ma30", 3).alias("ma30"))
 
 
 def _stored_batch(t: Tables, label: str) -> plans.Layout:
     layout = plans.Layout(scratch_dir(t.spark, label))
-    write_version(with_calendar_parts(batch_layer(t), "date"), layout.daily_filled)
+    plans.publish_daily(t.spark, layout, batch_layer(t), volume_policy="carry")
     return layout
 
 

@@ -2,6 +2,7 @@
 
 from tidemark.plans.batch import backfill, clean, convert, daily, fill, merge
 from tidemark.plans.layout import Layout
+from tidemark.plans.serving import merge_daily, publish_daily, read_daily, read_marks, read_model_input
 from tidemark.plans.speed import start_speed_layer, topic_to_daily
 from tidemark.plans.training import train
 
@@ -13,6 +14,11 @@ __all__ = [
     "daily",
     "fill",
     "merge",
+    "merge_daily",
+    "publish_daily",
+    "read_daily",
+    "read_marks",
+    "read_model_input",
     "start_speed_layer",
     "topic_to_daily",
     "train",

@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 from tidemark.functions import day_of, with_calendar_parts
 from tidemark.operators import calendar, quality, reports
 from tidemark.operators.fill import complete_bars
-from tidemark.operators.layers import fill_forward, incremental_slice, merge_layers
-from tidemark.operators.normalize import DERIVED, model_input, normalize_bars, readable, union_sources, unreadable, with_derived, without_derived
+from tidemark.operators.layers import incremental_slice
+from tidemark.operators.normalize import DERIVED, normalize_bars, readable, union_sources, unreadable, with_derived, without_derived
 from tidemark.operators.resample import daily_bars
 from tidemark.plans.layout import Layout
+from tidemark.plans.serving import merge_daily, publish_daily, read_daily, read_marks
 from tidemark.schemas import OHLCV
-from tidemark.sinks import DAILY_LAYOUT, DAILY_ORDER, read_version, write_csv, write_partitioned, write_version
+from tidemark.sinks import DAILY_LAYOUT, DAILY_ORDER, write_csv, write_partitioned
 from tidemark.sources import kline_rejects, klines_to_bars, read_bars, read_first_available, read_kline_pages
 
 
@@ -63,18 +64,12 @@ def daily(spark: SparkSession, layout: Layout, tz: str | None = None) -> None:
     write_csv(spark.read.parquet(layout.daily_raw), layout.report("daily_raw"))
 
 
-def _publish(spark: SparkSession, layout: Layout, filled: DataFrame) -> None:
-    write_version(with_calendar_parts(filled, "date"), layout.daily_filled)
-    stored = read_version(spark, layout.daily_filled)
-    write_version(model_input(stored), layout.model_input, (), cluster_by=("symbol", "ds"))
-
-
 def fill(spark: SparkSession, layout: Layout, volume_policy: str = "zero") -> None:
     """Gap-free daily series with averages, the missing days, and the four reports."""
     raw = spark.read.parquet(layout.daily_raw).drop("year", "month")
     write_csv(calendar.missing_days(raw), layout.report("missing_days"))
-    _publish(spark, layout, calendar.moving_averages(calendar.fill_calendar(raw, volume_policy)))
-    stored = read_version(spark, layout.daily_filled)
+    publish_daily(spark, layout, calendar.moving_averages(calendar.fill_calendar(raw, volume_policy)), volume_policy)
+    stored = read_daily(spark, layout)
     stored.createOrReplaceTempView("daily_series")
     tables = {
         "top_price_change_days": reports.top_price_change_days(stored),
@@ -93,29 +88,33 @@ def backfill(
     as_of: str,
     symbol_pattern: str = r"([A-Z0-9]+)[^/]*$",
     symbol: Column | None = None,
+    volume_policy: str = "zero",
 ) -> None:
     """Landed kline pages after each series' last stored day, merged behind the stored days.
 
-    The stored table wins where both have a day. The symbol comes from the file name, or is an expression over ``source_file``. Holes between
-    stored and fresh days are filled, and every series reaches ``as_of``.
+    The stored table wins where both have a day. The symbol comes from the file name, or is an
+    expression over ``source_file``. Holes between stored and fresh days are filled, and every
+    series reaches ``as_of``. ``volume_policy`` is for a first publication; later ones keep theirs. Last stored days come from the published marks, and only the years
+    from there on are written again.
     """
-    stored = read_version(spark, layout.daily_filled)
     name = F.regexp_extract("source_file", symbol_pattern, 1) if symbol is None else symbol
     landed = read_kline_pages(spark, pages).withColumn("symbol", name)
     kline_rejects(landed).write.mode("overwrite").parquet(layout.path("kline_rejects"))
     bars = quality.keep_first(klines_to_bars(landed), ["symbol", "timestamp"], OHLCV)
-    fresh = daily_bars(bars.withColumn("date", F.to_date("datetime")), F.col("date"), ["timestamp"]).drop("cnt")
-    end = F.lit(as_of).cast("date")
-    fresh = incremental_slice(fresh, stored, end) if stored is not None else fresh.filter(F.col("date") <= end)
-    merged = merge_layers([stored, fresh] if stored is not None else [fresh])
-    _publish(spark, layout, fill_forward(merged, until=end))
+    fresh = daily_bars(bars.withColumn("date", F.to_date("datetime")), F.col("date"), ["timestamp"])
+    marks, end = read_marks(spark, layout), F.lit(as_of).cast("date")
+    if marks is None:
+        days = fresh.filter(F.col("date") <= end)
+        publish_daily(spark, layout, calendar.moving_averages(calendar.fill_calendar(days, volume_policy, until=end)), volume_policy)
+    else:
+        merge_daily(spark, layout, incremental_slice(fresh, None, end, marks=marks), until=as_of)
 
 
 def merge(spark: SparkSession, layout: Layout, speed_paths: Sequence[str] | None = None) -> bool:
-    """Batch and speed layer to the serving table; without a speed layer the batch stays as it is."""
-    stored = read_version(spark, layout.daily_filled)
-    if stored is None:
-        raise FileNotFoundError(f"no committed version below {layout.daily_filled}")
+    """Batch and speed layer to the served tables; without a speed layer they stay as they are."""
+    if read_daily(spark, layout) is None:
+        raise FileNotFoundError(f"nothing is published below {layout.serving}")
     speed = read_first_available(spark, speed_paths or layout.speed_daily)
-    _publish(spark, layout, fill_forward(merge_layers([stored] if speed is None else [stored, speed])))
+    if speed is not None:
+        merge_daily(spark, layout, speed)
     return speed is not None

@@ -25,13 +25,9 @@ class Layout:
         return self.path("daily_raw")
 
     @property
-    def daily_filled(self) -> str:
-        """Versioned: backfill and merge derive it from its own previous version."""
-        return self.path("daily_filled")
-
-    @property
-    def model_input(self) -> str:
-        return self.path("model_input")
+    def serving(self) -> str:
+        """The published set: daily series, model input and marks behind one manifest."""
+        return self.path("serving")
 
     @property
     def speed_daily(self) -> tuple[str, str]:

@@ -24,6 +24,7 @@ from tidemark.forecast import (
     with_folds,
 )
 from tidemark.plans.layout import Layout
+from tidemark.plans.serving import read_daily, read_model_input
 from tidemark.sinks import materialize, read_version, write_csv, write_version
 
 HORIZON = 30
@@ -50,7 +51,7 @@ def train(
     Fits are stored before they are read by the several outputs. Earlier results stay as
     the previous version of each table.
     """
-    frame = model_frame(read_version(spark, layout.model_input), read_version(spark, layout.daily_filled))
+    frame = model_frame(read_model_input(spark, layout), read_daily(spark, layout))
     ready = training_frame(frame, events, timing)
     # Read by the fits and by the folds: stored, so it is computed once.
     ready = materialize(ready, "training-frame")

@@ -1,5 +1,6 @@
 """Batch writers. Streaming sinks are in ``tidemark.streaming``."""
 
+from tidemark.sinks.manifest import PublishConflict, publish, read_manifest, read_published
 from tidemark.sinks.tables import (
     BAR_LAYOUT,
     DAILY_LAYOUT,
@@ -18,8 +19,12 @@ __all__ = [
     "BAR_LAYOUT",
     "DAILY_LAYOUT",
     "DAILY_ORDER",
+    "PublishConflict",
     "append_staging",
     "materialize",
+    "publish",
+    "read_manifest",
+    "read_published",
     "read_version",
     "versions",
     "write_clustered",

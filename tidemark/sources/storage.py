@@ -64,6 +64,14 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
+def move_new(spark: SparkSession, source: str, target: str) -> bool:
+    """Give a file its name in one step; false when the name is taken."""
+    fs, old = _resolve(spark, source)
+    _, new = _resolve(spark, target)
+    # Some file systems rename over an existing file without a word.
+    return not fs.exists(new) and fs.rename(old, new)
+
+
 def sweep_scratch(spark: SparkSession, older_than_hours: float, now: float | None = None) -> list[str]:
     """Remove scratch folders whose last change is older than that; returns their names.
 
