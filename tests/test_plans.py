@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark import plans
 from tidemark.plans.speed import messages_to_daily
 from tidemark.sinks import read_version
-from tidemark.streaming import read_updates, stop_all
+from tidemark.streaming import read_closed, read_rejects, read_stats, stop_all
 
 DAY = 86_400
 START = int(dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc).timestamp())
@@ -108,9 +108,13 @@ def test_speed_layer_queries(spark, tmp_path):
         "value", F.current_timestamp().alias("kafka_timestamp"), F.lit(0).alias("kafka_partition"), F.lit(0).cast("bigint").alias("kafka_offset")
     )
     layout = plans.Layout(str(tmp_path / "tables"))
-    for query in plans.start_speed_layer(raw, layout, every=None):
-        query.awaitTermination()
-    stop_all(spark)
+    for stats in ("table", "snapshot"):
+        for query in plans.start_speed_layer(raw, layout, every=None, stats=stats):
+            query.awaitTermination()
+        stop_all(spark)
+    sinks = layout.speed_sinks
+    assert read_closed(spark, sinks).count() == plans.read_speed_layer(spark, layout).count() == 2
+    assert read_stats(spark, sinks).count() == read_version(spark, layout.path("speed_stream", "stats")).count() == 4
     assert spark.read.parquet(layout.speed_daily[1]).count() == 2
-    assert read_updates(spark, layout.path("speed_stream", "updates")).count() == 4
-    assert [r.raw for r in spark.read.parquet(layout.path("speed_stream", "rejects")).collect()] == ["{broken"]
+    for found in (read_rejects(spark, sinks), spark.read.parquet(layout.path("speed_stream", "rejects"))):
+        assert [r.raw for r in found.collect()] == ["{broken"]

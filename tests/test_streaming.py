@@ -14,7 +14,13 @@ from tidemark.streaming import (
     compact_updates,
     console_monitor,
     daily_files,
+    fan_out,
     memory_table,
+    read_batches,
+    read_closed,
+    read_late,
+    read_rejects,
+    read_stats,
     read_updates,
     run_streams,
     snapshot_table,
@@ -23,6 +29,7 @@ from tidemark.streaming import (
     windowed_bars,
     with_event_watermark,
 )
+from tidemark.streaming.ledger import Ledger
 
 DAY_MS = 86_400_000
 START = 1_704_067_200_000  # 2024-01-01 UTC
@@ -186,3 +193,146 @@ def test_updates_hold_the_latest_row_of_each_window(spark, tmp_path, feed, rows_
         assert rows_of(got, "symbol", F.col("date").cast("string"), "daily_close", "tick_count") == expected
         compact_updates(spark, root)
     assert compact_updates(spark, root) == 0
+
+
+def updates(feed, root, checkpoint, **options):
+    bars = windowed_bars(with_event_watermark(feed.stream(), "30 days"))
+    finish(update_table(bars, root, str(checkpoint), every=None, **options))
+
+
+def uncommit(checkpoint):
+    """Take back Spark's note that the last batch is done, as if the query died before it."""
+    names = [n for n in os.listdir(checkpoint / "commits") if n[0] != "."]
+    last = max(names, key=int)
+    for name in os.listdir(checkpoint / "commits"):
+        if name.strip(".").split(".")[0] == last:
+            os.remove(checkpoint / "commits" / name)
+
+
+def closes(df):
+    return sorted((r["symbol"], str(r["date"]), r["daily_close"], r["tick_count"]) for r in df.collect())
+
+
+def test_updates_of_a_new_checkpoint_win_over_those_before(spark, tmp_path, feed):
+    root = str(tmp_path / "t")
+    updates(feed, root, tmp_path / "first")
+    feed.land(message("A", DAY_MS + 60, 100.0))
+    updates(feed, root, tmp_path / "second")  # reads everything again
+    assert closes(read_updates(spark, root)) == closes(daily_ticks(feed.batch()))
+    updates(feed, root, tmp_path / "second")
+    assert Ledger(spark, root).epochs()[-1].startswith("000002-")
+
+
+def test_a_replacing_run_hides_the_runs_before(spark, tmp_path, feed):
+    root = str(tmp_path / "t")
+    updates(feed, root, tmp_path / "first")
+    compact_updates(spark, root)
+    other = Feed(spark, tmp_path / "other")
+    other.land(message("Z", 5, 1.0))
+    updates(other, root, tmp_path / "second", replaces=True)
+    assert closes(read_updates(spark, root)) == [("Z", "2024-01-01", 1.0, 1)]
+
+
+def test_a_replayed_update_counts_once(spark, tmp_path, feed):
+    root, checkpoint = str(tmp_path / "t"), tmp_path / "cp"
+    updates(feed, root, checkpoint)
+    known = Ledger(spark, root).epochs()
+    uncommit(checkpoint)
+    feed.land(message("B", 3 * DAY_MS, 8.0))
+    updates(feed, root, checkpoint)
+    assert Ledger(spark, root).epochs()[: len(known)] == known
+    assert closes(read_updates(spark, root)) == closes(daily_ticks(feed.batch()))
+
+
+def test_a_folder_without_a_commit_is_not_read(spark, tmp_path, feed):
+    root, checkpoint = str(tmp_path / "t"), tmp_path / "cp"
+    updates(feed, root, checkpoint)
+    before = closes(read_updates(spark, root))
+    ledger = Ledger(spark, root)
+    dead = ledger.epoch(1, int(ledger.epochs()[-1].split("-")[1]) + 1)
+    ledger.write(dead, "updates", read_updates(spark, root).withColumn("daily_close", F.lit(-1.0)))
+    assert closes(read_updates(spark, root)) == before
+    feed.land(message("B", 3 * DAY_MS, 8.0))
+    updates(feed, root, checkpoint)  # writes over it
+    assert closes(read_updates(spark, root)) == closes(daily_ticks(feed.batch()))
+
+
+def test_a_fold_keeps_what_readers_list_until_its_grace_ends(spark, tmp_path, feed):
+    root = str(tmp_path / "t")
+    updates(feed, root, tmp_path / "cp")
+    reader = read_updates(spark, root)
+    want = closes(reader)
+    assert compact_updates(spark, root, grace_seconds=60, now=1000) >= 3
+    assert closes(reader) == want == closes(read_updates(spark, root))
+    for k, (now, left) in enumerate(((1030, True), (1100, False))):
+        feed.land(message("C", k, 1.0))
+        updates(feed, root, tmp_path / "cp")
+        compact_updates(spark, root, grace_seconds=60, now=now)
+        assert os.path.exists(f"{root}/updates/epoch=000001-000000000000") == left
+    assert closes(read_updates(spark, root)) == closes(daily_ticks(feed.batch()))
+
+
+def test_updates_fold_themselves(spark, tmp_path, feed):
+    root = str(tmp_path / "t")
+    updates(feed, root, tmp_path / "cp", fold_after=2)
+    assert Ledger(spark, root).open_epochs("updates") < 3
+    assert any(n.startswith("fold=") for n in os.listdir(f"{root}/updates"))
+    assert closes(read_updates(spark, root)) == closes(daily_ticks(feed.batch()))
+
+
+def fan(spark, feed, root, checkpoint, **options):
+    raw = spark.readStream.option("maxFilesPerTrigger", 1).text(feed.folder)
+    finish(fan_out(parse_messages(raw), root, str(checkpoint), every=None, **options))
+
+
+def test_one_query_feeds_all_sinks(spark, tmp_path, feed):
+    root = str(tmp_path / "t")
+    # Behind the mark of three days: one row of a window that has ended.
+    feed.land(message("A", 4000, 99.0), message("A", 3 * DAY_MS + 2, 6.0), "nothing")
+    fan(spark, feed, root, tmp_path / "cp", delay="1 hour")
+    late = read_late(spark, root).collect()
+    assert [(r["symbol"], r["price"]) for r in late] == [("A", 99.0)]
+    # The mark is three days less an hour; the window ended a day after the start.
+    assert late[0]["seconds_late"] == 2 * 86_400 - 3600
+    assert str(late[0]["window_start"]) == "2024-01-01 00:00:00"
+    on_time = feed.batch().filter("price <> 99")
+    assert closes(read_stats(spark, root)) == closes(daily_ticks(on_time))
+    assert closes(read_closed(spark, root)) == closes(daily_ticks(on_time).filter(F.col("date") < F.lit(dt.date(2024, 1, 3))))
+    assert sorted(r["raw"] for r in read_rejects(spark, root).collect()) == ["nothing", "{broken"]
+    batches = read_batches(spark, root)
+    assert [b["rows"] for b in batches] == [4, 2, 1, 3]  # each row of the input once
+    assert sum(b["late"] for b in batches) == 1 and sum(b["rejected"] for b in batches) == 2
+
+
+def test_partial_sums_add_up_like_the_whole(spark, tmp_path, feed):
+    for mode in ("sum", "last"):
+        root = str(tmp_path / mode)
+        fan(spark, feed, root, tmp_path / f"{mode}-cp", delay="30 days", volume_mode=mode, fold_after=2)
+        want = daily_ticks(feed.batch(), volume_mode=mode)
+        got = read_stats(spark, root)
+        assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
+        assert any(n.startswith("fold=") for n in os.listdir(f"{root}/stats"))
+
+
+def test_runs_that_go_on_share_a_window_and_a_replacing_run_does_not(spark, tmp_path, feed):
+    root = str(tmp_path / "t")
+    fan(spark, feed, root, tmp_path / "first", delay="30 days")
+    more = Feed(spark, tmp_path / "more")
+    more.land(message("A", 500, 0.5), message("A", DAY_MS + 9, 44.0))
+    fan(spark, more, root, tmp_path / "second", delay="30 days")
+    both = feed.batch().unionByName(more.batch())
+    assert closes(read_stats(spark, root)) == closes(daily_ticks(both))
+    fan(spark, more, root, tmp_path / "third", delay="30 days", replaces=True)
+    assert closes(read_stats(spark, root)) == closes(daily_ticks(more.batch()))
+
+
+def test_a_replayed_batch_of_all_sinks_counts_once(spark, tmp_path, feed):
+    root, checkpoint = str(tmp_path / "t"), tmp_path / "cp"
+    fan(spark, feed, root, checkpoint, delay="1 hour")
+    before = closes(read_stats(spark, root)), closes(read_closed(spark, root))
+    uncommit(checkpoint)
+    fan(spark, feed, root, checkpoint, delay="1 hour")
+    assert (closes(read_stats(spark, root)), closes(read_closed(spark, root))) == before
+    feed.land(message("A", 9 * DAY_MS, 1.0))
+    fan(spark, feed, root, checkpoint, delay="1 hour")
+    assert closes(read_closed(spark, root)) == closes(daily_ticks(feed.batch()).filter("date < '2024-01-09'"))

@@ -12,6 +12,7 @@ from tidemark.catalog.inputs import DAILY, LAYERS, batch_layer, daily, line_bars
 from tidemark.catalog.registry import Tables, query
 from tidemark.functions import with_calendar_parts
 from tidemark.operators import layers
+from tidemark.operators.calendar import moving_averages
 from tidemark.operators.normalize import with_derived
 from tidemark.sinks import append_staging, read_version, write_csv, write_partitioned, write_version
 from tidemark.sources import read_csv_text, read_first_available
@@ -144,7 +145,7 @@ def _served(t: Tables, layout: plans.Layout) -> DataFrame:
 
 def _stored_batch(t: Tables, label: str) -> plans.Layout:
     layout = plans.Layout(scratch_dir(t.spark, label))
-    plans.publish_daily(t.spark, layout, batch_layer(t), volume_policy="carry")
+    plans.publish_daily(t.spark, layout, moving_averages(batch_layer(t)), volume_policy="carry")
     return layout
 
 

@@ -59,6 +59,68 @@ def tick_aggregates(
     ]
 
 
+def partial_ticks(order_by: Sequence[str | Column], volume_mode: str = "sum", scale: int | None = None) -> list[Column]:
+    """Aggregates that :func:`merge_ticks` adds up to those of :func:`tick_aggregates`.
+
+    First and last rows carry their place in the order, means their sum and count, exact sums
+    stay decimals.
+    """
+    if volume_mode not in VOLUME_MODES:
+        raise ValueError(f"volume_mode must be one of {VOLUME_MODES}")
+    order = ordering(order_by)
+    exact = lambda c: F.col(c) if scale is None else F.col(c).cast(f"decimal(18,{scale})")
+    by_sum = volume_mode == "sum"
+    out = [
+        F.min(order).alias("first_at"),
+        F.max(order).alias("last_at"),
+        F.min_by("open", order).alias("daily_open"),
+        F.max("high").alias("daily_high"),
+        F.min("low").alias("daily_low"),
+        F.max_by("price", order).alias("daily_close"),
+        F.lit(by_sum).alias("by_sum"),
+    ]
+    for column, name in (("volume", "daily_volume"), ("quote_volume", "daily_quote_volume")):
+        out.append((F.sum(exact(column)) if by_sum else F.max_by(column, order)).alias(name))
+    trades = F.sum("number_trades") if by_sum else F.max_by("number_trades", order)
+    return [
+        *out,
+        trades.cast("bigint").alias("total_trades"),
+        F.count(F.lit(1)).alias("tick_count"),
+        F.sum(exact("price")).alias("price_sum"),
+        F.count("price").alias("price_count"),
+    ]
+
+
+def merge_ticks(parts: DataFrame, keys: Sequence[str], more: Sequence[Column] = (), finish: bool = True) -> DataFrame:
+    """Rows of :func:`partial_ticks` to one per key; with ``finish`` under the names of :func:`tick_aggregates`.
+
+    Without it the result is partial again, and can be merged further. Both forms don't depend on how
+    ticks were dealt to parts, exact sums not even in the last digit.
+    """
+    # No part mixes the two ways to take volumes.
+    total = lambda c: F.when(F.any_value("by_sum"), F.sum(c)).otherwise(F.max_by(c, "last_at"))
+    merged = parts.groupBy(*keys).agg(
+        F.min("first_at").alias("first_at"),
+        F.max("last_at").alias("last_at"),
+        F.min_by("daily_open", "first_at").alias("daily_open"),
+        F.max("daily_high").alias("daily_high"),
+        F.min("daily_low").alias("daily_low"),
+        F.max_by("daily_close", "last_at").alias("daily_close"),
+        F.any_value("by_sum").alias("by_sum"),
+        *[total(c).cast(parts.schema[c].dataType).alias(c) for c in ("daily_volume", "daily_quote_volume", "total_trades")],
+        F.sum("tick_count").alias("tick_count"),
+        F.sum("price_sum").cast(parts.schema["price_sum"].dataType).alias("price_sum"),
+        F.sum("price_count").alias("price_count"),
+        *more,
+    )
+    if not finish:
+        return merged
+    mean = F.try_divide(F.col("price_sum").cast("double"), F.col("price_count").cast("double"))
+    volumes = [F.col(c).cast("double").alias(c) for c in ("daily_volume", "daily_quote_volume")]
+    prices = ("daily_open", "daily_high", "daily_low", "daily_close")
+    return merged.select(*keys, *prices, *volumes, "total_trades", "tick_count", mean.alias("avg_price"))
+
+
 def daily_bars(
     bars: DataFrame, day: Column, order_by: Sequence[str | Column], key: str = "symbol", scale: int | None = None
 ) -> DataFrame:

@@ -3,7 +3,7 @@
 from tidemark.plans.batch import backfill, clean, convert, daily, fill, merge
 from tidemark.plans.layout import Layout
 from tidemark.plans.serving import merge_daily, publish_daily, read_daily, read_marks, read_model_input
-from tidemark.plans.speed import start_speed_layer, topic_to_daily
+from tidemark.plans.speed import read_speed_layer, start_speed_layer, topic_to_daily
 from tidemark.plans.training import train
 
 __all__ = [
@@ -19,6 +19,7 @@ __all__ = [
     "read_daily",
     "read_marks",
     "read_model_input",
+    "read_speed_layer",
     "start_speed_layer",
     "topic_to_daily",
     "train",

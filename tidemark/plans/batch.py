@@ -20,6 +20,7 @@ from tidemark.operators.resample import daily_bars
 from tidemark.plans.layout import Layout
 from tidemark.plans.serving import merge_daily, publish_daily, read_daily, read_marks
 from tidemark.schemas import OHLCV
+from tidemark.plans.speed import read_speed_layer
 from tidemark.sinks import DAILY_LAYOUT, DAILY_ORDER, write_csv, write_partitioned
 from tidemark.sources import kline_rejects, klines_to_bars, read_bars, read_first_available, read_kline_pages
 
@@ -114,7 +115,7 @@ def merge(spark: SparkSession, layout: Layout, speed_paths: Sequence[str] | None
     """Batch and speed layer to the served tables; without a speed layer they stay as they are."""
     if read_daily(spark, layout) is None:
         raise FileNotFoundError(f"nothing is published below {layout.serving}")
-    speed = read_first_available(spark, speed_paths or layout.speed_daily)
+    speed = read_first_available(spark, speed_paths) if speed_paths else read_speed_layer(spark, layout)
     if speed is not None:
         merge_daily(spark, layout, speed)
     return speed is not None

@@ -34,6 +34,11 @@ class Layout:
         """Speed-layer results: the bounded reader's table first, then the stream's."""
         return self.path("speed_batch"), self.path("speed_stream", "daily")
 
+    @property
+    def speed_sinks(self) -> str:
+        """All sinks of the stream, behind one ledger."""
+        return self.path("speed_stream", "sinks")
+
     def report(self, name: str) -> str:
         return self.path("reports", name)
 

@@ -1,5 +1,6 @@
 """Structured Streaming: windowed bars and their sinks."""
 
+from tidemark.streaming.fanout import fan_out, read_batches, read_closed, read_late, read_rejects, read_stats
 from tidemark.streaming.sinks import (
     compact_updates,
     console_monitor,
@@ -17,7 +18,13 @@ __all__ = [
     "compact_updates",
     "console_monitor",
     "daily_files",
+    "fan_out",
     "memory_table",
+    "read_batches",
+    "read_closed",
+    "read_late",
+    "read_rejects",
+    "read_stats",
     "read_updates",
     "run_streams",
     "snapshot_table",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.quality import keep_first
 from tidemark.sinks.tables import drop_versions, version_path, versions
-from tidemark.sources.storage import exists, list_names, read_text, remove_tree, write_text
+from tidemark.sources.storage import read_text, write_text
+from tidemark.streaming.ledger import EPOCH, Ledger
 
 _MARK = "_batch"  # beside the data files, which readers don't take for one
 
@@ -20,6 +21,17 @@ def _trigger(every: str | None) -> dict:
     return {"processingTime": every} if every else {"availableNow": True}
 
 
+def start_batches(df: DataFrame, mode: str, checkpoint: str, publish: Callable[[DataFrame, int], None], every: str | None) -> StreamingQuery:
+    """Start a query that hands each batch to ``publish``."""
+    writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
+    return writer.foreachBatch(publish).trigger(**_trigger(every)).start()
+
+
+def _run_only(batch: DataFrame) -> None:
+    """Run a replayed batch without a result: the query's window state must move on with it."""
+    batch.write.format("noop").mode("overwrite").save()
+
+
 def daily_files(
     bars: DataFrame, path: str, checkpoint: str, every: str | None = "10 seconds", partition_by: Sequence[str] = ()
 ) -> StreamingQuery:
@@ -58,65 +70,77 @@ def snapshot_table(
 
     Versions are numbered on from those stored, whatever the batch number: a query with a new
     checkpoint folder, whose batches start at 0, goes on behind the old one. Each version
-    records its checkpoint and batch, so a batch that is replayed replaces its own output.
+    records its checkpoint and batch, so a batch that is replayed finds its own output and
+    leaves it to its readers.
     """
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         spark, mark = batch.sparkSession, f"{checkpoint}#{batch_id}"
         known = versions(spark, root)
-        again = known and read_text(spark, f"{version_path(root, known[-1])}/{_MARK}") == mark
-        number = known[-1] + (0 if again else 1) if known else 0
+        if known and read_text(spark, f"{version_path(root, known[-1])}/{_MARK}") == mark:
+            _run_only(batch)
+            return
+        number = known[-1] + 1 if known else 0
         batch.write.mode("overwrite").parquet(version_path(root, number))
         write_text(spark, f"{version_path(root, number)}/{_MARK}", mark)
         drop_versions(spark, root, keep)
 
-    writer = bars.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
-    return writer.foreachBatch(publish).trigger(**_trigger(every)).start()
+    return start_batches(bars, "complete", checkpoint, publish, every)
+
+
+UPDATES = "updates"
 
 
 def update_table(
-    bars: DataFrame, root: str, checkpoint: str, every: str | None = "10 seconds", label: str | None = None
+    bars: DataFrame,
+    root: str,
+    checkpoint: str,
+    every: str | None = "10 seconds",
+    keys: Sequence[str] = ("date", "symbol"),
+    replaces: bool = False,
+    fold_after: int = 50,
 ) -> StreamingQuery:
     """Windows that changed in each batch, appended as one folder per batch (update mode).
 
     Work per batch follows the changed windows, not all of them, and state ends with the
-    watermark. :func:`read_updates` gives the latest row of each window; :func:`compact_updates`
-    folds old batches. A replayed batch replaces its own folder. ``label`` keeps the folders of a
-    query with a new checkpoint apart from earlier ones; it must sort behind theirs.
+    watermark. :func:`read_updates` gives the latest row of each window. Batches are committed in
+    an epoch ledger: a replayed batch counts once, and a query with a new checkpoint folder is a
+    new run, whose rows win over those of the runs before; with ``replaces`` earlier runs count no
+    longer at all. After ``fold_after`` batches they are folded.
     """
-    stem = label or "run0"
+    run = Ledger(bars.sparkSession, root).start_run(checkpoint, replaces)
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root.rstrip('/')}/batch={stem}-{batch_id:012d}")
+        ledger = Ledger(batch.sparkSession, root)
+        epoch = ledger.epoch(run, batch_id)
+        if ledger.is_committed(epoch):
+            _run_only(batch)
+            return
+        ledger.commit(epoch, {UPDATES: ledger.write(epoch, UPDATES, batch)})
+        if ledger.open_epochs(UPDATES) >= fold_after:
+            compact_updates(batch.sparkSession, root, keys)
 
-    writer = bars.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-    return writer.foreachBatch(publish).trigger(**_trigger(every)).start()
+    return start_batches(bars, "update", checkpoint, publish, every)
+
+
+def _latest(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return keep_first(rows, keys, [F.desc(EPOCH)])
 
 
 def read_updates(spark: SparkSession, root: str, keys: Sequence[str] = ("date", "symbol")) -> DataFrame | None:
     """The latest row of each key of an :func:`update_table`; ``None`` before its first batch."""
-    if not any(name.startswith("batch=") for name in list_names(spark, root)):
-        return None
-    changed = spark.read.option("basePath", root).parquet(f"{root.rstrip('/')}/batch=*")
-    return keep_first(changed, keys, [F.desc("batch")]).drop("batch")
+    rows = Ledger(spark, root).read(UPDATES)
+    return None if rows is None else _latest(rows, keys).drop(EPOCH)
 
 
-def compact_updates(spark: SparkSession, root: str, keys: Sequence[str] = ("date", "symbol")) -> int:
-    """Fold all batches but the newest into one folder; returns how many went.
+def compact_updates(
+    spark: SparkSession, root: str, keys: Sequence[str] = ("date", "symbol"), grace_seconds: float = 3600.0, now: float | None = None
+) -> int:
+    """Fold all committed batches into one folder; returns how many folders it stands for.
 
-    The folded rows take the place of the newest of them only when written; readers meanwhile
-    see either form, and a run that died is repeated without harm.
+    Readers see either form. The old folders stay for ``grace_seconds``, for readers that list them.
     """
-    names = sorted(n for n in list_names(spark, root) if n.startswith("batch="))[:-1]
-    names = [n for n in names if exists(spark, f"{root}/{n}/_SUCCESS")]
-    if len(names) < 2:
-        return 0
-    old = spark.read.option("basePath", root).parquet(*[f"{root}/{n}" for n in names])
-    target = f"{root.rstrip('/')}/{names[-1]}-folded"
-    keep_first(old, keys, [F.desc("batch")]).drop("batch").write.mode("overwrite").parquet(target)
-    for name in names:
-        remove_tree(spark, f"{root}/{name}")
-    return len(names)
+    return Ledger(spark, root).fold(UPDATES, lambda rows: _latest(rows, keys), grace_seconds, now)
 
 
 def stop_all(spark: SparkSession) -> list[str]:
