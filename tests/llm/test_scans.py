@@ -7,12 +7,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm import secret_scan, sentencepiece_scan, token_files
+from tidemark.llm import pieces, secret_scan, sentencepiece_scan, token_files
 from tidemark.llm.pretokens import encoder
 from tidemark.llm.tag_paths import extract, main_text
 
@@ -263,3 +264,49 @@ def test_pieces_round_trip(spark, docs, no_docs, prose):
             assert row["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
             assert row["ids_crc32"] == zlib.crc32(row["ids"]) and row["n_tokens"] == len(row["ids"]) // 4
     assert sentencepiece_scan.round_trip(no_docs, PIECES).count() == 0
+
+
+def test_pieces_of_long_runs_of_chunks(spark, monkeypatch):
+    """More chunks in one word than a task multiplies, on two levels, against the library and the sequential path."""
+    monkeypatch.setattr(sentencepiece_scan, "BLOCK", 4)
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("theanirs") for _ in range(n)) for n in (9_000, 14_000)]
+    texts += [texts[0][:5000] + " and " + texts[1][:6000], "no cut"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    got = {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in sentencepiece_scan.round_trip(frame, PIECES, chunk=150).collect()}
+    assert got == {i: library.encode(t) for i, t in enumerate(texts)}
+
+
+def test_the_matrix_product_is_associative_and_gives_the_sequential_value():
+    rng = random.Random(3)
+    states = [(-k, k, "x" * k) for k in range(1, 4)]
+
+    def matrix(rows, columns):
+        return [(i, j, -rng.randrange(1, 9)) for i in rows for j in columns if rng.random() < 0.8]
+
+    for n in (2, 3, 70):
+        chain = [matrix([None], states), *[matrix(states, states) for _ in range(n)], matrix(states, [None])]
+        whole = sentencepiece_scan.product(chain)
+        fold = chain[0]
+        for m in chain[1:]:
+            fold = sentencepiece_scan.multiply(fold, m)
+        assert sorted(whole) == sorted(fold)
+        if whole:
+            values = [{(i, j): v for i, j, v in m} for m in chain]
+            path = sentencepiece_scan.combine(chain)
+            assert whole == [(None, None, sum(v[step] for v, step in zip(values, path, strict=True)))]
+
+
+def test_pieces_of_odd_strings_equal_the_library(spark):
+    """Spaces in runs and at the ends, the space character itself, line ends, control marks, characters without a piece."""
+    rng = random.Random(12)
+    atoms = [" ", " ", "  ", "\n", "\n\n", " \n", "\n ", "▁", " ▁", "▁ ", "\x00", "\t", "‍", "́", "é", "word", "The", "don't", "12", "½", "日本", "🎉", "<s>", "</s>", ",", "...", "\r"]
+    texts = ["".join(rng.choice(atoms) for _ in range(rng.randrange(1, 14))) for _ in range(8000)]
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    segments = pieces.load(PIECES)
+    for some in (texts[:3000], texts[3000:], texts[:3000]):
+        for text, ids in zip(some, segments.encode_column(pa.array(some)), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == library.encode(text), repr(text)
+    assert segments.encode_column(pa.array(["x", None, "", "a b"], pa.string()).slice(1)) == [b"", b"", segments.encode_column(pa.array(["a b"]))[0]]
+    assert segments.encode_column(pa.array([], pa.string())) == []

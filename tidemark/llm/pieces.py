@@ -11,11 +11,17 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from tidemark.llm.workers import worker_cache
 
 SPACE = "▁"  # stands for a space in pieces
-_MOST_KEPT = 250_000
+_MOST_KEPT = 250_000  # in each of two generations
 _SHORT = 48
 _NEVER = float("-inf")
 
@@ -27,7 +33,7 @@ class Pieces:
     def __init__(self, path: str):
         from sentencepiece import SentencePieceProcessor
 
-        model = SentencePieceProcessor(model_file=path)
+        self.model = model = SentencePieceProcessor(model_file=path)
         size = model.get_piece_size()
         plain = [i for i in range(size) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
         self.id = {model.id_to_piece(i): i for i in plain}
@@ -43,8 +49,10 @@ class Pieces:
         if model.encode("a b") and model.decode(model.encode("  a ")) != "  a ":
             raise ValueError("models that drop spaces are not supported")
         # A line feed that no piece holds parts a text as a space does, and is an id of its own.
-        part = SPACE if any("\n" in p for p in self.id) else SPACE + "\n"
+        self.joins_lines = any("\n" in p for p in self.id)
+        part = SPACE if self.joins_lines else SPACE + "\n"
         self.segment = re.compile(f"{SPACE}*[^{part}]+|{SPACE}+|\n")
+        self.packed = {p: i.to_bytes(4, "little") for p, i in self.id.items()}
         # What each id stands for; a byte for byte pieces.
         self.out = [b""] * size
         for p, i in self.id.items():
@@ -139,32 +147,108 @@ class Pieces:
                 break  # no path leads on
         return last
 
-    def ids(self, pieces: list[str]) -> list[int]:
-        out = []
-        for p in pieces:
-            i = self.id.get(p)
-            if i is None:
-                out += [self.bytes[b] for b in p.encode()]
-            else:
-                out.append(i)
-        return out
+    def ids(self, pieces: list[str]) -> bytes:
+        """Ids as little-endian 32-bit numbers; a character without a piece gives those of its bytes."""
+        packed = self.packed
+        try:
+            return b"".join([packed[p] for p in pieces])
+        except KeyError:
+            return b"".join([packed.get(p) or b"".join(self.bytes[b].to_bytes(4, "little") for b in p.encode()) for p in pieces])
+
+    def word_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of words with a space before each, from the library: a word has no space or line end inside."""
+        return [array("I", ids).tobytes() for ids in self.model.encode(words, num_threads=1)]
+
+
+class _Kept(dict):
+    """Computed values by string. When it is full, what it holds becomes the old generation, from which
+    frequent strings come back."""
+
+    def __init__(self, compute: Callable[[str], bytes]):
+        self.compute, self.old = compute, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.old.get(key)
+        return self.put(key, self.compute(key) if value is None else value)
+
+    def put(self, key: str, value: bytes) -> bytes:
+        if len(key) <= 64:
+            if len(self) >= _MOST_KEPT:
+                self.old = dict(self)
+                self.clear()
+            self[key] = value
+        return value
+
 
+def normal(text: str) -> str:
+    """What the model segments: a space before, spaces as the space character. Empty stays empty."""
+    return (SPACE + text).replace(" ", SPACE) if text else ""
 
-class Segments(dict):
-    """Ids of word segments as little-endian 32-bit numbers, computed at first use."""
+
+class Segments:
+    """Ids of texts as little-endian 32-bit numbers, by distinct words; a worker computes each word once."""
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
+        self.segments = _Kept(lambda segment: pieces.ids(pieces.split(segment)))
+        self.words = _Kept(lambda word: self._compute([word])[0])
+        self.line_end = pieces.ids(["\n"])
+
+    def parts(self, text: str) -> bytes:
+        """Ids of any normal text, segment by segment."""
+        return b"".join(map(self.segments.__getitem__, self.pieces.segment.findall(text)))
 
-    def __missing__(self, segment: str) -> bytes:
-        import numpy as np
+    def _compute(self, words: list[str]) -> list[bytes]:
+        """Ids of strings without a space that stand behind one. Behind a line end inside, no space stands."""
+        cut = [w.split("\n") for w in words]
+        out = self.pieces.word_ids([lines[0] or SPACE for lines in cut])
+        for i, lines in enumerate(cut):
+            if len(lines) > 1:
+                head = out[i] if lines[0] else self.parts(SPACE)
+                out[i] = self.line_end.join([head, *map(self.parts, lines[1:])])
+        return out
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words, the new ones in one call of the library."""
+        held, old = self.words, self.words.old
+        out = [held.get(w) or old.get(w) for w in words]
+        new = [i for i, ids in enumerate(out) if ids is None and words[i]]
+        for i, ids in zip(new, self._compute([words[i] for i in new]) if new else (), strict=True):
+            out[i] = held.put(words[i], ids)
+        return out
+
+    def encode_column(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text of a string array; NULL and empty texts have none.
+
+        Arrow splits the texts and finds the distinct words; their ids are then gathered by word.
+        """
+        texts = texts.fill_null("")
+        if self.pieces.joins_lines:
+            return [self.parts(normal(t)) for t in texts.to_pylist()]
+        lists = pc.split_pattern(texts, " ")
+        coded = lists.values.dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        ids = pa.array(self._ids(words), pa.large_binary()).take(coded.indices)
+        first = lists.offsets.to_numpy()
+        buffers, offsets = ids.buffers(), None
+        if len(ids):
+            offsets = np.frombuffer(buffers[1], dtype=np.int64, count=len(ids) + 1 + ids.offset)[ids.offset :]
+        data = memoryview(buffers[2]) if len(ids) and buffers[2] is not None else memoryview(b"")
+        # Several spaces, or one at an end, leave empty words; the space character itself counts as a space.
+        odd = pc.match_substring(texts, SPACE).to_numpy(zero_copy_only=False)
+        if "" in words:
+            empty = np.concatenate([[0], np.cumsum(coded.indices.to_numpy() == words.index(""))])
+            odd = odd | (empty[first[1:]] > empty[first[:-1]])
+        out = [bytes(data[a:b]) for a, b in zip(offsets[first[:-1]].tolist(), offsets[first[1:]].tolist(), strict=True)] if len(ids) else [b""] * len(texts)
+        for i in np.flatnonzero(odd).tolist():
+            out[i] = self.parts(normal(texts[i].as_py()))
+        return out
 
-        if len(self) > _MOST_KEPT:
-            self.clear()
-        ids = np.array(self.pieces.ids(self.pieces.split(segment)), dtype="<u4").tobytes()
-        if len(segment) <= 64:
-            self[segment] = ids
-        return ids
+    def encode(self, text: str) -> bytes:
+        """Ids of a normal text that begins where a segment does."""
+        if text[:1] != SPACE:
+            return self.parts(text)
+        return self.encode_column(pa.array([text[1:].replace(SPACE, " ")]))[0] if len(text) > 1 else self.parts(text)
 
 
 def load(path: str) -> Segments:

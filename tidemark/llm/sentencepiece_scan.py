@@ -5,7 +5,7 @@ encode apart. A cut where a word begins needs no state: no piece reaches across.
 than the room for a cut (text without spaces), the cut falls inside it, and the state is the piece
 that reaches the cut. For such a chunk, matrix entry (i, j) is minus the number of pieces of the
 path from boundary state i to boundary state j, or minus infinity where there is none. Matrices are
-combined in the max-plus algebra in chunk order, which gives each cut's one state on the best
+multiplied in the max-plus algebra, block by block in parallel and then the blocks, which gives each cut's one state on the best
 (here: the only) path; then each chunk traces its own pieces back from its two states alone.
 
 Texts of up to ``CHUNK`` characters are one chunk and never shuffled. Ids equal the library's.
@@ -20,23 +20,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.pieces import SPACE, Pieces, State, load
+from tidemark.llm.pieces import SPACE, Pieces, Segments, State, load, normal
+from tidemark.llm.storage import stored
 from tidemark.llm.words import column
 
 CHUNK = 32_768
+BLOCK = 64  # matrices that one task multiplies
 
 
-def normal(text: str) -> str:
-    """What the model segments: a space before, spaces as the space character. Empty stays empty."""
-    return (SPACE + text).replace(" ", SPACE) if text else ""
-
-
-def encode_text(text: str | None, segments) -> bytes:
-    """Ids of a text that is one chunk."""
-    return b"".join(map(segments.__getitem__, segments.pieces.segment.findall(normal(text or ""))))
+def _portions(texts: pa.Array, size: int = 4 << 20) -> Iterator[slice]:
+    """Slices of about ``size`` bytes of text; a longer text stands alone."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+    begin = 0
+    while begin < len(ends):
+        base = int(ends[begin - 1]) if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, base + size, "right")))
+        yield slice(begin, end)
+        begin = end
 
 
 def cuts(text: str, chunk: int, reach: int) -> list[tuple[int, bool]]:
@@ -87,7 +91,7 @@ class Chunk:
     ``text[begin:end]`` is the chunk. ``enter``, ``leave``: whether its cuts lie inside a word.
     """
 
-    def __init__(self, text: str, begin: int, end: int, enter: bool, leave: bool, pieces: Pieces, segments):
+    def __init__(self, text: str, begin: int, end: int, enter: bool, leave: bool, pieces: Pieces, segments: Segments):
         self.text, self.begin, self.end, self.enter, self.leave = text, begin, end, enter, leave
         self.pieces, self.segments = pieces, segments
         inside = [m.start() for m in re.finditer(f"(?<!{SPACE}){SPACE}", text[begin:end])]
@@ -123,7 +127,7 @@ class Chunk:
                         out.append((i, j, -cost))
             return out
         # Spaces inside: what comes before them and after them is independent.
-        middle = sum(len(self.segments[s]) // 4 for s in self.pieces.segment.findall(self.text[self.head : self.tail])) if self.tail > self.head else 0
+        middle = len(self.segments.encode(self.text[self.head : self.tail])) // 4 if self.tail > self.head else 0
         heads = []
         for i in entries:
             if i is None:
@@ -160,26 +164,46 @@ class Chunk:
         if self.whole:
             at, last = self._head_paths(enter)
             end = self.end + leave[1]
-            return _bytes(self.pieces.ids(_trace(last, at, end) if end > at else []))
+            return self.pieces.ids(_trace(last, at, end) if end > at else [])
         if enter is not None:
             at, last = self._head_paths(enter)
             out = _trace(last, at, self.head) if self.head > at else []
-        ids = _bytes(self.pieces.ids(out))
+        ids = self.pieces.ids(out)
         if self.tail > self.head:
-            ids += b"".join(map(self.segments.__getitem__, self.pieces.segment.findall(self.text[self.head : self.tail])))
+            ids += self.segments.encode(self.text[self.head : self.tail])
         if leave is not None:
             last = self.pieces.paths(self.text, self.tail, None, self._until())
-            ids += _bytes(self.pieces.ids(_trace(last, self.tail, self.end + leave[1])))
+            ids += self.pieces.ids(_trace(last, self.tail, self.end + leave[1]))
         return ids
 
 
-def _bytes(ids: list[int]) -> bytes:
-    return np.array(ids, dtype="<u4").tobytes()
+Matrix = list[tuple[State | None, State | None, int]]
+
+
+def multiply(first: Matrix, second: Matrix) -> Matrix:
+    """Max-plus product: the best value over the states between, for each pair of outer states."""
+    onward: dict = {}
+    for k, j, value in second:
+        onward.setdefault(k, []).append((j, value))
+    best: dict = {}
+    for i, k, value in first:
+        for j, more in onward.get(k, ()):
+            if (i, j) not in best or value + more > best[i, j]:
+                best[i, j] = value + more
+    return [(i, j, value) for (i, j), value in best.items()]
+
+
+def product(matrices: list[Matrix]) -> Matrix:
+    """Product of neighbouring matrices in order, pair by pair: the product is associative."""
+    while len(matrices) > 1:
+        pairs = [multiply(a, b) for a, b in zip(matrices[::2], matrices[1::2], strict=False)]
+        matrices = pairs + matrices[len(pairs) * 2 :]
+    return matrices[0]
 
 
-def combine(matrices: list[list[tuple]]) -> list[tuple]:
-    """States (enter, leave) of each chunk on the best path through all matrices."""
-    score: dict = {None: 0}
+def combine(matrices: list[Matrix], enter: State | None = None, leave: State | None = None) -> list[tuple]:
+    """States (enter, leave) of each matrix on the best path through all of them between two states."""
+    score: dict = {enter: 0}
     back = []
     for matrix in matrices:
         best: dict = {}
@@ -188,7 +212,7 @@ def combine(matrices: list[list[tuple]]) -> list[tuple]:
                 best[j] = (score[i] + value, i)
         back.append({j: i for j, (_, i) in best.items()})
         score = {j: v for j, (v, _) in best.items()}
-    state, out = None, []
+    state, out = leave, []
     for step in reversed(back):
         out.append((step[state], state))
         state = step[state]
@@ -250,20 +274,58 @@ def _matrices(model: str):
     return run
 
 
-def _combined(table: pa.Table) -> pa.Table:
-    table = table.sort_by("chunk")
-    steps = [[(_read(e["enter"]), _read(e["leave"]), e["value"]) for e in m] for m in table.column("matrix").to_pylist()]
-    states = combine(steps)
+def _steps(table: pa.Table) -> list[Matrix]:
+    return [[(_read(e["enter"]), _read(e["leave"]), e["value"]) for e in m] for m in table.column("matrix").to_pylist()]
+
+
+def _product(table: pa.Table) -> pa.Table:
+    """A block of neighbouring matrices as one."""
+    table = table.sort_by("place")
+    made = [{"enter": _dump(i), "leave": _dump(j), "value": v} for i, j, v in product(_steps(table))]
+    first = table.slice(0, 1)
+    place = pa.array([first.column("block")[0].as_py()], pa.int64())
+    return pa.table({"key": first.column("key"), "run": first.column("run"), "place": place, "matrix": pa.array([made], _PA_MATRIX)})
+
+
+def _between(table: pa.Table) -> pa.Table:
+    """The states of each matrix of a block, given those of the block."""
+    table = table.sort_by("place")
+    states = combine(_steps(table), _read(table.column("from")[0].as_py()), _read(table.column("to")[0].as_py()))
     return pa.table(
         {
-            "key": table.column("key"),
-            "chunk": table.column("chunk"),
+            **{c: table.column(c) for c in ("key", "run", "place")},
             "from": pa.array([_dump(i) for i, _ in states], _PA_STATE),
             "to": pa.array([_dump(j) for _, j in states], _PA_STATE),
         }
     )
 
 
+def _scan(matrices: DataFrame) -> DataFrame:
+    """(key, run, place, from, to): the states of every matrix (key, run, place, matrix) on its run's best path.
+
+    Up: blocks of BLOCK neighbours are multiplied into one matrix, level by level, until a run is
+    one block. Down: a block's two states give those of its members. No task holds more than BLOCK
+    matrices, however long the text.
+    """
+    longest = matrices.agg(F.max("place")).first()[0]
+    block = (F.col("place") / BLOCK).cast("long")
+    levels = [matrices.withColumn("block", block)]
+    while longest is not None and longest >= BLOCK:
+        schema = f"key long, run int, place long, matrix array<struct<enter:{_STATE},leave:{_STATE},value:long>>"
+        above = levels[-1].groupBy("key", "run", "block").applyInArrow(_product, schema)
+        levels.append(stored(above, "products").withColumn("block", block))
+        longest //= BLOCK
+    # A run begins and ends where words begin.
+    nothing = F.lit(None).cast(_STATE)
+    states = levels[-1].withColumn("from", nothing).withColumn("to", nothing)
+    for i in range(len(levels) - 1, -1, -1):
+        found = states.groupBy("key", "run", "block").applyInArrow(_between, f"key long, run int, place long, `from` {_STATE}, `to` {_STATE}")
+        if i:
+            below = found.withColumnRenamed("place", "block")
+            states = levels[i - 1].join(below, ["key", "run", "block"])
+    return found
+
+
 def _traced(model: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -278,9 +340,9 @@ def _short(model: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segments = load(model)
         for batch in batches:
-            for begin in range(0, batch.num_rows, 512):
-                some = batch.slice(begin, 512)
-                ids = [encode_text(t, segments) for t in column(some, "text").to_pylist()]
+            for part in _portions(column(batch, "text")):
+                some = batch.slice(part.start, part.stop - part.start)
+                ids = segments.encode_column(column(some, "text"))
                 yield pa.record_batch([column(some, "id"), pa.array(ids, pa.binary())], names=["id", "ids"])
 
     return run
@@ -298,20 +360,21 @@ def encode(docs: DataFrame, model: str, id_column: str = "doc_id", text_column:
     short = docs.filter(~_giant(chunk)).mapInArrow(_short(model), f"id {kind}, ids binary")
     # Equal rows are cut alike and encoded once, and counted.
     giant = docs.filter(_giant(chunk)).groupBy("id", "text").agg(F.count("*").alias("times")).withColumn("key", F.xxhash64("id", "text"))
-    rows = giant.select("key", "id", "text").mapInArrow(_cut(model, chunk), _CHUNKS.format(id=kind))
-    rows = rows.repartition("key", "chunk")  # the chunks of one text go to many tasks
+    cut = giant.select("key", "id", "text").mapInArrow(_cut(model, chunk), _CHUNKS.format(id=kind))
+    # The chunks of one text go to many tasks. Three readers share them.
+    rows = stored(cut.repartition("key", "chunk"), "chunks")
     inner = rows.filter("enter or leave")
+    in_order = Window.partitionBy("key").orderBy("chunk").rowsBetween(Window.unboundedPreceding, 0)
     # Only matrices of texts with cuts inside words; a few states a chunk.
-    states = (
+    matrices = (
         inner.mapInArrow(_matrices(model), f"key long, chunk int, matrix array<struct<enter:{_STATE},leave:{_STATE},value:long>>")
         .join(rows.filter("n_chunks > 1").select("key", "chunk", "enter", "leave"), ["key", "chunk"])
         .withColumn("first", F.when(~F.col("enter"), F.col("chunk")))
         # Cuts at word starts part a text into independent runs of chunks.
-        .withColumn("run", F.max("first").over(_in_order()))
-        .select("key", "run", "chunk", "matrix")
-        .groupBy("key", "run")
-        .applyInArrow(_combined_run, f"key long, chunk int, `from` {_STATE}, `to` {_STATE}")
+        .withColumn("run", F.max("first").over(in_order))
+        .select("key", "run", (F.col("chunk") - F.col("run")).cast("long").alias("place"), "matrix")
     )
+    states = _scan(stored(matrices, "matrices")).select("key", (F.col("run") + F.col("place")).cast("int").alias("chunk"), "from", "to")
     traced = rows.join(states, ["key", "chunk"], "left").mapInArrow(_traced(model), f"key long, id {kind}, chunk int, ids binary")
     parts = F.transform(F.sort_array(F.collect_list(F.struct("chunk", "ids"))), lambda x: x["ids"])
     whole = traced.groupBy("key").agg(F.first("id", ignorenulls=True).alias("id"), parts.alias("parts"))
@@ -321,16 +384,6 @@ def encode(docs: DataFrame, model: str, id_column: str = "doc_id", text_column:
     return short.unionByName(whole).withColumnRenamed("id", id_column)
 
 
-def _in_order():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("key").orderBy("chunk").rowsBetween(Window.unboundedPreceding, 0)
-
-
-def _combined_run(table: pa.Table) -> pa.Table:
-    return _combined(table.select(["key", "chunk", "matrix"]))
-
-
 def _text(blob: bytes | None, out: list[bytes]) -> str:
     raw = b"".join(map(out.__getitem__, np.frombuffer(blob or b"", dtype="<u4").tolist()))
     return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
@@ -375,9 +428,10 @@ def _round_trip(model: str, encoded: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segments = load(model)
         for batch in batches:
-            for begin in range(0, batch.num_rows, 256):
-                some = batch.slice(begin, 256)
-                blobs = column(some, "ids").to_pylist() if encoded else [encode_text(t, segments) for t in column(some, "text").to_pylist()]
+            for part in _portions(column(batch, "ids" if encoded else "text")):
+                some = batch.slice(part.start, part.stop - part.start)
+                values = column(some, "ids" if encoded else "text")
+                blobs = values.to_pylist() if encoded else segments.encode_column(values)
                 yield _digests(column(some, "id"), blobs, segments.pieces.out)
 
     return run
