@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from tidemark.llm.words import gathered
 from tidemark.llm.workers import worker_cache
 
 SPACE = "▁"  # stands for a space in pieces
@@ -228,18 +229,13 @@ class Segments:
         lists = pc.split_pattern(texts, " ")
         coded = lists.values.dictionary_encode()
         words = coded.dictionary.to_pylist()
-        ids = pa.array(self._ids(words), pa.large_binary()).take(coded.indices)
-        first = lists.offsets.to_numpy()
-        buffers, offsets = ids.buffers(), None
-        if len(ids):
-            offsets = np.frombuffer(buffers[1], dtype=np.int64, count=len(ids) + 1 + ids.offset)[ids.offset :]
-        data = memoryview(buffers[2]) if len(ids) and buffers[2] is not None else memoryview(b"")
+        out = gathered(self._ids(words), coded.indices, lists.offsets)
         # Several spaces, or one at an end, leave empty words; the space character itself counts as a space.
         odd = pc.match_substring(texts, SPACE).to_numpy(zero_copy_only=False)
         if "" in words:
+            first = lists.offsets.to_numpy()
             empty = np.concatenate([[0], np.cumsum(coded.indices.to_numpy() == words.index(""))])
             odd = odd | (empty[first[1:]] > empty[first[:-1]])
-        out = [bytes(data[a:b]) for a, b in zip(offsets[first[:-1]].tolist(), offsets[first[1:]].tolist(), strict=True)] if len(ids) else [b""] * len(texts)
         for i in np.flatnonzero(odd).tolist():
             out[i] = self.parts(normal(texts[i].as_py()))
         return out

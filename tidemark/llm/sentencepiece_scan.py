@@ -20,29 +20,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.pieces import SPACE, Pieces, Segments, State, load, normal
 from tidemark.llm.storage import stored
-from tidemark.llm.words import column
+from tidemark.llm.words import column, text_slices
 
 CHUNK = 32_768
 BLOCK = 64  # matrices that one task multiplies
 
 
-def _portions(texts: pa.Array, size: int = 4 << 20) -> Iterator[slice]:
-    """Slices of about ``size`` bytes of text; a longer text stands alone."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
-    begin = 0
-    while begin < len(ends):
-        base = int(ends[begin - 1]) if begin else 0
-        end = max(begin + 1, int(np.searchsorted(ends, base + size, "right")))
-        yield slice(begin, end)
-        begin = end
-
-
 def cuts(text: str, chunk: int, reach: int) -> list[tuple[int, bool]]:
     """Where to cut a normal text: (position, whether a word begins there).
 
@@ -340,7 +328,7 @@ def _short(model: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segments = load(model)
         for batch in batches:
-            for part in _portions(column(batch, "text")):
+            for part in text_slices(column(batch, "text")):
                 some = batch.slice(part.start, part.stop - part.start)
                 ids = segments.encode_column(column(some, "text"))
                 yield pa.record_batch([column(some, "id"), pa.array(ids, pa.binary())], names=["id", "ids"])
@@ -428,7 +416,7 @@ def _round_trip(model: str, encoded: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segments = load(model)
         for batch in batches:
-            for part in _portions(column(batch, "ids" if encoded else "text")):
+            for part in text_slices(column(batch, "ids" if encoded else "text")):
                 some = batch.slice(part.start, part.stop - part.start)
                 values = column(some, "ids" if encoded else "text")
                 blobs = values.to_pylist() if encoded else segments.encode_column(values)

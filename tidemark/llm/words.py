@@ -11,6 +11,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from tidemark.llm.workers import worker_cache
 
@@ -185,5 +186,27 @@ def portions(batches: Iterable[pa.RecordBatch], column: str, size: int = 2 << 20
             yield batch.slice(begin), texts[begin:]
 
 
+def text_slices(texts: pa.Array, size: int = 4 << 20) -> Iterator[slice]:
+    """Slices of about ``size`` bytes of text; a longer text stands alone."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+    begin = 0
+    while begin < len(ends):
+        base = int(ends[begin - 1]) if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, base + size, "right")))
+        yield slice(begin, end)
+        begin = end
+
+
+def gathered(values: list[bytes], places: pa.Array, offsets: pa.Array) -> list[bytes]:
+    """For each list of places (by offsets) the values at these places, one after the other."""
+    if not len(places):
+        return [b""] * (len(offsets) - 1)
+    joined = pa.array(values, pa.large_binary()).take(places)
+    _, ends, data = joined.buffers()
+    ends = np.frombuffer(ends, dtype=np.int64)[joined.offset : joined.offset + len(joined) + 1]
+    data, bounds = memoryview(data if data is not None else b""), ends[offsets.to_numpy()].tolist()
+    return [bytes(data[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
