@@ -196,3 +196,43 @@ def test_exact_metrics_hold_large_errors(spark):
     from tidemark.functions.numeric import out_of_range
 
     assert errors.agg(out_of_range("error", 6).alias("n")).first().n == 1
+
+
+def test_bounds_widen_with_the_horizon_as_drawn_trend_changes_do():
+    """The closed form against seeded draws: Poisson many changes at uniform times, Laplace-distributed sizes."""
+    days, train = np.arange(400.0), np.arange(400) < 300
+    rate, size, noise = 25.0, 0.04, 0.03
+    wider = fit._widening(days, train, (rate, size), noise)
+    assert (wider[train] == 0).all() and (np.diff(wider[300:]) > 0).all()
+    rng = np.random.default_rng(5)
+    for at in (330, 399):
+        h = (at - 299) / 299
+        n = rng.poisson(rate * h, 200_000)
+        owner = np.repeat(np.arange(len(n)), n)
+        off = np.bincount(owner, rng.laplace(0, size, n.sum()) * (h - rng.uniform(0, h, n.sum())), minlength=len(n))
+        drawn = np.sqrt(noise**2 + off.var()) - noise
+        assert abs(wider[at] / (1.2815515655 * drawn) - 1) < 0.02
+
+
+def test_wider_trend_changes_give_wider_bounds():
+    rng = np.random.default_rng(2)
+
+    def width(step):
+        slope = np.repeat(np.cumsum(rng.normal(0, step, 8)), 50)
+        frame = pd.DataFrame(
+            {
+                "ds": pd.date_range("2020-01-01", periods=430).date,
+                "y": [*(100 + np.cumsum(slope) + rng.normal(0, 0.1, 400)), *[np.nan] * 30],
+                "is_train": [True] * 400 + [False] * 30,
+                "event_keys": [[]] * 430,
+                "mode": "additive",
+                "prior": 0.5,
+            }
+        )
+        out = fit.fit_series(frame, (), fit.Terms(seasons=(), regressors=False))
+        return (out["yhat_upper"] - out["yhat_lower"]).to_numpy()
+
+    calm, wild = width(0.001), width(0.2)
+    for w in (calm, wild):
+        assert np.allclose(w[:400], w[0]) and (np.diff(w[400:]) > 0).all()
+    assert wild[-1] - wild[0] > 5 * (calm[-1] - calm[0])

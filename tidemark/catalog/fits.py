@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import replace
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.catalog.forecasts import GRID, SPLIT, _frame, _training_frame
 from tidemark.catalog.inputs import FILLED_MA, sql_with
 from tidemark.catalog.registry import Tables, query
 from tidemark.forecast import DEFAULT_GRID, forecast, forecast_metrics, split_by_time, with_errors, with_folds
-from tidemark.forecast.fit import COMPONENTS, LINEAR
+from tidemark.forecast.fit import COMPONENTS, LINEAR, Terms
 from tidemark.functions import exact_mean, pct_error
 
 @query(
@@ -40,9 +42,9 @@ def forecast_audit(t: Tables) -> DataFrame:
     )
 
 
-def _linear(frame: DataFrame, by: tuple[str, ...]) -> DataFrame:
+def _linear(frame: DataFrame, by: tuple[str, ...], terms: Terms = LINEAR) -> DataFrame:
     bare = frame.withColumns({"event_keys": F.array().cast("array<string>"), "mode": F.lit("additive"), "prior": F.lit(0.05)})
-    return forecast(bare, by=by, terms=LINEAR)
+    return forecast(bare, by=by, terms=terms)
 
 
 @query(
@@ -88,3 +90,37 @@ def cv_metrics_linear(t: Tables) -> DataFrame:
     folds = _linear(with_folds(split), ("symbol", "fold")).filter(~F.col("is_train") & F.col("yhat").isNotNull())
     cv = folds.groupBy("symbol").agg(F.round(exact_mean(pct_error("y", "yhat"), None), 4).alias("cv_mape"), F.count_distinct("fold").alias("folds"))
     return test.join(cv, "symbol")
+
+
+# Trend changes per length of the history and their mean size (in units of the largest training value).
+CHANGES = (25.0, 0.05)
+
+
+@query(
+    "interval_growth",
+    sql_with(
+        *FILLED_MA,
+        body=f""", {SPLIT},
+days as (select *, cast(date_diff('day', date '1990-01-01', ds) as double) as x from split),
+line as (
+  select symbol, regr_slope(y, x) as a, regr_intercept(y, x) as b, min(x) as first_x, max(x) as last_x, max(abs(y)) as scale
+  from days where is_train group by 1),
+fitted as (select d.*, l.* exclude (symbol), a * x + b as yhat, y - (a * x + b) as residual from days d join line l using (symbol)),
+noise as (
+  select symbol, quantile_cont(residual, 0.1) as low, quantile_cont(residual, 0.9) as high, stddev_pop(residual) as sd
+  from fitted where is_train group by 1),
+grown as (
+  select f.*, low, high, sd, greatest((x - last_x) / (last_x - first_x), 0) as h from fitted f join noise using (symbol)),
+wide as (
+  select *, 1.2815515655446004 * (sqrt(sd * sd + {CHANGES[0]} * 2 * pow({CHANGES[1]} * scale, 2) * pow(h, 3) / 3) - sd) as wider from grown)
+select symbol, ds, is_train, round(yhat + low - wider, 1) as yhat_lower, round(yhat + high + wider, 1) as yhat_upper,
+       wider > 0.001 as is_wider from wide""",
+    ),
+)
+def interval_growth(t: Tables) -> DataFrame:
+    """Bounds of the line, which widen behind the training range by a stated rate and size of trend changes."""
+    fits = _linear(split_by_time(_frame(t)), ("symbol",), replace(LINEAR, trend_changes=CHANGES))
+    width = F.col("yhat_upper") - F.col("yhat_lower")
+    at_first = F.min(width).over(Window.partitionBy("symbol"))
+    bounds = [F.round(c, 1).alias(c) for c in ("yhat_lower", "yhat_upper")]
+    return fits.select("symbol", "ds", "is_train", *bounds, (width - at_first > 0.002).alias("is_wider"))

@@ -15,6 +15,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Sequence
 from dataclasses import dataclass
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -43,7 +44,8 @@ class Terms:
     ``seasons``: (component, period in days, Fourier order, least training span in days); a season
     is left out of a series with a shorter span, as the published model's automatic choice does,
     and the output names the seasons that were used. ``trend_prior=None`` fits offset and slope
-    without a penalty.
+    without a penalty. ``trend_changes`` is (changes per length of the history, mean size of one) for the
+    future trend; ``None`` takes both from the fitted changepoints.
     """
 
     seasons: tuple[tuple[str, float, int, int], ...] = (("yearly", 365.25, 10, 730), ("weekly", 7.0, 3, 14))
@@ -51,6 +53,7 @@ class Terms:
     trend_prior: float | None = 5.0
     events: bool = True
     regressors: bool = True
+    trend_changes: tuple[float, float] | None = None
 
 
 # Offset and slope alone: the ordinary least-squares line.
@@ -100,6 +103,21 @@ def _trend_basis(days: np.ndarray, train: np.ndarray, changepoints: int) -> np.n
     return np.column_stack([np.ones_like(t), t, *[np.maximum(t - history[i], 0.0) for i in picks]])
 
 
+def _widening(days: np.ndarray, train: np.ndarray, changes: tuple[float, float], noise: float) -> np.ndarray:
+    """How much farther each bound lies on days behind the training range.
+
+    Behind it the trend goes on changing: as often as in the history, by Laplace-distributed steps of the
+    same mean size. After h (lengths of the history) the trend is off by the sum of the steps, each times
+    the time since; for changes at rate r with mean size m that has the variance
+    r * 2 m**2 * h**3 / 3. It adds to the variance of the residuals.
+    """
+    first, last = days[train].min(), days[train].max()
+    h = np.maximum((days - last) / max(last - first, 1.0), 0.0)
+    rate, size = changes
+    z = NormalDist().inv_cdf(INTERVAL[1])
+    return z * (np.sqrt(noise**2 + rate * 2.0 * size**2 * h**3 / 3.0) - noise)
+
+
 def fit_series(pdf: pd.DataFrame, regressors: Sequence[str] = REGRESSORS, terms: Terms = Terms()) -> pd.DataFrame:
     """Fit on the training rows of one series and predict all of its rows."""
     pdf = pdf.sort_values("ds", ignore_index=True)
@@ -134,9 +152,16 @@ def fit_series(pdf: pd.DataFrame, regressors: Sequence[str] = REGRESSORS, terms:
         parts[name] = block @ effect_w[start:stop] * base * scale
         start = stop
     yhat = sum(parts.values())
-    low, high = np.quantile(y[train] - yhat[train], INTERVAL)
+    residuals = y[train] - yhat[train]
+    low, high = np.quantile(residuals, INTERVAL)
+    steps = trend_w[2:]
+    changes = terms.trend_changes or (len(steps), float(np.abs(steps).mean()) if len(steps) else 0.0)
+    wider = _widening(days, train, changes, float(residuals.std()) / scale) * scale
+    # Where effects multiply the trend, they multiply its error too.
+    lifted = np.abs(1.0 + effect_x @ effect_w) if pdf["mode"].iloc[0] != "additive" else 1.0
+    wider = wider * lifted
     used = ",".join(name for name, *_ in terms.seasons if blocks[name].shape[1])
-    return pdf.assign(yhat=yhat, yhat_lower=yhat + low, yhat_upper=yhat + high, **parts, seasons=used, status="ok")
+    return pdf.assign(yhat=yhat, yhat_lower=yhat + low - wider, yhat_upper=yhat + high + wider, **parts, seasons=used, status="ok")
 
 
 def _guarded(pdf: pd.DataFrame, regressors: Sequence[str], columns: Sequence[str], terms: Terms) -> pd.DataFrame:
@@ -163,7 +188,8 @@ def forecast(
     of one shuffled copy per candidate (:func:`with_configs`, for fewer series than cores). The explicit
     task count keeps adaptive coalescing from packing the (small but slow) groups together.
 
-    The interval is the one of the training residuals; it doesn't widen with the horizon.
+    The interval is the one of the training residuals, widened behind the training range by the
+    variance of future trend changes.
     """
     if grid:
         frame = frame.withColumns({"config_id": F.lit(0), "mode": F.lit(""), "prior": F.lit(0.0)})
