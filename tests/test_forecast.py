@@ -24,6 +24,7 @@ from tidemark.forecast import (
     with_errors,
     with_folds,
 )
+from tidemark.forecast import fit
 from tidemark.forecast.fit import COMPONENTS, fit_series
 
 START = dt.date(2020, 1, 1)

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from tidemark.functions import epoch_to_timestamp
 from tidemark.operators.normalize import HeaderClash, normalize_bars, normalize_headers
 from tidemark.schemas import MissingColumns, require_columns
-from tidemark.sources import csv_families, kline_rejects, klines_to_bars, parse_messages, read_bars, read_first_available, read_kline_pages, ticker_to_messages, topic_options
+from tidemark.operators.types import infer_types
+from tidemark.sources import csv_families, kline_rejects, klines_to_bars, parse_messages, read_bars, read_csv_typed, read_first_available, read_kline_pages, ticker_to_messages, topic_options
 from tidemark.sources.messages import accepted, rejects
 
 
@@ -121,3 +122,45 @@ def test_kline_rejects_and_bars_are_the_input(spark):
     found = [(r.reason, r.raw) for r in kline_rejects(frame).collect()]
     assert sorted(found, key=str) == sorted([("page", "[broken"), ("page", None), ("row", '["soon","1","1","1","1","1"]')], key=str)
     assert klines_to_bars(frame).count() == 1
+
+
+def test_headers_are_read_without_reading_rows(spark, tmp_path):
+    import gzip
+
+    long = ",".join(f"column_{i}" for i in range(2000))  # longer than one read
+    (tmp_path / "a.csv").write_text("ts,open\r\n1,2\r\n")
+    (tmp_path / "b.csv").write_text("ts,open\n" + "3,4\n" * 1000)
+    (tmp_path / "c.csv").write_text(long + "\n")
+    (tmp_path / "d.csv").write_text("")
+    (tmp_path / "e.csv.gz").write_bytes(gzip.compress(b"open,ts\n5,6\n"))
+    jobs = spark.sparkContext.statusTracker()
+    before = len(jobs.getJobIdsForGroup())
+    found = dict(csv_families(spark, str(tmp_path)))
+    assert len(jobs.getJobIdsForGroup()) == before
+    assert set(found) == {"ts,open", "open,ts", long}
+    assert [f.rsplit("/", 1)[1] for f in found["ts,open"]] == ["a.csv", "b.csv"]
+
+
+def test_inferred_types(spark):
+    rows = [("1", "1", "2024-01-01", "x", None, "1", "2024-02-30", "٣"), (" 2 ", "2.5", "2024-01-01T10:00", "1", "", "n/a", "2024-02-28", "4"), ("-3", "1e5", "2024-01-01 10:00:01.5", "2", None, "7", "2024-02-29", "5")]
+    raw = spark.createDataFrame(rows, "a string, b string, c string, d string, e string, f string, g string, `h.h` string")
+    got = {r["column"]: tuple(r)[1:] for r in infer_types(raw).collect()}
+    assert got == {
+        "a": ("integer", "integer", 3, 0, 0, None),
+        "b": ("double", "double", 3, 0, 0, None),
+        "c": ("stamp", "stamp", 3, 0, 0, None),
+        "d": ("text", "integer", 3, 0, 1, "x"),
+        "e": ("text", "text", 3, 3, 0, None),
+        "f": ("text", "integer", 3, 0, 1, "n/a"),
+        "g": ("text", "stamp", 3, 0, 1, "2024-02-30"),
+        "h.h": ("text", "integer", 3, 0, 1, "٣"),
+    }
+    none = {r["column"]: r["inferred"] for r in infer_types(raw.limit(0)).collect()}
+    assert set(none.values()) == {"text"}
+
+
+def test_typed_csv_loses_no_value(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("n,x,at,t\n1,0.5,2024-01-01,7\n,1e3,2024-01-02 03:04:05,z\n")
+    (header, df), = read_csv_typed(spark, str(tmp_path))
+    assert header == "n,x,at,t" and [k for _, k in df.dtypes] == ["bigint", "double", "timestamp_ntz", "string"]
+    assert [tuple(r) for r in df.collect()] == [(1, 0.5, dt.datetime(2024, 1, 1), "7"), (None, 1000.0, dt.datetime(2024, 1, 2, 3, 4, 5), "z")]

@@ -14,8 +14,9 @@ from tidemark.functions import with_calendar_parts
 from tidemark.operators import layers
 from tidemark.operators.calendar import moving_averages
 from tidemark.operators.normalize import with_derived
+from tidemark.operators.types import FORMS
 from tidemark.sinks import append_staging, read_version, write_csv, write_partitioned, write_version
-from tidemark.sources import read_csv_text, read_first_available
+from tidemark.sources import csv_types, read_csv_text, read_first_available
 from tidemark.sources.storage import scratch_dir
 
 AS_OF = dt.date(2001, 8, 31)
@@ -32,6 +33,58 @@ def csv_roundtrip(t: Tables) -> DataFrame:
     return read_csv_text(t.spark, out).select(*[F.col(c).cast(k).alias(c) for c, k in source.dtypes])
 
 
+# Readings that no sensor wrote, and stamps of no day, in every so many rows.
+ODD_VALUE, ODD_STAMP = 101, 367
+_FORMS = {name: form for name, (form, _) in FORMS.items()}
+_IS = {
+    "integer": f"regexp_matches(v, '{_FORMS['integer']}')",
+    "double": f"regexp_matches(v, '{_FORMS['double']}')",
+    "stamp": f"(regexp_matches(v, '{_FORMS['stamp']}') and try_cast(v as timestamp) is not null)",
+}
+_LEAST = "case " + " ".join(f"when {{}} then '{name}'" for name in _IS) + " else 'text' end"
+
+
+@query(
+    "csv_inferred_types",
+    f"""with raw as (
+  select event_id, cast(event_id as varchar) as id, strftime(ts, '%Y-%m-%d %H:%M:%S') as "at", event_type as kind,
+         case when event_id % {ODD_VALUE} = 0 then 'n/a' when event_id % 3 = 0 then '' else cast(cast(floor(value * 100) / 100 as decimal(18,2)) as varchar) end as value,
+         case when event_id % {ODD_STAMP} = 0 then '2024-02-30' else cast(cast(ts as date) as varchar) end as day
+  from events),
+cells as (
+  select 'id,at,kind' as header, unnest(['id', 'at', 'kind']) as "column", unnest([id, "at", kind]) as v from raw where event_id % 2 = 0
+  union all
+  select 'day,value,id', unnest(['day', 'value', 'id']), unnest([day, value, id]) from raw where event_id % 2 = 1),
+judged as (
+  select header, "column", nullif(v, '') as v, {", ".join(f"{form} as is_{name}" for name, form in _IS.items())} from cells),
+counted as (
+  select header, "column", count(*) as rows, count(v) as n, {", ".join(f"count(*) filter (v is not null and is_{t}) as n_{t}, min(v) filter (v is not null and not is_{t}) as not_{t}" for t in _IS)}
+  from judged group by 1, 2),
+typed as (
+  select *, {_LEAST.format(*[f"n_{t} = n and n > 0" for t in _IS])} as inferred, {_LEAST.format(*[f"2 * n_{t} > n" for t in _IS])} as leaning from counted)
+select header, "column", inferred, leaning, rows, rows - n as nulls,
+       n - case leaning {" ".join(f"when '{t}' then n_{t}" for t in _IS)} else n end as conflicts,
+       case leaning {" ".join(f"when '{t}' then not_{t}" for t in _IS)} end as offender
+from typed""",
+)
+def csv_inferred_types(t: Tables) -> DataFrame:
+    """Two header families of CSV files, some values of the wrong kind: types of all columns, conflicts and first offenders."""
+    out = scratch_dir(t.spark, "csv-types")
+    at, key = F.col("ts").cast("timestamp"), F.col("event_id")
+    money = (F.floor(F.col("value") * 100) / 100).cast("decimal(18,2)").cast("string")
+    rows = t.events.select(
+        "event_id",
+        key.cast("string").alias("id"),
+        F.date_format(at, "yyyy-MM-dd HH:mm:ss").alias("at"),
+        F.col("event_type").alias("kind"),
+        F.when(key % ODD_VALUE == 0, "n/a").when(key % 3 == 0, "").otherwise(money).alias("value"),
+        F.when(key % ODD_STAMP == 0, "2024-02-30").otherwise(F.to_date(at).cast("string")).alias("day"),
+    )
+    write_csv(rows.filter("event_id % 2 = 0").select("id", "at", "kind"), f"{out}/even")
+    write_csv(rows.filter("event_id % 2 = 1").select("day", "value", "id"), f"{out}/odd")
+    return csv_types(t.spark, [f"{out}/even", f"{out}/odd"])
+
+
 @query(
     "partitioned_roundtrip",
     """select l_orderkey, lpad(cast(l_linenumber as varchar), 3, '0') as symbol, cast(year(l_shipdate) as varchar) as year,

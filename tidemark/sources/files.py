@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.normalize import normalize_bars, union_sources
-from tidemark.sources.storage import exists, is_directory, list_names
+from tidemark.operators.types import conform, infer_types
+from tidemark.sources.storage import exists, first_line, is_directory, list_names
+
+_OPENED_AT_ONCE = 16
 
 
 def read_csv_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -25,14 +29,46 @@ def read_csv_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def csv_families(spark: SparkSession, path: str | list[str]) -> list[tuple[str, list[str]]]:
     """The CSV files below ``path`` by header line: (header, files).
 
-    One small task per file reads its first line. The number of headers is what people wrote by
-    hand; the plan of a reader grows with it, not with the number of files.
+    Opens each file and reads its first line, several files at once; no row is read and no job
+    runs. The number of headers is what people wrote by hand; the plan of a reader grows with it,
+    not with the number of files.
+    """
+    files = sorted(spark.read.text(path).inputFiles())
+    with ThreadPoolExecutor(_OPENED_AT_ONCE) as pool:
+        heads = list(pool.map(lambda file: first_line(spark, file), files))
+    families: dict[str, list[str]] = {}
+    for file, header in zip(files, heads, strict=True):
+        if header is not None:
+            families.setdefault(header, []).append(file)
+    return sorted(families.items())
+
+
+def csv_types(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(header, column, inferred, leaning, rows, nulls, conflicts, offender) of all CSV files below ``path``.
+
+    One pass over each header family; see :func:`infer_types`.
     """
-    first = spark.read.option("wholetext", False).text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
-    # The first line of a file is the first row of its first block.
-    heads = first.filter("at = 0").groupBy("file").agg(F.first("value").alias("header"))
-    families = heads.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
-    return [(r["header"], list(r["files"])) for r in families]
+    out = None
+    for header, files in csv_families(spark, path):
+        found = infer_types(read_csv_text(spark, files)).select(F.lit(header).alias("header"), "*")
+        out = found if out is None else out.unionByName(found)
+    if out is None:
+        raise FileNotFoundError(f"no CSV file with a header below {path}")
+    return out
+
+
+def read_csv_typed(spark: SparkSession, path: str | list[str]) -> list[tuple[str, DataFrame]]:
+    """The CSV files below ``path``, per header family, with the types that all their values have.
+
+    The types come from a pass over all values, never from a sample, so no value is lost to a cast.
+    """
+    out = []
+    for header, files in csv_families(spark, path):
+        raw = read_csv_text(spark, files)
+        # One row per column.
+        types = {r["column"]: r["inferred"] for r in infer_types(raw).select("column", "inferred").collect()}
+        out.append((header, conform(raw, types)))
+    return out
 
 
 def read_bars(spark: SparkSession, path: str | list[str], symbol: str | Column, epoch_unit: str = "s") -> DataFrame:

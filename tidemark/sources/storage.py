@@ -64,6 +64,22 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
+def first_line(spark: SparkSession, path: str, step: int = 4096) -> str | None:
+    """The first line of a text file, decompressed by its name's ending; ``None`` for an empty file."""
+    fs, jpath = _resolve(spark, path)
+    codec = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration()).getCodec(jpath)
+    stream = fs.open(jpath)
+    if codec is not None:
+        stream = codec.createInputStream(stream)
+    try:
+        found = b""
+        while b"\n" not in found and (more := bytes(stream.readNBytes(step))):
+            found += more
+        return found.split(b"\n")[0].rstrip(b"\r").decode("utf-8", "replace") if found else None
+    finally:
+        stream.close()
+
+
 def move_new(spark: SparkSession, source: str, target: str) -> bool:
     """Give a file its name in one step; false when the name is taken."""
     fs, old = _resolve(spark, source)
