@@ -9,7 +9,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("ingest", "quality", "daily", "serving", "reporting", "streams", "forecasts", "rejects", "tables", "fits")
+MODULES = ("ingest", "quality", "daily", "serving", "reporting", "streams", "forecasts", "rejects", "tables", "fits", "measures")
 
 
 @dataclass(frozen=True)

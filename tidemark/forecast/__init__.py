@@ -1,7 +1,7 @@
 """Per-series forecasting: frames, splits, folds and scores are DataFrame operators;
 only the least-squares fit of one series runs in Python, inside Spark tasks."""
 
-from tidemark.forecast.events import Event, event_features
+from tidemark.forecast.events import Event, event_features, event_table_features, events_table
 from tidemark.forecast.fit import forecast
 from tidemark.forecast.frame import frame_of, future_frame, model_frame, shift_regressors, split_by_time
 from tidemark.forecast.grid import DEFAULT_GRID, Config, with_configs
@@ -15,6 +15,8 @@ __all__ = [
     "best_config",
     "cv_scores",
     "event_features",
+    "event_table_features",
+    "events_table",
     "fold_sizes",
     "forecast",
     "forecast_errors",

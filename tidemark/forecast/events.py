@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.quality import MAX_BROADCAST_ROWS
@@ -54,3 +54,33 @@ def event_features(frame: DataFrame, events: Sequence[Event], key: str = "symbol
     if len(rows) <= MAX_BROADCAST_ROWS:
         days = F.broadcast(days)
     return frame.join(days, [key, ds], "left").withColumn("event_keys", F.coalesce("event_keys", none))
+
+
+def events_table(spark: SparkSession, events: Sequence[Event]) -> DataFrame:
+    """Configured events as a table for :func:`event_table_features`."""
+    rows = [(e.symbol, e.name, e.day, e.lower, e.upper) for e in events]
+    return spark.createDataFrame(rows, "symbol string, name string, day date, lower int, upper int")
+
+
+def event_table_features(frame: DataFrame, events: DataFrame, key: str = "symbol", ds: str = "ds", bin_days: int = 32) -> DataFrame:
+    """:func:`event_features` with events from a table (key, name, day, lower, upper) of any size.
+
+    An interval join by bins: an event is copied to the bins of ``bin_days`` days that its window
+    touches, a day lies in one bin, and days and events of a series meet by equality on the bin; the exact window decides
+    after it. A series or a bin with many rows is a skewed equality join, which AQE splits. Long windows
+    cost a row per bin, not per day. A window whose end lies before its start covers nothing; rows with
+    a NULL series or day have no events.
+    """
+    offset = lambda c: F.date_add("day", F.col(c))
+    binned = lambda day: F.floor(F.unix_date(day) / bin_days).cast("int")
+    windows = events.select(key, "name", "day", offset("lower").alias("_from"), offset("upper").alias("_to")).distinct()
+    windows = windows.filter(F.col("_from") <= F.col("_to"))
+    windows = windows.withColumn("_bin", F.explode(F.sequence(binned("_from"), binned("_to"))))
+    days = frame.select(key, ds).distinct().withColumn("_bin", binned(ds))
+    covered = days.join(windows, [key, "_bin"]).filter(F.col(ds).between(F.col("_from"), F.col("_to")))
+    name = F.concat("name", F.lit("_"), F.datediff(ds, "day").cast("string"))
+    # Distinct names first: a day that many events cover holds each name once.
+    found = covered.select(key, ds, name.alias("_key")).distinct()
+    keys = found.groupBy(key, ds).agg(F.sort_array(F.collect_list("_key")).alias("event_keys"))
+    none = F.array().cast("array<string>")
+    return frame.join(keys, [key, ds], "left").withColumn("event_keys", F.coalesce("event_keys", none))

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -116,6 +116,32 @@ def high_water_mark(df: DataFrame, key: str = "symbol", date: str = "date") -> D
     return df.groupBy(key).agg(F.max(date).alias("last_date"))
 
 
+def footer_marks(spark: SparkSession, path: str, value: str, partition_by: Sequence[str]) -> DataFrame:
+    """(partition columns, first, last, rows) of a partitioned Parquet table, from file footers alone.
+
+    Parquet keeps count, minimum and maximum of each column chunk; Spark's reader answers the aggregate
+    from these where the groups are the partition folders and nothing is filtered. No row is read: the cost follows the
+    number of files. The value must be a number, a date or a boolean; all files must have the same columns
+    in the same order, as one writer leaves them. Partition columns come as text.
+    """
+    # The settings choose the reader that can do so, in a session of its own.
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    # The footers' own order of columns, with partition columns as written.
+    held = [f for f in own.read.parquet(path).schema.fields if f.name not in partition_by]
+    table = own.read.schema(T.StructType([*held, *[T.StructField(c, T.StringType()) for c in partition_by]])).parquet(path)
+    return table.groupBy(*partition_by).agg(F.min(value).alias("first"), F.max(value).alias("last"), F.count("*").alias("rows"))
+
+
+def series_marks(
+    spark: SparkSession, path: str, key: str = "symbol", value: str = "timestamp", partition_by: Sequence[str] = ("symbol", "year", "month")
+) -> DataFrame:
+    """First and last value and rows per series of a bar table, without reading its rows."""
+    parts = footer_marks(spark, path, value, partition_by)
+    return parts.groupBy(key).agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("rows").alias("rows"))
+
+
 def stage_audit(bars: DataFrame, key: str, ts: str, values: Sequence[str]) -> DataFrame:
     """Row accounting of the cleaning stage in one job: raw, with a null value, repeated, unique."""
     has_null = reduce(or_, [F.col(c).isNull() for c in values]).cast("int")

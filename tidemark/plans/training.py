@@ -14,6 +14,7 @@ from tidemark.forecast import (
     best_config,
     cv_scores,
     event_features,
+    event_table_features,
     forecast,
     forecast_metrics,
     future_frame,
@@ -32,17 +33,17 @@ CONFIG = ("config_id", "mode", "prior")
 SERIES_ORDER = ("symbol", "ds")
 
 
-def training_frame(frame: DataFrame, events: Sequence[Event], timing: str = "lagged") -> DataFrame:
-    """History, test range and future days of every series, ready to fit."""
+def training_frame(frame: DataFrame, events: Sequence[Event] | DataFrame, timing: str = "lagged") -> DataFrame:
+    """History, test range and future days of every series, ready to fit; events from a list or a table."""
     grown = future_frame(split_by_time(frame.dropna(subset=["y"])), HORIZON)
     ready = shift_regressors(grown, timing).withColumn("is_train", F.coalesce("is_train", F.lit(False)))
-    return event_features(ready, events)
+    return event_table_features(ready, events) if isinstance(events, DataFrame) else event_features(ready, events)
 
 
 def train(
     spark: SparkSession,
     layout: Layout,
-    events: Sequence[Event] = (),
+    events: Sequence[Event] | DataFrame = (),
     grid: Sequence[Config] = DEFAULT_GRID,
     timing: str = "lagged",
 ) -> None:
