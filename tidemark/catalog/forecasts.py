@@ -15,7 +15,8 @@ from tidemark.catalog.reporting import PCT_SCALE
 from tidemark.forecast import (
     DEFAULT_GRID,
     best_config,
-    cv_scores,
+    cross_validate,
+    cv_summary,
     event_features,
     fold_sizes,
     forecast,
@@ -27,12 +28,10 @@ from tidemark.forecast import (
     shift_regressors,
     split_by_time,
     with_configs,
-    with_errors,
     with_folds,
 )
 from tidemark.operators import reports
 from tidemark.operators.normalize import model_input
-from tidemark.sinks import materialize
 
 
 def _frame(t: Tables) -> DataFrame:
@@ -239,12 +238,5 @@ def forecast_rows(t: Tables) -> DataFrame:
 
 @query("cv_metrics")
 def cv_metrics(t: Tables) -> DataFrame:
-    frame = materialize(_training_frame(t), "training-frame")
-    fitted = forecast(frame, by=("symbol",), grid=DEFAULT_GRID)
-    tested = fitted.filter(~F.col("is_train") & F.col("y").isNotNull())
-    scored = forecast_metrics(with_errors(tested), by=("symbol", "config_id", "mode", "prior"))
-    # Used by two branches: kept as files, so the candidate fits run once.
-    best = materialize(best_config(scored), "best-config")
-    chosen = with_folds(frame).join(best.select("symbol", "config_id", "mode", "prior"), "symbol")
-    folds = forecast(chosen, by=("symbol", "fold"))
-    return best.join(cv_scores(folds), "symbol", "left")
+    """Best candidate per series with its test metrics and cross-validated error, all fits in one pass."""
+    return cv_summary(cross_validate(_training_frame(t), DEFAULT_GRID))

@@ -7,13 +7,16 @@ from tidemark.forecast.frame import frame_of, future_frame, model_frame, shift_r
 from tidemark.forecast.grid import DEFAULT_GRID, Config, with_configs
 from tidemark.forecast.score import best_config, cv_scores, forecast_errors, forecast_metrics, with_errors
 from tidemark.forecast.folds import fold_sizes, with_folds
+from tidemark.forecast.validate import cross_validate, cv_summary
 
 __all__ = [
     "Config",
     "DEFAULT_GRID",
     "Event",
     "best_config",
+    "cross_validate",
     "cv_scores",
+    "cv_summary",
     "event_features",
     "event_table_features",
     "events_table",

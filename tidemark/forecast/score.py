@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import exact_mean, pct_error
@@ -23,8 +23,10 @@ def with_errors(df: DataFrame) -> DataFrame:
     return df.withColumns({"error": error, "abs_error": F.abs(error), "pct_error": pct_error("y", "yhat")})
 
 
-def forecast_metrics(errors: DataFrame, by: Sequence[str] = ("symbol",), scale: int | None = None) -> DataFrame:
-    """MSE, MAPE, MAE and RMSE per group.
+def forecast_metrics(
+    errors: DataFrame, by: Sequence[str] = ("symbol",), scale: int | None = None, more: Sequence[Column] = ()
+) -> DataFrame:
+    """MSE, MAPE, MAE and RMSE per group, and ``more`` aggregates beside them.
 
     With ``scale`` sums run in 38-digit decimals: errors up to 1e15 and percentages of floored
     prices fit with six decimals.
@@ -35,6 +37,7 @@ def forecast_metrics(errors: DataFrame, by: Sequence[str] = ("symbol",), scale:
         exact_mean("pct_error", scale, precision=38).alias("mape"),
         exact_mean("abs_error", scale, precision=38).alias("mae"),
         F.count("error").alias("n"),
+        *more,
     )
     return means.withColumn("rmse", F.sqrt("mse"))
 

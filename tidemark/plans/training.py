@@ -11,18 +11,16 @@ from tidemark.forecast import (
     DEFAULT_GRID,
     Config,
     Event,
-    best_config,
-    cv_scores,
+    cross_validate,
+    cv_summary,
     event_features,
     event_table_features,
     forecast,
-    forecast_metrics,
     future_frame,
     model_frame,
     shift_regressors,
     split_by_time,
     with_errors,
-    with_folds,
 )
 from tidemark.plans.layout import Layout
 from tidemark.plans.serving import read_daily, read_model_input
@@ -47,27 +45,23 @@ def train(
     grid: Sequence[Config] = DEFAULT_GRID,
     timing: str = "lagged",
 ) -> None:
-    """Fit all candidates of all series, keep the best, score it and store the results.
+    """Try all candidates of all series, keep the best, score it and store its fit.
 
-    Fits are stored before they are read by the several outputs. Earlier results stay as
-    the previous version of each table.
+    All candidates and folds of a series are fitted in one pass, of which only the scores are
+    stored; the rows of the chosen candidate's fit are made once. Series that no candidate fits go to a table of their own.
+    Earlier results stay as the previous version of each table.
     """
     frame = model_frame(read_model_input(spark, layout), read_daily(spark, layout))
     ready = training_frame(frame, events, timing)
-    # Read by the fits and by the folds: stored, so it is computed once.
+    # Read by the candidates, the chosen fit and the list of what has none: stored, so it is computed once.
     ready = materialize(ready, "training-frame")
-    write_version(forecast(ready, by=("symbol",), grid=grid), layout.model("fits"), (), cluster_by=SERIES_ORDER)
-    fits = read_version(spark, layout.model("fits"))
+    metrics = materialize(cv_summary(cross_validate(ready, grid)), "candidate-scores")
+    chosen = metrics.select("symbol", *CONFIG)
+    fitted = forecast(ready.join(chosen, "symbol"), by=("symbol", "config_id"))
+    write_version(fitted, layout.model("forecasts"), (), cluster_by=SERIES_ORDER)
 
-    tested = fits.filter(~F.col("is_train") & F.col("y").isNotNull())
-    errors = with_errors(tested)
-    best = materialize(best_config(forecast_metrics(errors, ("symbol", *CONFIG))), "best-config")
-    chosen = best.select("symbol", *CONFIG)
-    folds = forecast(with_folds(ready).join(chosen, "symbol"), by=("symbol", "fold"))
-    metrics = best.join(cv_scores(folds), "symbol", "left")
-
-    on = ["symbol", "config_id"]
-    write_version(fits.join(chosen.select(*on), on), layout.model("forecasts"), (), cluster_by=SERIES_ORDER)
-    actual = errors.join(chosen.select(*on), on)
+    stored = read_version(spark, layout.model("forecasts"))
+    actual = with_errors(stored.filter(~F.col("is_train") & F.col("y").isNotNull()))
     write_csv(actual.select("symbol", "ds", "yhat", "y", "error", "abs_error", "pct_error"), layout.model("actual_vs_pred"))
     write_csv(metrics, layout.model("metrics"))
+    write_csv(ready.select("symbol").distinct().join(chosen, "symbol", "left_anti"), layout.model("unfitted"))
