@@ -11,6 +11,8 @@ import gc
 import re
 from array import array
 
+import numpy as np
+
 from tidemark.llm.workers import worker_cache
 
 _STRETCH = re.compile(r"[ \t\n\r\f\v]*[^ \t\n\r\f\v]+|[ \t\n\r\f\v]+$")
@@ -20,6 +22,8 @@ _LAID_OUT = re.compile(r"[\t\r\f\v]|  | \n|\n[ \n]|^[ \n]| $")
 _ODD = re.compile("[\x00\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
 _MOST_KEPT = 1_200_000
 _MARKS = ",.;:!?"
+_TOGETHER = 500  # words that one call encodes as one text
+_SPACE = "Ġ"  # a space in the tokens of byte-level vocabularies
 _FIRST = "\x00"  # marks the first word of a text, which has no space before it; in no text that is cut
 
 
@@ -31,10 +35,32 @@ class _Kept(dict):
 
     def __init__(self, tokenizer, kind: str):
         self.tokenizer, self.kind = tokenizer, "H" if kind == "<u2" else "I"
+        vocabulary = tokenizer.get_vocab()
+        # Tokens that begin with a space: in a row of words, each with a space before it, only first tokens do.
+        self.opens = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.opens[[i for token, i in vocabulary.items() if token[0] == _SPACE]] = True
 
     def stretch(self, key: str) -> str:
         return key[1:] if key[0] == _FIRST else key if key[0] in " \t\n\r\f\v" else " " + key
 
+    def _encode(self, keys: list[str]) -> None:
+        coded = self.tokenizer.encode_batch_fast(list(map(self.stretch, keys)), add_special_tokens=False) if keys else ()
+        for key, found in zip(keys, coded, strict=True):
+            self[key] = array(self.kind, found.ids).tobytes()
+
+    def _encode_row(self, words: list[str]) -> None:
+        """Words without white space, as one text with a space before each: half the cost of a call for each."""
+        (found,) = self.tokenizer.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)
+        ids = np.array(found.ids, dtype=self.kind)
+        begins = np.flatnonzero(self.opens[ids])
+        if len(begins) != len(words):
+            self._encode(words)
+            return
+        row, size = ids.tobytes(), ids.itemsize
+        ends = [*(begins[1:] * size).tolist(), len(row)]
+        for key, begin, end in zip(words, (begins * size).tolist(), ends, strict=True):
+            self[key] = row[begin:end]
+
     def learn(self, keys: set[str]) -> None:
         if len(self) + 2 * len(keys) > _MOST_KEPT:
             self.clear()
@@ -52,10 +78,10 @@ class _Kept(dict):
             joined.append((key, *parts))
             new.update(p for p in parts if p not in self)
         # Parts of parts: the word of a line that has a mark too is asked for as it is.
-        new = list(new)
-        coded = self.tokenizer.encode_batch_fast(list(map(self.stretch, new)), add_special_tokens=False)
-        for key, found in zip(new, coded, strict=True):
-            self[key] = array(self.kind, found.ids).tobytes()
+        words = [key for key in new if key[0] not in " \t\n\r\f\v" and key[0] != _FIRST]
+        self._encode([key for key in new if key[0] in " \t\n\r\f\v" or key[0] == _FIRST])
+        for begin in range(0, len(words), _TOGETHER):
+            self._encode_row(words[begin : begin + _TOGETHER])
         for key, head, tail in joined:
             self[key] = self[head] + self[tail]
         gc.freeze()  # keeps the collector from walking the cache again and again
