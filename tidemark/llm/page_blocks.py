@@ -29,19 +29,16 @@ ENDS_LIKE = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr",
 SCOPE = frozenset("html body article section main div table td th ul ol dl nav aside footer header form blockquote".split())
 
 
-@dataclass(eq=False)
+@dataclass(eq=False, slots=True)
 class Element:
+    """An open element. ``number`` counts them in page order, parents first; ``path`` stands for the
+    names and first labels from the root to it: equal numbers for equal paths."""
+
     name: str
     labels: str
     parent: Element | None
-    depth: int
-    path: str
-
-    def chain(self):
-        at = self
-        while at is not None:
-            yield at
-            at = at.parent
+    number: int
+    path: int
 
 
 @dataclass
@@ -86,10 +83,11 @@ def _foreign_end(page: str, name: str, at: int) -> int:
     return len(page)
 
 
-def blocks(page: str) -> list[Block]:
-    """Blocks with text, in page order. What scripts, styles and titles hold is not text."""
-    root = Element("", "", None, 0, "")
-    stack = [root]
+def blocks(page: str) -> tuple[list[Block], list[Element]]:
+    """Blocks with text, and all elements, both in page order. What scripts, styles and titles hold is not text."""
+    root = Element("", "", None, 0, 0)
+    stack, elements = [root], [root]
+    paths: dict[tuple[int, str, str], int] = {}
     out: list[Block] = []
     block: Block | None = None
     links, at, size = 0, 0, len(page)
@@ -167,7 +165,8 @@ def blocks(page: str) -> list[Block]:
         parent = stack[-1]
         labels = _labels(attributes)
         first = labels.split(" ", 1)[0]
-        path = parent.path if name in INLINE else f"{parent.path}/{name}" + (f".{first}" if first else "")
-        stack.append(Element(name, labels, parent, parent.depth + 1, path))
+        path = parent.path if name in INLINE else paths.setdefault((parent.path, name, first), len(paths) + 1)
+        stack.append(Element(name, labels, parent, len(elements), path))
+        elements.append(stack[-1])
         links += name == "a"
-    return [b for b in out if b.text()]
+    return [b for b in out if b.text()], elements
