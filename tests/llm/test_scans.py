@@ -104,12 +104,22 @@ def test_random_keys_are_found_and_names_are_not(spark):
 
 def test_masked_texts_hold_no_base_secret(secret_docs):
     masked = secret_scan.mask_secrets(secret_docs)
-    assert masked.columns == ["doc_id", "text"]
+    assert masked.columns == ["doc_id", "text", "secrets"]
+    assert {r["secrets"] for r in masked.collect()} == {"s"}
     for row in masked.collect():
         assert not [s for s in base_spans(row["text"]) if "[SECRET]" not in row["text"][s[0] : s[2]]]
     assert {r["doc_id"]: r["text"] for r in masked.collect()}[7] is None
 
 
+def test_masking_keeps_columns_of_any_name(spark):
+    rows = [(1, "token=abcdefghij!", "a", "b", "c"), (2, None, None, None, None), (3, "", "d", "e", "f")]
+    frame = spark.createDataFrame(rows, "_found long, text string, secrets string, _text string, `row` string")
+    masked = secret_scan.mask_secrets(frame)
+    assert masked.schema == frame.schema
+    assert sorted(map(tuple, masked.collect())) == sorted([(1, "[SECRET]!", "a", "b", "c"), *rows[1:]], key=lambda r: r[0])
+    assert secret_scan.mask_secrets(frame.limit(0)).collect() == []
+
+
 def test_secret_scan_runs_no_python(secret_docs):
     plan = secret_scan.scan(secret_docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan

@@ -151,8 +151,14 @@ def spans_text(spans: Column) -> Column:
 
 
 def mask_secrets(docs: DataFrame, text_column: str = "text", mask: str = "[SECRET]") -> DataFrame:
-    """The input with every span replaced by ``mask``; overlapping spans give one mask. Columns stay as they are."""
-    out = secret_spans(docs.withColumn("_text", F.col(text_column).cast("string")), "_text")
+    """The input with every span replaced by ``mask``; overlapping spans give one mask.
+
+    All other columns stay as they are, whatever their names. NULL and empty texts stay, an empty
+    table stays empty.
+    """
+    # The input's columns lie in one, so that none of them can clash with those of the scan.
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_column).cast("string").alias("_text"))
+    out = secret_spans(packed, "_text")
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
     def step(have: Column, span: Column) -> Column:
@@ -161,7 +167,8 @@ def mask_secrets(docs: DataFrame, text_column: str = "text", mask: str = "[SECRE
         return F.struct(F.greatest(have["at"], span["end"]).alias("at"), more.alias("out"))
 
     rebuilt = F.aggregate("secrets", start, step, lambda have: F.concat(F.array_join(have["out"], ""), F.substring(F.col("_text"), have["at"] + 1, F.length("_text"))))
-    return out.withColumn(text_column, F.when(F.size("secrets") > 0, rebuilt).otherwise(F.col("_text"))).drop("_text", "secrets")
+    masked = F.when(F.size("secrets") > 0, rebuilt).otherwise(F.col("_text"))
+    return out.select(*[(masked if c == text_column else F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
