@@ -320,3 +320,23 @@ def test_pieces_of_odd_strings_equal_the_library(spark):
             assert np.frombuffer(ids, "<u4").tolist() == library.encode(text), repr(text)
     assert segments.encode_column(pa.array(["x", None, "", "a b"], pa.string()).slice(1)) == [b"", b"", segments.encode_column(pa.array(["a b"]))[0]]
     assert segments.encode_column(pa.array([], pa.string())) == []
+
+
+def test_the_sql_twin_follows_the_rule_of_every_class(spark):
+    """Random keys of each alphabet, paths and names, some at the border of a limit."""
+    import duckdb
+
+    from tidemark.llm.registry import oracle_sql
+
+    rng = random.Random(21)
+    lower, upper, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    alphabets = [lower + digits, lower[:14] + digits, upper + "234567", upper[:12] + "23", lower + upper + digits, lower + upper[:9] + "7", lower + upper + digits + "+/", digits + "abcdef", digits + "ABCdef"]
+    texts = ["".join(rng.choice(a) for _ in range(n)) for a in alphabets for n in (20, 21, 28, 40) for _ in range(40)]
+    texts += ["/usr/local/lib/python3/site/packages1", "src/main/java/Service2/Handlers", "a-Title-of-1-post-with-9-words", "/q7Zp2Lx9Vb4Nc8Rt1Wy6Hm3/x", "MAX_RETRIES_2_CONNECTIONS"]
+    rows = [(i, f"key {t}, {rng.choice(texts)} end") for i, t in enumerate(texts)]
+    got = {tuple(r) for r in secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", rows)
+    want = con.execute(oracle_sql()["op4_secret_scan"]).fetchall()
+    assert got == set(want) and 300 < sum(r[-1] != "" for r in want) < len(rows)

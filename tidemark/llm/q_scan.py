@@ -31,7 +31,9 @@ def _sql() -> str:
         f"list_max(list_transform(range(1, length(x.match) - {s.WINDOW - 2}), "
         f"lambda i: list_entropy(string_split(substring(x.match, i, {s.WINDOW}), ''))))"
     )
-    limit = f"CASE WHEN regexp_full_match(x.match, '[0-9a-fA-F]+') THEN {s.LIMITS['hex']} ELSE {s.LIMITS['key']} END"
+    names_only = f"regexp_matches(x.match, '{s.MARKS}') AND len(list_filter(string_split_regex(x.match, '{s.MARKS}'), lambda y: NOT regexp_matches(y, '{s.NAME}'))) = 0"
+    classes = " ".join(f"WHEN regexp_matches(x.match, '{p}') THEN {s.expected_entropy(n) - s.MARGIN!r}" for p, n in s.CLASSES)
+    limit = f"CASE WHEN regexp_full_match(x.match, '[0-9a-fA-F]+') THEN {s.HEX_LIMIT} {classes} END"
     names = "[" + ", ".join(f"'{k}'" for k in s.KINDS) + "]"
     text = lambda spans: f"array_to_string(list_transform({spans}, lambda x: {names}[x.kind + 1] || ':' || x.start || ':' || x.end), ',')"
     plain = "lambda x: {'start': CAST(x.start AS BIGINT), 'kind': CAST(x.kind AS BIGINT), 'end': CAST(x.end AS BIGINT)}"
@@ -44,7 +46,7 @@ b AS (
 ), c AS (
   SELECT doc_id, len(b0) AS n0, len(b1) AS n1, len(b2) AS n2,
          list_transform(list_concat(list_concat(b0, b1), b2), {plain}) AS base,
-         list_transform(list_filter(e, lambda x: regexp_matches(x.match, '[0-9]') AND regexp_matches(x.match, '[A-Za-z]') AND NOT ({allowed})
+         list_transform(list_filter(e, lambda x: regexp_matches(x.match, '[0-9]') AND regexp_matches(x.match, '[A-Za-z]') AND NOT ({allowed}) AND NOT ({names_only})
            AND {entropy} >= {limit}), {plain}) AS e FROM b
 ), f AS (
   SELECT doc_id, n0, n1, n2, list_sort(base) AS base,

@@ -31,18 +31,15 @@ WINDOW = 20
 MARGIN = 0.35  # bits per character below the expected entropy; about 2.5 standard deviations
 # Symbols of a class that is not hexadecimal, by its first pattern that fits; marks alone make no class.
 CLASSES = ((r"^[a-z0-9+/_=-]+$", 36), (r"^[A-Z0-9+/_=-]+$", 32), (r"^[A-Za-z0-9]+$", 62), (r"", 64))
-# Bits per character. ``hex`` is the method's; ``key`` is the one limit of all others in the SQL twin.
-LIMITS = {"hex": 3.0, "key": 3.9}
+HEX_LIMIT = 3.0  # bits per character
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
-# The third, paths by their slashes, is the SQL twin's alone: the method looks at the segments.
 ALLOWED = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"^sha(256|384|512)-",
-    r"^/|/.*/.*/",
     r"(?i)example|sample|placeholder|xxxx|1234567890",
 )
-SLASHES = ALLOWED[2]
+# Paths and names: the segments between marks, all of which are names.
 MARKS = r"[+/_=-]"
 NAME = r"^(?:[A-Z]?[a-z]{1,15}[0-9]{0,4}|[A-Z]{1,15}[0-9]{0,4}|[0-9]{0,8})$"
 
@@ -109,10 +106,9 @@ def _secret_like(match: Column) -> Column:
     """Digit and letter, not allowed, and enough entropy for its class; cheap tests first."""
     known = match.rlike(MARKS) & F.forall(F.split(match, MARKS, -1), lambda segment: segment.rlike(NAME))
     for pattern in ALLOWED:
-        if pattern != SLASHES:
-            known = match.rlike(pattern) | known
+        known = match.rlike(pattern) | known
     mixed = match.rlike("[0-9]") & match.rlike("[A-Za-z]")
-    limit = F.when(match.rlike("^[0-9a-fA-F]+$"), F.lit(LIMITS["hex"]))
+    limit = F.when(match.rlike("^[0-9a-fA-F]+$"), F.lit(HEX_LIMIT))
     for pattern, symbols in CLASSES:
         limit = limit.when(match.rlike(pattern), F.lit(expected_entropy(symbols) - MARGIN))
     return F.when(mixed & ~known, best_entropy(match) >= limit).otherwise(F.lit(False))
