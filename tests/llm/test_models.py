@@ -1,13 +1,14 @@
 """Vectors, quality, language-model scores, the pipeline and the registry."""
 
 import ast
+import math
 import os
 import random
 
 import duckdb
 import numpy as np
 import pytest
-from llm_helpers import classes, shingles, tree_scores
+from llm_helpers import classes, lower, shingles, tree_scores, words_of
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -101,12 +102,14 @@ def test_scores_equal_the_textbook(spark):
             held, n, known, total, base, score = want[row["doc_id"]]
             assert (row["held_out"], row["n_tokens"], row["n_known"], row["train_tokens"]) == (held, n, known, total)
             assert abs(row["base_score"] - base) < 1e-8 and abs(row["score"] - score) < 1e-6
+            coded = len(" ".join(words_of(lower(dict(rows)[row["doc_id"]]))).encode()) + 1  # with the end
+            assert row["bits_per_byte"] == pytest.approx(-row["score"] * math.log2(10) / coded)
     lm_score.FREQUENT = 50_000
 
 
 def test_scores_in_several_blocks_and_of_repeated_rows(spark, docs, no_docs):
     keyed = docs.select(F.col("doc_id").alias("key"), (F.col("doc_id") % 10 == 0).alias("held"), "text")
-    one, many = (dict(lm_score.tree_scores(keyed, n).collect()) for n in (10**6, 500))
+    one, many = (dict(lm_score.tree_scores(keyed, n).select("key", "score").collect()) for n in (10**6, 500))
     assert one.keys() == many.keys() and all(abs(one[k] - many[k]) < 1e-8 for k in one)
     got = lm_score.score(docs)
     assert got.count() == docs.count()

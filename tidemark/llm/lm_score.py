@@ -334,6 +334,9 @@ def _weigh(top):
     return run
 
 
+_BITS = float(np.log2(10))
+
+
 def _score(block):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, value = block.value
@@ -341,13 +344,14 @@ def _score(block):
             runs, begins = _sequence(texts)
             at = np.minimum(np.searchsorted(names, runs), len(names) - 1)
             found = np.where(names[at] == runs, value[at], 0.0)
-            yield pa.record_batch([column(batch, "key"), pa.array(np.add.reduceat(found, begins))], names=["key", "part"])
+            size = np.diff(np.append(begins, len(runs)))  # one run for each byte that is coded
+            yield pa.record_batch([column(batch, "key"), pa.array(np.add.reduceat(found, begins)), pa.array(size, pa.int64())], names=["key", "part", "size"])
 
     return run
 
 
 def tree_scores(docs: DataFrame, block_runs: int = BLOCK_RUNS) -> DataFrame:
-    """(key, score) of texts (key, held, text): log10 probability by context-tree weighting."""
+    """(key, score, size) of texts (key, held, text): log10 probability by context-tree weighting, and the bytes it codes."""
     spark = docs.sparkSession
     buckets = parts(spark, docs, 64 << 20)
     counted = docs.select("held", "text").mapInArrow(_count_runs(buckets), "bucket int, names binary, counts binary")
@@ -356,7 +360,7 @@ def tree_scores(docs: DataFrame, block_runs: int = BLOCK_RUNS) -> DataFrame:
     nodes = runs.select(F.explode(F.arrays_zip("node", "zeros", "ones", "below")).alias("x")).select("x.*").groupBy("node").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "below")])
     nodes = nodes.collect()  # 256 contexts of 255 decisions at most
     if not nodes:
-        return docs.select("key", F.lit(0.0).alias("score")).limit(0)
+        return docs.select("key", F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("size")).limit(0)
     cols = [np.array([r[c] for r in nodes], dtype=np.int64 if c == "node" else np.float64) for c in ("node", "zeros", "ones", "below")]
     top = spark.sparkContext.broadcast(cols)
     weighed = stored(runs.select("n", "names", "counts").mapInArrow(_weigh(top), "n long, names binary, value binary"), "weights")
@@ -370,18 +374,18 @@ def tree_scores(docs: DataFrame, block_runs: int = BLOCK_RUNS) -> DataFrame:
         names = np.concatenate([_open(bytes(r["names"]), U64) for r in rows])
         value = np.concatenate([_open(bytes(r["value"]), np.float64) for r in rows])
         order = np.argsort(names)
-        found.append(docs.select("key", "text").mapInArrow(_score(spark.sparkContext.broadcast((names[order], value[order]))), "key long, part double"))
-    sums = reduce(DataFrame.unionByName, found).groupBy("key").agg(F.sum("part").alias("part"), F.count("*").alias("rows"))
-    return sums.select("key", (F.col("part") / (F.col("rows") / len(found))).alias("score"))
+        found.append(docs.select("key", "text").mapInArrow(_score(spark.sparkContext.broadcast((names[order], value[order]))), "key long, part double, size long"))
+    sums = reduce(DataFrame.unionByName, found).groupBy("key").agg(F.sum("part").alias("part"), F.count("*").alias("rows"), F.max("size").alias("size"))
+    return sums.select("key", (F.col("part") / (F.col("rows") / len(found))).alias("score"), "size")
 
 
 def score(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) per document.
+    """(id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte) per document.
 
     Held out are documents whose crc32 of the id as text is a multiple of 10; all others teach.
     Words are lower-cased (A-Z); each text ends with an end token. ``base_score``: word frequencies
     with ALPHA added. ``score``: the tree's log10 probability of the words joined by single spaces,
-    with the end. A NULL or empty text is its end alone. A NULL id is not held out. Equal rows are
+    with the end. ``bits_per_byte``: its code length for each byte of them. A NULL or empty text is its end alone. A NULL id is not held out. Equal rows are
     scored alike and each teaches. Other columns are ignored. Words are known by a 64-bit hash.
     """
     held = F.coalesce(F.crc32(F.col(id_column).cast("string").cast("binary")) % 10 == 0, F.lit(False))
@@ -393,5 +397,5 @@ def score(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
         docs.select("id", "key", "held")
         .join(base, "key")
         .join(trees, "key")
-        .select(F.col("id").alias(id_column), F.col("held").alias("held_out"), "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
+        .select(F.col("id").alias(id_column), F.col("held").alias("held_out"), "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score", (-F.col("score") * _BITS / F.col("size")).alias("bits_per_byte"))
     )
