@@ -22,7 +22,9 @@ from tidemark.llm.words import gathered
 from tidemark.llm.workers import worker_cache
 
 SPACE = "▁"  # stands for a space in pieces
-_MOST_KEPT = 250_000  # in each of two generations
+_MOST_KEPT = 250_000
+# Entries of a worker's caches, in each of two generations: they stay when the task ends.
+_WORDS_KEPT, _SEGMENTS_KEPT = 100_000, 10_000
 _SHORT = 48
 _NEVER = float("-inf")
 
@@ -165,8 +167,8 @@ class _Kept(dict):
     """Computed values by string. When it is full, what it holds becomes the old generation, from which
     frequent strings come back."""
 
-    def __init__(self, compute: Callable[[str], bytes]):
-        self.compute, self.old = compute, {}
+    def __init__(self, compute: Callable[[str], bytes], most: int):
+        self.compute, self.most, self.old = compute, most, {}
 
     def __missing__(self, key: str) -> bytes:
         value = self.old.get(key)
@@ -174,7 +176,7 @@ class _Kept(dict):
 
     def put(self, key: str, value: bytes) -> bytes:
         if len(key) <= 64:
-            if len(self) >= _MOST_KEPT:
+            if len(self) >= self.most:
                 self.old = dict(self)
                 self.clear()
             self[key] = value
@@ -191,8 +193,8 @@ class Segments:
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
-        self.segments = _Kept(lambda segment: pieces.ids(pieces.split(segment)))
-        self.words = _Kept(lambda word: self._compute([word])[0])
+        self.segments = _Kept(lambda segment: pieces.ids(pieces.split(segment)), _SEGMENTS_KEPT)
+        self.words = _Kept(lambda word: self._compute([word])[0], _WORDS_KEPT)
         self.line_end = pieces.ids(["\n"])
 
     def parts(self, text: str) -> bytes:

@@ -186,7 +186,7 @@ def portions(batches: Iterable[pa.RecordBatch], column: str, size: int = 2 << 20
             yield batch.slice(begin), texts[begin:]
 
 
-def text_slices(texts: pa.Array, size: int = 4 << 20) -> Iterator[slice]:
+def text_slices(texts: pa.Array, size: int = 2 << 20) -> Iterator[slice]:
     """Slices of about ``size`` bytes of text; a longer text stands alone."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
     begin = 0
