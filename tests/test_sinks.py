@@ -6,7 +6,7 @@ import pytest
 
 from tidemark.schemas import MissingColumns
 from tidemark.sinks.tables import version_path
-from tidemark.sinks import append_staging, read_version, versions, write_clustered, write_csv, write_partitioned, write_version
+from tidemark.sinks import append_staging, read_partitioned, read_version, versions, write_clustered, write_csv, write_partitioned, write_version
 from tidemark.sources.storage import scratch_dir, sweep_scratch
 
 
@@ -84,6 +84,16 @@ def test_series_names_that_look_like_numbers(spark, tmp_path):
     assert sorted(r.symbol for r in spark.read.parquet(str(tmp_path / "t")).collect()) == ["007", "2024-01-01"]
 
 
+def test_series_names_stay_text_in_any_session(spark, tmp_path):
+    df = spark.createDataFrame([("007", 2024, 1, 1.0), ("8", 2024, 12, 2.0)], "symbol string, year int, month int, v double")
+    write_partitioned(df, str(tmp_path / "t"))
+    other = spark.newSession()
+    other.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "true")
+    assert dict(other.read.parquet(str(tmp_path / "t")).dtypes)["symbol"] == "int"
+    table = read_partitioned(other, str(tmp_path / "t"))
+    assert sorted((r.symbol, r.year, r.month) for r in table.collect()) == [("007", "2024", "1"), ("8", "2024", "12")]
+
+
 def test_old_scratch_is_swept(spark):
     path = scratch_dir(spark, "sweep-me")
     table(spark, [1]).write.parquet(path)

@@ -15,6 +15,7 @@ from tidemark.streaming import (
     console_monitor,
     daily_files,
     fan_out,
+    fold_sinks,
     memory_table,
     read_batches,
     read_closed,
@@ -336,3 +337,15 @@ def test_a_replayed_batch_of_all_sinks_counts_once(spark, tmp_path, feed):
     feed.land(message("A", 9 * DAY_MS, 1.0))
     fan(spark, feed, root, checkpoint, delay="1 hour")
     assert closes(read_closed(spark, root)) == closes(daily_ticks(feed.batch()).filter("date < '2024-01-09'"))
+
+
+def test_all_sinks_fold_without_a_change_to_their_readers(spark, tmp_path, feed):
+    root = str(tmp_path / "t")
+    fan(spark, feed, root, tmp_path / "cp", delay="1 hour")
+    before = closes(read_stats(spark, root)), closes(read_closed(spark, root))
+    assert fold_sinks(spark, root)["stats"] == 3
+    assert fold_sinks(spark, root) == dict.fromkeys(("stats", "daily", "late", "rejects"), 0)
+    assert (closes(read_stats(spark, root)), closes(read_closed(spark, root))) == before
+    feed.land(message("A", 9 * DAY_MS, 1.0))
+    fan(spark, feed, root, tmp_path / "cp", delay="1 hour")
+    assert closes(read_stats(spark, root)) == closes(daily_ticks(feed.batch()))

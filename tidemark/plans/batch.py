@@ -21,7 +21,7 @@ from tidemark.plans.layout import Layout
 from tidemark.plans.serving import merge_daily, publish_daily, read_daily, read_marks
 from tidemark.schemas import OHLCV
 from tidemark.plans.speed import read_speed_layer
-from tidemark.sinks import DAILY_LAYOUT, DAILY_ORDER, write_csv, write_partitioned
+from tidemark.sinks import DAILY_LAYOUT, DAILY_ORDER, read_partitioned, write_csv, write_partitioned
 from tidemark.sources import kline_rejects, klines_to_bars, read_bars, read_first_available, read_kline_pages
 
 
@@ -45,7 +45,7 @@ def _store_bars(bars: DataFrame, layout: Layout) -> None:
 
 def clean(spark: SparkSession, layout: Layout, order_by: Sequence[str] = ()) -> dict[str, int]:
     """Unique, forward-filled, null-free bars; returns the row counts before and after."""
-    stored = spark.read.parquet(layout.bars)
+    stored = read_partitioned(spark, layout.bars)
     raw = without_derived(normalize_bars(stored))
     rest = [c for c in raw.columns if c not in ("symbol", "timestamp", *OHLCV)]
     unique = quality.keep_first(readable(raw), ["symbol", "timestamp"], [*order_by, *OHLCV, *rest])
@@ -56,7 +56,7 @@ def clean(spark: SparkSession, layout: Layout, order_by: Sequence[str] = ()) ->
 
 def daily(spark: SparkSession, layout: Layout, tz: str | None = None) -> None:
     """Daily bars with the per-day counts and the largest gaps of the minute bars."""
-    bars = spark.read.parquet(layout.bars_clean)
+    bars = read_partitioned(spark, layout.bars_clean)
     write_csv(quality.per_day_counts(bars, tz=tz), layout.report("per_day_counts"))
     write_csv(quality.large_gaps(bars, unique=True), layout.report("large_gaps"), ordered=True)
     # Stamps are unique after cleaning, so the plain time order needs no tie-break.

@@ -7,6 +7,7 @@ from tidemark.sinks.tables import (
     DAILY_ORDER,
     append_staging,
     materialize,
+    read_partitioned,
     read_version,
     versions,
     write_clustered,
@@ -24,6 +25,7 @@ __all__ = [
     "materialize",
     "publish",
     "read_manifest",
+    "read_partitioned",
     "read_published",
     "read_version",
     "versions",

@@ -10,6 +10,7 @@ import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tidemark.schemas import require_columns
 from tidemark.sources.storage import exists, list_names, remove_tree, scratch_dir
@@ -47,6 +48,13 @@ def write_partitioned(
     packed.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*partition_by).parquet(path)
 
 
+def read_partitioned(spark: SparkSession, path: str, partition_by: Sequence[str] = BAR_LAYOUT) -> DataFrame:
+    """A table of partition folders with the folders' names as text, whatever the session infers: ``007`` stays ``007``."""
+    held = [f for f in spark.read.parquet(path).schema.fields if f.name not in partition_by]
+    kind = T.StructType([*held, *[T.StructField(c, T.StringType()) for c in partition_by]])
+    return spark.read.schema(kind).parquet(path)
+
+
 def write_clustered(df: DataFrame, path: str, cluster_by: Sequence[str]) -> None:
     """Overwrite ``path`` without partition folders: rows of a key lie together and sorted."""
     require_columns(df, cluster_by, "write_clustered")

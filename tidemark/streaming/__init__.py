@@ -1,6 +1,6 @@
 """Structured Streaming: windowed bars and their sinks."""
 
-from tidemark.streaming.fanout import fan_out, read_batches, read_closed, read_late, read_rejects, read_stats
+from tidemark.streaming.fanout import fan_out, fold_sinks, read_batches, read_closed, read_late, read_rejects, read_stats
 from tidemark.streaming.sinks import (
     compact_updates,
     console_monitor,
@@ -19,6 +19,7 @@ __all__ = [
     "console_monitor",
     "daily_files",
     "fan_out",
+    "fold_sinks",
     "memory_table",
     "read_batches",
     "read_closed",

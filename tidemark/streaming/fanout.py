@@ -112,6 +112,15 @@ def fan_out(
     return start_batches(parsed, "append", checkpoint, publish, every)
 
 
+def fold_sinks(spark: SparkSession, root: str, key: str = "symbol", grace_seconds: float = 3600.0) -> dict[str, int]:
+    """Fold the folders of every sink; returns how many each fold stands for. Safe beside a running query."""
+    ledger = Ledger(spark, root)
+    return {
+        sink: ledger.fold(sink, (lambda rows: _fold_partials(rows, key)) if sink == STATS else None, grace_seconds)
+        for sink in (STATS, CLOSED, LATE, REJECTS)
+    }
+
+
 def _closed(ledger: Ledger, epoch: str, sinks: dict, mark: int | None, newest: int, behind: int, key: str) -> DataFrame | None:
     """Totals of the windows that the watermark passes with this batch, over all committed batches and this one."""
     edge = lambda m: F.timestamp_micros(F.lit(m - behind))
