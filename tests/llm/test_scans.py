@@ -13,9 +13,10 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm import pieces, secret_scan, sentencepiece_scan, token_files
+from tidemark.llm import pieces, pretokens, secret_scan, sentencepiece_scan, token_files
 from tidemark.llm.pretokens import encoder
 from tidemark.llm.tag_paths import extract, main_text
+from tidemark.llm.workers import worker_cache
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -232,6 +233,60 @@ def test_byte_bpe_of_odd_strings_equals_the_library():
             assert np.frombuffer(blob, "<u2").tolist() == ids.ids, repr(text)
 
 
+def test_stretches_with_marks_and_lines_equal_the_library():
+    """Cuts before marks and behind line feeds: Latin letters and signs, odd spaces, added tokens, Arrow slices with NULLs."""
+    rng = random.Random(12)
+    atoms = [" ", "\n", "\n\n", " \n", "\t", "\xa0", "\u2003", "\u1680", "\u3000", "a", "Été", "é", "×", "÷", "ñ", "e\u0301", "日本", "'s", "12", ",", ".", ";", ":", "!?", "<|endoftext|>", "x.y", "1,2", "\x00", "\x1c", None]
+    texts = [None if None in (some := rng.choices(atoms, k=rng.randrange(9))) else "".join(some) for _ in range(10_000)]
+    want = [x.ids for x in Tokenizer.from_file(BPE).encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
+    encode = encoder(BPE, "<u2")
+    for column in (texts, pa.array(texts), pa.array(["before", *texts, "behind"])[1:-1]):
+        assert [np.frombuffer(b, "<u2").tolist() for b in encode(column)] == want
+    assert encode([]) == [] and encode([None, ""]) == [b"", b""]
+
+
+def test_distinct_stretches_alone_are_looked_up_and_encoded():
+    asked, given = [], []
+
+    class Counted(pretokens._Kept):
+        def get(self, key, default=None):
+            asked.append(key)
+            return super().get(key, default)
+
+    class Library:
+        real = Tokenizer.from_file(BPE)
+        get_vocab = real.get_vocab
+
+        def encode_batch_fast(self, texts, **how):
+            given.extend(texts)
+            return self.real.encode_batch_fast(texts, **how)
+
+        def encode(self, text, **how):
+            given.append(text)
+            return self.real.encode(text, **how)
+
+    cache = worker_cache("byte_bpe")
+    before, cache[BPE, "<u2"] = cache.get((BPE, "<u2")), Counted(Library(), "<u2")
+    try:
+        text = "one two, one two.\nThree one\xa0 two,\u2003three " * 20
+        blobs = encoder(BPE, "<u2")([text] * 200)
+    finally:
+        cache.pop((BPE, "<u2")) if before is None else cache.update({(BPE, "<u2"): before})
+    assert {tuple(np.frombuffer(b, "<u2")) for b in blobs} == {tuple(Library.real.encode(text, add_special_tokens=False).ids)}
+    assert len(asked) <= 20 and sum(map(len, given)) < len(text)
+
+
+def test_portions_hold_every_row_once():
+    texts = [None, "", "x" * 900, None, *["abc"] * 500, "y" * 5000, "", "z"]
+    batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], names=["id", "text"])
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(token_files, "PORTION", 1000)
+        parts = [p.to_pydict() for p in token_files._portions(batch)]
+        assert list(token_files._portions(batch.slice(0, 0))) == []
+    assert [i for p in parts for i in p["id"]] == list(range(len(texts)))
+    assert all(sum(len(t or "") for t in p["text"]) <= 1000 or len(p["id"]) == 1 for p in parts)
+
+
 def test_token_files_read_back(spark, docs, no_docs, tmp_path, rows_of):
     library = Tokenizer.from_file(BPE)
     path = str(tmp_path / "ids")

@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,6 +34,7 @@ SAMPLE = 1000  # documents the dictionary is trained on, at most
 SAMPLE_CHARS = 4000  # and characters of each of them, from a place its hash tells
 DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
+PORTION = 4 << 20  # bytes of text whose distinct words are looked up at once
 
 
 def train_dictionary(docs: DataFrame, tokenizer_path: str, kind: str) -> bytes:
@@ -58,6 +60,17 @@ def _data(raw: bytes) -> zstandard.ZstdCompressionDict | None:
     return zstandard.ZstdCompressionDict(raw) if raw else None
 
 
+def _portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about ``PORTION`` bytes of text, one row at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column(batch, "text")), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    begin = 0
+    while begin < batch.num_rows:
+        before = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, before + PORTION, "right")))
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
 def _encode(tokenizer_path: str, kind: str, end_id: int, raw: bytes, mark: str):
     width = np.dtype(kind).itemsize
 
@@ -68,9 +81,8 @@ def _encode(tokenizer_path: str, kind: str, end_id: int, raw: bytes, mark: str):
         end = np.array([end_id], dtype=kind).tobytes()
         place = 0
         for batch in batches:
-            for begin in range(0, batch.num_rows, 256):
-                some = batch.slice(begin, 256)
-                blobs = [ids + end for ids in encode(column(some, "text").to_pylist())]
+            for some in _portions(batch):
+                blobs = [ids + end for ids in encode(column(some, "text"))]
                 n = np.array([len(b) // width for b in blobs], dtype=np.int64)
                 places = place + np.cumsum(n) - n
                 place += int(n.sum())
